@@ -1 +1,8 @@
 """Operators for preparing language-model training corpora; nothing else imports this subpackage."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with their code, so that executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import near_dedup, quality_rules
+from . import mixing, near_dedup, quality_rules
 
 QUERIES = {
     "op2_divergence_rules": quality_rules.op2_divergence_rules,
+    "op5_low_discrepancy_mix": mixing.op5_low_discrepancy_mix,
     "op6_minhash_near_dedup": near_dedup.op6_minhash_near_dedup,
 }
 
-ORACLES = {"op6_minhash_near_dedup": near_dedup.SQL}
+ORACLES = {"op5_low_discrepancy_mix": mixing.SQL, "op6_minhash_near_dedup": near_dedup.SQL}
