@@ -12,9 +12,11 @@ length are cut into windows; no documents give no pieces; a null id is kept; ext
 
 from __future__ import annotations
 
+import base64
 import bisect
-import os
 import re
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -31,7 +33,7 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 class Tokens:
-    """Ids of texts by a byte-level BPE file; words between single spaces are looked up, anything else is encoded whole.
+    """Ids of texts by a byte-level BPE vocabulary; words between single spaces are looked up, anything else is encoded whole.
 
     The pattern that splits text before the merges never spans from a word into the white space after it, so a text
     whose only white space is single spaces and single line feeds is the sum of its words, each with the one
@@ -39,31 +41,40 @@ class Tokens:
     """
 
     #: Words that are remembered between texts.
-    LIMIT = 250_000
+    LIMIT = 400_000
     ODD = re.compile(r"[^\S\n ]|[ \n][ \n]|\A[ \n]|[ \n]\Z")
+    #: Letters and then marks: two pieces for the pattern, whatever they are.
+    PARTS = re.compile(r"([ \n]?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!#$%&()*+,\-./:;=?|]*)")
 
-    def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, pattern: str) -> None:
+        import tiktoken
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        with open(path, "rb") as file:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+        self.encoding = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.flat, self.used = np.empty(1 << 20, np.uint32), 0
-        self.first = np.empty(self.LIMIT + 1, np.int64)
-        self.size = np.empty(self.LIMIT + 1, np.int64)
+        self.first = np.empty(self.LIMIT, np.int64)
+        self.size = np.empty(self.LIMIT, np.int64)
+        self.pieces: dict[str, list[int]] = {}
 
     def whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-
-    def _learn(self, words: set[str]) -> None:
-        words = list(words)
-        texts = [w if w[0] == "\n" else w[1:] if w[0] == " " else " " + w for w in words]
-        for word, code in zip(words, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            ids = code.ids
+        return np.array(self.encoding.encode_ordinary(text), np.uint32)
+
+    def _piece(self, piece: str) -> list[int]:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            ids = self.pieces[piece] = self.encoding._encode_single_piece(piece)
+        return ids
+
+    def _learn(self, words: list[str]) -> None:
+        for word in words:
+            text = word if word[:1] == "\n" else word[1:] if word[:1] == " " else " " + word
+            m = self.PARTS.fullmatch(text) if text[:1] != "\n" else None
+            ids = (self._piece(m[1]) + self._piece(m[2]) if m[2] else self._piece(m[1])) if m else self.encoding.encode_ordinary(text)
             if self.used + len(ids) > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.empty(max(len(self.flat), len(ids)), np.uint32)])
             k = len(self.known)
@@ -79,22 +90,32 @@ class Tokens:
             return self.whole(text)
         words = text.replace("\n", " \n").split(" ")
         words[0] = " " + words[0]  # the first word has no space before it
-        try:
-            at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        except KeyError:
-            new = set(words) - self.known.keys()
-            if len(self.known) + len(new) > self.LIMIT:
+        known = self.known
+        new = [w for w in set(words) if w not in known]
+        if new:
+            if len(known) + len(new) > self.LIMIT:
                 self._forget()
-                new = set(words)
+                known, new = self.known, list(set(words))
                 if len(new) > self.LIMIT:
                     return self.whole(text)
             self._learn(new)
-            at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
         size = self.size[at]
         end = np.cumsum(size)
         return self.flat[np.repeat(self.first[at] - (end - size), size) + np.arange(end[-1])]
 
 
+def tokens_of_worker(path: str | None) -> Tokens:
+    """The tokens of ``path`` that this Python worker keeps from task to task."""
+    import public_tokenizers
+
+    path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    kept = sys.modules.setdefault("_veinstone_worker", types.ModuleType("_veinstone_worker"))
+    if getattr(kept, "path", None) != path:
+        kept.path, kept.tokens = path, Tokens(path, public_tokenizers.PATTERN)
+    return kept.tokens
+
+
 def combinations(counts: np.ndarray, window: int = WINDOW, triples: int = 8) -> np.ndarray:
     """Rows of 3 lengths (0: none) that fill the window: every pair that occurs, and for every length some triples spread over the splits of the rest."""
     have = np.flatnonzero(counts)
@@ -176,9 +197,7 @@ def packed(lengths: np.ndarray, window: int = WINDOW) -> tuple[list[list[tuple[i
 
 def _packer(path: str | None, window: int, end: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import public_tokenizers
-
-        tokens = Tokens(path or public_tokenizers.path("byte_bpe_50k.json"))
+        tokens = tokens_of_worker(path)
         seq = TaskContext.get().partitionId() << 33
         out: list[tuple] = []
         pool: list[tuple] = []  # (doc_id, first token, ids, doc_tokens) of documents' remainders
@@ -230,8 +249,8 @@ def _packer(path: str | None, window: int, end: int, with_ids: bool):
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, window: int = WINDOW, end: int = END, with_ids: bool = False) -> DataFrame:
     """Pieces of all documents: their place in the document, and their sequence and offset there.
 
-    ``tokenizer``: path of a tokenizers file on the executors (default: the public byte_bpe_50k.json); ``with_ids``
-    adds the token ids of each piece.
+    ``tokenizer``: path of a rank file on the executors (default: the public byte_bpe_50k, whose ids are those of its
+    tokenizers file); ``with_ids`` adds the token ids of each piece.
     """
     text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return text.mapInArrow(_packer(tokenizer, window, end, with_ids), SCHEMA + (", ids array<int>" if with_ids else ""))

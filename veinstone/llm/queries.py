@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import mixing, near_dedup, quality_rules
+from . import html_extraction, mixing, near_dedup, packing, quality_rules, warc
 
 QUERIES = {
+    "op1_nnls_packing": packing.op1_nnls_packing,
     "op2_divergence_rules": quality_rules.op2_divergence_rules,
     "op5_low_discrepancy_mix": mixing.op5_low_discrepancy_mix,
     "op6_minhash_near_dedup": near_dedup.op6_minhash_near_dedup,
+    "op7_zstd_warc": warc.op7_zstd_warc,
+    "op8_site_template_removal": html_extraction.op8_site_template_removal,
 }
 
-ORACLES = {"op5_low_discrepancy_mix": mixing.SQL, "op6_minhash_near_dedup": near_dedup.SQL}
+ORACLES = {"op5_low_discrepancy_mix": mixing.SQL, "op6_minhash_near_dedup": near_dedup.SQL, "op7_zstd_warc": warc.SQL}
