@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import html_extraction, mixing, near_dedup, packing, quality_rules, warc
+from . import html_extraction, mixing, near_dedup, packing, quality_rules, resampling, toxicity, warc
 
 QUERIES = {
     "op1_nnls_packing": packing.op1_nnls_packing,
     "op2_divergence_rules": quality_rules.op2_divergence_rules,
+    "op4_importance_resampling": resampling.op4_importance_resampling,
     "op5_low_discrepancy_mix": mixing.op5_low_discrepancy_mix,
     "op6_minhash_near_dedup": near_dedup.op6_minhash_near_dedup,
     "op7_zstd_warc": warc.op7_zstd_warc,
     "op8_site_template_removal": html_extraction.op8_site_template_removal,
+    "op10_crf_toxicity": toxicity.op10_crf_toxicity,
 }
 
 ORACLES = {"op5_low_discrepancy_mix": mixing.SQL, "op6_minhash_near_dedup": near_dedup.SQL, "op7_zstd_warc": warc.SQL}
