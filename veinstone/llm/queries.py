@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import html_extraction, mixing, near_dedup, packing, quality_rules, resampling, toxicity, warc
+from . import fingerprints, html_extraction, mixing, near_dedup, packing, quality_rules, resampling, toxicity, warc
 
 QUERIES = {
     "op1_nnls_packing": packing.op1_nnls_packing,
     "op2_divergence_rules": quality_rules.op2_divergence_rules,
+    "op3_weighted_sampling_fingerprints": fingerprints.op3_weighted_sampling_fingerprints,
     "op4_importance_resampling": resampling.op4_importance_resampling,
     "op5_low_discrepancy_mix": mixing.op5_low_discrepancy_mix,
     "op6_minhash_near_dedup": near_dedup.op6_minhash_near_dedup,
