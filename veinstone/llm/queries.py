@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import fingerprints, html_extraction, mixing, near_dedup, packing, quality_rules, resampling, toxicity, warc
+from . import fingerprints, html_extraction, mixing, near_dedup, packing, quality_rules, resampling, substring_dedup, toxicity, warc
 
 QUERIES = {
     "op1_nnls_packing": packing.op1_nnls_packing,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_minhash_near_dedup": near_dedup.op6_minhash_near_dedup,
     "op7_zstd_warc": warc.op7_zstd_warc,
     "op8_site_template_removal": html_extraction.op8_site_template_removal,
+    "op9_paragraph_substring_dedup": substring_dedup.op9_paragraph_substring_dedup,
     "op10_crf_toxicity": toxicity.op10_crf_toxicity,
 }
 
