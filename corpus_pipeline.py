@@ -1,4 +1,8 @@
-"""The corpus pipeline: quality rules, MinHash near-dedup, substring dedup, source mixing, packing."""
+"""The corpus pipeline: quality rules, MinHash near-dedup, substring dedup, source mixing, packing.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows of ``docs``; all but the last return the columns of
+documents. Rows without an id pass the deduplicating stages, which cannot name them, and are mixed and packed.
+"""
 
 from __future__ import annotations
 
@@ -6,26 +10,56 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veinstone.llm.common import broadcast_if_small, staged
+from veinstone.llm.mixing import taken
 from veinstone.llm.near_dedup import near_dedup
+from veinstone.llm.packing import pack
 from veinstone.llm.quality_rules import quality_rules
+from veinstone.llm.substring_dedup import substring_dedup
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+WITH_WORD = r"[^\x20\x09-\x0D]"
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep; of rows that share an id, none if one of them is rejected."""
     verdict = staged(quality_rules(docs).where("NOT kept").select(F.col("id").alias("doc_id")).distinct(), "rejected")
     return docs.join(broadcast_if_small(verdict), "doc_id", "left_anti").select(COLUMNS)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that with the smallest id."""
-    drop = staged(near_dedup(docs).where("NOT kept").select(F.col("id").alias("doc_id")).distinct(), "duplicates")
-    return docs.join(broadcast_if_small(drop), "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(COLUMNS)
+    """One document of each group of near duplicates: that with the smallest id, and one row of it."""
+    result = staged(near_dedup(docs), "near")
+    drop = staged(result.where("NOT kept").select(F.col("id").alias("doc_id")).distinct(), "duplicates")
+    left = docs.join(broadcast_if_small(drop), "doc_id", "left_anti").select(COLUMNS)
+    again = staged(result.where("kept AND id IS NOT NULL").groupBy(F.col("id").alias("doc_id")).count().where("count > 1").select("doc_id"), "repeated-ids")
+    if again.isEmpty():
+        return left
+    again = broadcast_if_small(again)
+    return left.join(again, "doc_id", "left_anti").unionByName(left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+
+
+def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages that an earlier document holds; those that were nothing else are gone."""
+    out = substring_dedup(docs, keep=("lang", "source"))
+    out = out.where((F.col("removed_words") == 0) | F.col("text").rlike(WITH_WORD))
+    return out.select(F.col("id").alias("doc_id"), "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as many times as the mix takes it, to the nearest whole number."""
+    copies = taken(docs).where("size > 0").withColumn("copies", F.round(F.col("taken") / F.col("size")).cast("int"))
+    copies = staged(copies.groupBy(F.col("id").alias("of")).agg(F.max("copies").alias("copies")).where("copies > 0"), "copies")
+    out = docs.where(F.col("text").rlike(WITH_WORD)).join(broadcast_if_small(copies), F.col("doc_id").eqNullSafe(F.col("of")))
+    return out.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(COLUMNS)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 tokens."""
+    return pack(docs)
 
 
-STAGES = [("quality rules", rules), ("near dedup", near)]
-#: SQL cannot express packing with a tokenizer.
+STAGES = [("quality rules", rules), ("near dedup", near), ("substring dedup", substrings), ("mixing", mix), ("packing", packing)]
+#: SQL cannot express packing with a tokenizer; tests hold the stages against plain Python.
 ORACLE_SQL = None
 
 
@@ -34,5 +68,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            docs = staged(docs, f"stage{k}")
+            docs = staged(docs, f"stage-{k}")
     return docs
