@@ -1,4 +1,10 @@
 """All queries of the analytics engine, by name, with their DuckDB SQL."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from . import activity, linking, reporting, scoring
+from .dialect import duck, query
+
+TEMPLATES = activity.TEMPLATES | scoring.TEMPLATES | linking.TEMPLATES | reporting.TEMPLATES
+QUERIES = {name: query(template) for name, template in TEMPLATES.items()}
+ORACLES = {name: duck(template) for name, template in TEMPLATES.items()}
