@@ -56,9 +56,9 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
-    """Connected components of ``edges`` (a, b): one row (id, component) for each id that has an edge to another.
+    """Connected components of ``edges`` (a, b): one row (id, component) for each id but the smallest of each component.
 
-    The component is its smallest id. Large-star and small-star steps alternate until the edges stay the same;
+    The smallest id names the component. Large-star and small-star steps alternate until the edges stay the same;
     every step is a pre-aggregated minimum and a join, so a hub of any degree is never gathered in one task.
     """
     now = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
