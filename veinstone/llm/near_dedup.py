@@ -12,11 +12,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, components, staged
-from .shingles import MIX_A, WordHashes, mixed, windows, words_of
+from .shingles import MIX_A, WordHashes, mixed, sliced, windows
 
 WORDS, BINS, BAND_ROWS, PERCENT = 5, 128, 4, 75
 
@@ -50,7 +50,7 @@ def band_hashes(sig: np.ndarray, rows: int = BAND_ROWS) -> np.ndarray:
 
 def sets_of(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     known = WordHashes()
-    for batch in batches:
+    for batch in sliced(batches):
         yield batch, [np.unique(windows(known.of(t.lower().split()), k)) if t else np.empty(0, np.uint64) for t in batch.column("text").to_pylist()]
 
 
@@ -78,7 +78,7 @@ def _sets(k: int):
 
 def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             keep = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
@@ -89,14 +89,41 @@ def _confirm(percent: int):
     return run
 
 
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in sliced(batches):
+        sets = [np.frombuffer(x, np.int64) for x in batch.column("hashes").to_pylist()]
+        sizes = np.array([len(s) for s in sets], np.int64)
+        cols = [np.repeat(batch.column("id").to_numpy(), sizes), np.repeat(sizes, sizes), np.concatenate(sets) if sets else np.empty(0, np.int64)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["id", "n", "token"])
+
+
+def _exact_pairs(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, na, b, nb): all pairs of ``left`` (id, c, apart), one of them apart, that may reach the similarity: an exact join by prefixes.
+
+    Shingles are put in one order, rare ones first. Sets that reach the similarity share a shingle so early in both
+    that enough of either follow it; what only one set holds comes first and counts, so that the variants of a text,
+    which differ by shingles of their own, meet only if they may be near.
+    """
+    tokens = sets.join(broadcast_if_small(left.select("id")), "id", "left_semi").mapInArrow(_tokens, "id long, n long, token long")
+    shared = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    listed = tokens.join(shared, "token").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("s"))  # no longer than its set
+    first = listed.withColumn("own", F.col("n") - F.size("s")).select("id", "n", "own", F.posexplode("s").alias("k", "x"))
+    first = first.select("id", "n", F.col("x.token").alias("token"), (F.col("n") - F.col("own") - F.col("k")).alias("ahead")).where(F.col("ahead") * 100 >= F.col("n") * percent)
+    first = staged(first.join(broadcast_if_small(left), "id"), "prefixes")
+    a = first.where("apart").select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("ahead").alias("xa"), F.col("c").alias("ca"))
+    b = first.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("ahead").alias("xb"), F.col("c").alias("cb"))
+    enough = F.least("xa", "xb") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
+    pairs = a.join(b, (a["token"] == b["token"]) & (F.col("ca") != F.col("cb")) & enough)
+    return pairs.select(F.least("a", "b").alias("a"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb"))
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, bins: int = BINS, band_rows: int = BAND_ROWS, percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, component, kept) for every row: components of the links with |A & B| >= percent% of |A | B|.
 
     Equal sets are first folded to one representative. Its signature is cut into bands; a bucket of one band gives
-    star edges from its hub only, each confirmed on the full sets. A bucket in which several components are left
-    is searched again with hubs from outside its largest component, twice as many each round, until every pair of
-    different components in it has been tried; so a link is lost only if a pair meets in no band at all
-    ((1 - 0.75^4)^32, about 5 in a million, at the threshold and less above it).
+    star edges from its hub only, each confirmed on the full sets. Where a bucket is left with several components, its
+    members outside the largest are held against all members of such buckets by an exact join; so a link is lost
+    only if a pair meets in no band at all ((1 - 0.75^4)^32, about 5 in a million, at the threshold).
     """
     text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
     sketch = staged(text.mapInArrow(_sketch(words, bins, band_rows), "id long, n long, set_a long, set_b long, bands array<long>"), "sketch")
@@ -118,21 +145,15 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rest = group.where("id <> low").select("bucket", "id", "n")
     links = staged(confirmed(rest.join(hubs, "bucket").select("a", "na", F.col("id").alias("b"), F.col("n").alias("nb"))), "links")
     of = components(links)
-    take = 1
-    while True:
-        part = rest.join(broadcast_if_small(of), "id", "left").select("bucket", "id", "n", F.coalesce("component", "id").alias("c"))
-        size = part.groupBy("bucket", "c").agg(F.count("*").alias("rows"))
-        main = size.groupBy("bucket").agg(F.count("*").alias("parts"), F.max_by("c", F.struct("rows", "c")).alias("main")).where("parts > 1")
-        left = staged(part.join(main, "bucket").select("bucket", "id", "n", "c", "main"), "left")
-        if left.isEmpty():
-            break
-        turn = Window.partitionBy("bucket").orderBy("id")
-        hubs = staged(left.where("c <> main").withColumn("k", F.row_number().over(turn)).where(F.col("k") <= take).select("bucket", F.col("id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca")), "hubs")
-        pairs = left.join(hubs, "bucket").where("c <> ca").select("a", "na", F.col("id").alias("b"), F.col("n").alias("nb"))
-        more = staged(confirmed(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "na", "nb")), "links")
-        of = components(of.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more))
-        rest = staged(left.select("bucket", "id", "n").join(hubs.select("bucket", F.col("a").alias("id")), ["bucket", "id"], "left_anti"), "rest")
-        take *= 2
+    part = rest.join(broadcast_if_small(of), "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("c"))
+    size = part.groupBy("bucket", "c").agg(F.count("*").alias("rows"))
+    main = size.groupBy("bucket").agg(F.count("*").alias("parts"), F.max_by("c", F.struct("rows", "c")).alias("main")).where("parts > 1")
+    left = part.join(main, "bucket").groupBy("id", "c").agg(F.bool_or(F.col("c") != F.col("main")).alias("apart"))
+    left = staged(left, "left")
+    if not left.isEmpty():
+        more = staged(confirmed(_exact_pairs(left, sets, percent)), "links")
+        if not more.isEmpty():
+            of = components(of.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more))
 
     found = member.select("id", "n", "rep").join(broadcast_if_small(of.withColumnRenamed("id", "rep")), "rep", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component"))
     alone = sketch.where("n = 0 OR id IS NULL").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component"))
