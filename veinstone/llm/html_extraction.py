@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, staged
+from .shingles import sliced
 
 #: A subtree is a template when it is on at least so many pages of its host and on at least this share of them.
 MIN_PAGES, MIN_SHARE = 5, 0.5
@@ -195,7 +196,7 @@ def main_text(page: str | None, recurring: frozenset[int] | set[int] = frozenset
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         hosts, hashes = [], []
         for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
             found: list[int] = []
@@ -208,7 +209,7 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         texts = [main_text(page, frozenset(gone or ())) for page, gone in zip(batch.column("html").to_pylist(), batch.column("gone").to_pylist(), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, staged
-from .shingles import WordHashes, mixed, windows
+from .shingles import WordHashes, mixed, sliced, windows
 
 BUCKET_BITS, SEED = 16, 4
 
@@ -37,7 +37,7 @@ def buckets(text: bytes | None, known: WordHashes, bits: int) -> np.ndarray:
 def _counter(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, raw, target = WordHashes(), np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64)
-        for batch in batches:
+        for batch in sliced(batches):
             for text, good in zip(batch.column("text").to_pylist(), batch.column("good").to_pylist(), strict=True):
                 n = np.bincount(buckets(text, known, bits), minlength=1 << bits)
                 raw += n
@@ -53,7 +53,7 @@ def _weigher(ratio: np.ndarray, bits: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         salt = np.uint64(seed)
-        for batch in batches:
+        for batch in sliced(batches):
             grams = [buckets(text, known, bits) for text in batch.column("text").to_pylist()]
             ids = np.array([0 if x is None else x + 1 for x in batch.column("id").to_pylist()], np.int64).view(np.uint64)
             u = (mixed(mixed(ids * np.uint64(0x9E3779B97F4A7C15) + salt)) >> np.uint64(11)).astype(float) + 0.5

@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 #: Odd multipliers of the 64-bit mixing steps (fixed values).
 MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches in parts of a few rows: what Python makes of a part is gone before the next."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 class WordHashes(dict):
     """Word to 64-bit hash; forgets its words when there are too many, so that memory stays bounded."""
 
-    LIMIT = 200_000
+    LIMIT = 150_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, staged
+from .shingles import sliced
 
 #: The field is fitted to at most so many labelled documents of each label, those with the lowest hash of their id.
 TRAIN_DOCS = 2_000
@@ -210,7 +211,7 @@ def summary(p: np.ndarray) -> tuple[float, float, float, float]:
 def _scorer(field: Field, with_spans: bool, least: float = 0.5):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         emissions = Emissions(field)
-        for batch in batches:
+        for batch in sliced(batches, 2048):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             scores, spans = [], []
             for at in range(0, len(texts), 1024):
