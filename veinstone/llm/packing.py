@@ -18,6 +18,7 @@ import re
 import sys
 import types
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shingles import sliced
+
 WINDOW, END = 2048, 1
 #: Tokens that a task holds before it packs them.
 BLOCK_TOKENS = 6_000_000
@@ -41,10 +44,10 @@ class Tokens:
     """
 
     #: Words that are remembered between texts.
-    LIMIT = 400_000
-    ODD = re.compile(r"[^\S\n ]|[ \n][ \n]|\A[ \n]|[ \n]\Z")
-    #: Letters and then marks: two pieces for the pattern, whatever they are.
-    PARTS = re.compile(r"([ \n]?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!#$%&()*+,\-./:;=?|]*)")
+    LIMIT = 800_000
+    ODD = re.compile(r"[^\S\n ]|[ \n][ \n]|\A[ \n]|[ \n]\Z|\0")
+    #: Letters and then marks: two pieces for the pattern, whatever they are. A zero stands for no space before the word.
+    PARTS = re.compile(r"(\0?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!#$%&()*+,\-./:;=?|]*)")
 
     def __init__(self, path: str, pattern: str) -> None:
         import tiktoken
@@ -56,40 +59,46 @@ class Tokens:
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.flat, self.used = np.empty(1 << 20, np.uint32), 0
-        self.first = np.empty(self.LIMIT, np.int64)
-        self.size = np.empty(self.LIMIT, np.int64)
-        self.pieces: dict[str, list[int]] = {}
+        # Ids of all known words, one after another; where each begins, and how many it has.
+        self.flat, self.first, self.size = array("I"), array("q"), array("q")
+        self.marks: dict[str, list[int]] = {}
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.encoding.encode_ordinary(text), np.uint32)
 
-    def _piece(self, piece: str) -> list[int]:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            ids = self.pieces[piece] = self.encoding._encode_single_piece(piece)
-        return ids
+    def _add(self, word: str, ids: list[int]) -> None:
+        self.known[word] = len(self.size)
+        self.first.append(len(self.flat))
+        self.size.append(len(ids))
+        self.flat.extend(ids)
 
     def _learn(self, words: list[str]) -> None:
+        known, parts, single = self.known, self.PARTS.fullmatch, self.encoding._encode_single_piece
         for word in words:
-            text = word if word[:1] == "\n" else word[1:] if word[:1] == " " else " " + word
-            m = self.PARTS.fullmatch(text) if text[:1] != "\n" else None
-            ids = (self._piece(m[1]) + self._piece(m[2]) if m[2] else self._piece(m[1])) if m else self.encoding.encode_ordinary(text)
-            if self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.empty(max(len(self.flat), len(ids)), np.uint32)])
-            k = len(self.known)
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.first[k], self.size[k] = self.used, len(ids)
-            self.used += len(ids)
-            self.known[word] = k
+            if word in known:  # learnt as a part of an earlier one
+                continue
+            m = parts(word)
+            if not m:
+                self._add(word, self.encoding.encode_ordinary(word if word == "\n" else word[1:] if word[:1] == "\0" else " " + word))
+                continue
+            letters, marks = m.groups()
+            if letters not in known:
+                self._add(letters, single(letters[1:] if letters[0] == "\0" else " " + letters))
+            if marks:
+                k = known[letters]
+                first = self.first[k]
+                tail = self.marks.get(marks)
+                if tail is None:
+                    tail = self.marks[marks] = single(marks)
+                self._add(word, [*self.flat[first : first + self.size[k]], *tail])
 
     def of(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, np.uint32)
         if self.ODD.search(text):
             return self.whole(text)
-        words = text.replace("\n", " \n").split(" ")
-        words[0] = " " + words[0]  # the first word has no space before it
+        words = text.replace("\n", " \n \0").split(" ")
+        words[0] = "\0" + words[0]
         known = self.known
         new = [w for w in set(words) if w not in known]
         if new:
@@ -100,9 +109,9 @@ class Tokens:
                     return self.whole(text)
             self._learn(new)
         at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-        size = self.size[at]
+        size = np.frombuffer(self.size, np.int64)[at]
         end = np.cumsum(size)
-        return self.flat[np.repeat(self.first[at] - (end - size), size) + np.arange(end[-1])]
+        return np.frombuffer(self.flat, np.uint32)[np.repeat(np.frombuffer(self.first, np.int64)[at] - (end - size), size) + np.arange(end[-1])]
 
 
 def tokens_of_worker(path: str | None) -> Tokens:
@@ -220,7 +229,7 @@ def _packer(path: str | None, window: int, end: int, with_ids: bool):
             out.clear()
             return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *["ids"] * with_ids])
 
-        for batch in batches:
+        for batch in sliced(batches):
             for doc, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 ids = np.append(tokens.of(text), np.uint32(end)).astype("<u4")
                 total = len(ids)
