@@ -111,4 +111,39 @@ def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
 
 def op2_divergence_rules(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return quality_rules(docs).withColumnRenamed("id", "doc_id")
+    return quality_rules(docs).withColumnRenamed("id", "doc_id").drop("class_distance", "word_distance")
+
+
+_COUNTS = ", ".join(f"length(text) - length(regexp_replace(text, '{p.replace(chr(39), chr(39) * 2)}', '', 'g')) AS c_{k}" for k, p in CLASSES.items())
+_SHARES = ", ".join([*(f"sum(c_{k}) / nullif(sum(chars), 0)" for k in CLASSES), f"1.0::DOUBLE - sum({' + '.join(f'c_{k}' for k in CLASSES)}) / nullif(sum(chars), 0)"])
+_TERM = "CASE WHEN {0} > 0 THEN {0} * log2(2 * {0} / ({0} + {1})) ELSE 0 END + CASE WHEN {1} > 0 THEN {1} * log2(2 * {1} / ({0} + {1})) ELSE 0 END".format("p", "q")
+
+SQL = rf"""
+WITH d AS (
+  SELECT doc_id, lang, coalesce(text, '') AS text, length(coalesce(text, '')) AS chars, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), c AS (SELECT doc_id, lang, chars, {_COUNTS} FROM d),
+own AS (SELECT doc_id, lang, [{_SHARES}] AS p FROM c GROUP BY doc_id, lang),
+ref AS (SELECT lang, [{_SHARES}] AS q FROM c WHERE lang IS NOT NULL GROUP BY lang),
+far AS (
+  SELECT doc_id, sqrt(greatest(0, sum({_TERM}) / 2)) AS class_distance
+  FROM (SELECT doc_id, unnest(p) AS p, unnest(q) AS q FROM own JOIN ref ON own.lang = ref.lang) GROUP BY doc_id
+), word AS (SELECT doc_id, lang, unnest(w) AS word FROM d),
+count_of AS (SELECT doc_id, word, count(*) AS n FROM word GROUP BY doc_id, word),
+lang_word AS (SELECT lang, word, count(*) AS n, sum(count(*)) OVER (PARTITION BY lang) AS total FROM word WHERE lang IS NOT NULL GROUP BY lang, word),
+top AS (SELECT lang, word, n / total AS q FROM lang_word QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) <= {COMMON_WORDS}),
+pair AS (SELECT d.doc_id, coalesce(n, 0) / len(w) AS p, q FROM d JOIN top ON d.lang = top.lang LEFT JOIN count_of k ON k.doc_id = d.doc_id AND k.word = top.word WHERE len(w) > 0),
+all_pair AS (SELECT * FROM pair UNION ALL SELECT doc_id, 1 - sum(p), 1 - sum(q) FROM pair GROUP BY doc_id),
+differ AS (SELECT doc_id, sqrt(greatest(0, sum({_TERM}) / 2)) AS word_distance FROM all_pair GROUP BY doc_id),
+three AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+twice AS (SELECT doc_id, g FROM three GROUP BY doc_id, g HAVING count(*) > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM three JOIN twice USING (doc_id, g), (VALUES (0), (1), (2)) v(k) GROUP BY doc_id),
+m AS (
+  SELECT doc_id, chars, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars, CAST(c_symbol AS BIGINT) AS n_symbols,
+         CAST(len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) - len(list_distinct(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
+  FROM d JOIN (SELECT doc_id, c_symbol FROM c) USING (doc_id) LEFT JOIN covered USING (doc_id)
+), b AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT coalesce(chars >= {MIN_CHARS} AND class_distance > {MAX_CLASS_DISTANCE}, false) AND NOT coalesce(n_words >= {MIN_COMMON} AND word_distance > {MAX_WORD_DISTANCE}, false) AS kept
+FROM b LEFT JOIN far USING (doc_id) LEFT JOIN differ USING (doc_id)
+"""

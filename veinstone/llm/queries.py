@@ -17,4 +17,4 @@ QUERIES = {
     "op10_crf_toxicity": toxicity.op10_crf_toxicity,
 }
 
-ORACLES = {"op5_low_discrepancy_mix": mixing.SQL, "op6_minhash_near_dedup": near_dedup.SQL, "op7_zstd_warc": warc.SQL}
+ORACLES = {"op2_divergence_rules": quality_rules.SQL, "op5_low_discrepancy_mix": mixing.SQL, "op6_minhash_near_dedup": near_dedup.SQL, "op7_zstd_warc": warc.SQL}
