@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import activity, linking, reporting, scoring
+from . import activity, linking, programmatic, reporting, scoring
 from .dialect import duck, query
 
 TEMPLATES = activity.TEMPLATES | scoring.TEMPLATES | linking.TEMPLATES | reporting.TEMPLATES
-QUERIES = {name: query(template) for name, template in TEMPLATES.items()}
+QUERIES = {name: query(template) for name, template in TEMPLATES.items()} | programmatic.QUERIES
 ORACLES = {name: duck(template) for name, template in TEMPLATES.items()}
