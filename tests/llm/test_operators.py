@@ -259,6 +259,22 @@ def test_templates_recur_on_a_host(spark):
     assert out[20].text == "Our site in brief\none\nAbout us all" and out[21].text == ""
 
 
+def test_templates_of_a_section_of_a_large_host(spark):
+    rng = random.Random(14)
+    menu, advert = "<div><p>Rivers Lakes Seas</p></div>", "<div><p>Buy our boats</p></div>"
+    body = lambda: f"<div><p>{prose(rng, 30, 5000)}</p></div>"
+    rows = [(i, f"http://h.example/{i}", f"<body>{menu if i % 4 == 0 else ''}{body()}</body>") for i in range(240)]
+    rows += [(300 + i, f"http://h.example/a{i}", f"<body>{advert}<article><p>{prose(rng, 40, 5000)}</p>{advert}</article></body>") for i in range(30)]
+    quoted = f"<div><p>{prose(rng, 9, 5000)}</p></div>"
+    rows += [(400 + i, f"http://h.example/b{i}", f"<body><article><p>{prose(rng, 40, 5000)}</p>{quoted}</article></body>") for i in range(30)]
+    same = f"<body>{body()}<div><p>Said but once</p></div></body>"
+    rows += [(500 + i, f"http://h.example/c{i}", same) for i in range(30)]
+    out = by_id(html_extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")), "page_id")
+    assert not [i for i, r in out.items() if "Rivers" in r.text or "boats" in r.text] and all(r.n_chars > 50 for r in out.values())
+    assert all("Said but once" in out[500 + i].text for i in range(30))
+    assert all(re.sub("<[^>]*>", "", quoted) in out[400 + i].text for i in range(30))  # inside articles only: no template
+
+
 def test_toxicity_finds_planted_words(spark):
     rng = random.Random(9)
     docs = [(i, prose(rng, 60, 300) + (" vile rotten vile " + prose(rng, 20, 300) if i % 5 == 0 else "")) for i in range(300)]

@@ -1,14 +1,15 @@
 """Main text of web pages: site templates are element subtrees that recur across a host's pages.
 
-A first pass hashes the element subtrees of every page; Spark counts on how many pages of its host each occurs. A
-second pass takes the article (else the main part, else the body), deletes subtrees that recur on most pages of the
-host and elements that by tag, role or class are no text of it, and joins the blocks that are left.
+A first pass hashes the element subtrees of every page; Spark counts on how many distinct pages of its host each
+occurs, and on how many of them outside the article. A second pass takes the article (else the main part, else the
+body), deletes subtrees that recur on the host and elements that by tag, role or class are no text of it, and joins
+the blocks that are left.
 
 Inside an article only containers are deleted as recurring, and never most of it: many pages of a host may hold the
 same article, and a template is what surrounds it. A line break ends a block.
 
 Results for odd input: a null, empty or blank page has an empty text; markup that is cut off or nested wrongly is read
-as far as it goes; pages without a host count as one host; equal pages get equal results, and each counts; no pages
+as far as it goes; pages without a host count as one host; equal pages get equal results and count once; no pages
 give no rows; extra columns are not read.
 """
 
@@ -26,8 +27,9 @@ from pyspark.sql import functions as F
 from .common import broadcast_if_small, staged
 from .shingles import sliced
 
-#: A subtree is a template when it is on at least so many pages of its host and on at least this share of them.
-MIN_PAGES, MIN_SHARE = 5, 0.5
+#: A subtree is a template when it is on at least so many distinct pages of its host, outside the article on ENOUGH of
+#: them (on a small host: on SMALL_SHARE of them), or, wherever it stands, on MIN_SHARE of them.
+MIN_PAGES, ENOUGH, SMALL_SHARE, MIN_SHARE = 5, 20, 0.1, 0.5
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
@@ -152,17 +154,29 @@ def parts_of(node: Node, tag: str) -> list[Node]:
     return out
 
 
+def article(root: Node) -> Node:
+    """The largest article, else the largest main part, else the body, of a hashed tree."""
+    for tag in ("article", "main", "body"):
+        if found := [x for x in parts_of(root, tag) if x.size]:
+            return max(found, key=lambda x: x.size)
+    return root
+
+
+def outside(node: Node, best: Node, found: set[int]) -> None:
+    """Add to ``found`` the hashes of blocks with text that are not in ``best``; of a page without an article, all."""
+    for part in node.parts:
+        if isinstance(part, Node) and not (part is best and best.tag in ("article", "main")):
+            if part.size and part.tag in BLOCK:
+                found.add(part.hash)
+            outside(part, best, found)
+
+
 def main_text(page: str | None, recurring: frozenset[int] | set[int] = frozenset()) -> str:
     if not page:
         return ""
     root = parsed(page)
     hashed(root, [])
-    best = None
-    for tag in ("article", "main", "body"):
-        if found := [x for x in parts_of(root, tag) if x.size]:
-            best = max(found, key=lambda x: x.size)
-            break
-    best = best or root
+    best = article(root)
     inside = best.tag in ("article", "main")
     blocks: list[str] = []
     open_block: list[str] = []
@@ -197,33 +211,46 @@ def main_text(page: str | None, recurring: frozenset[int] | set[int] = frozenset
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches):
-        hosts, hashes = [], []
+        hosts, hashes, out, pages = [], [], [], []
         for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
             found: list[int] = []
+            around: set[int] = set()
             if page:
-                hashed(parsed(page), found)
+                root = parsed(page)
+                hashed(root, found)
+                outside(root, article(root), around)
             one = {0, *found}  # 0 counts the page itself
             hosts += [host] * len(one)
             hashes += one
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], names=["host", "hash"])
+            out += [int(x in around) for x in one]
+            pages += [xxhash.xxh3_64_intdigest((page or "").encode("utf-8", "surrogatepass")) - (1 << 63)] * len(one)
+        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(pages, pa.int64()), pa.array(out, pa.int32())], names=["host", "hash", "page", "outside"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches):
-        texts = [main_text(page, frozenset(gone or ())) for page, gone in zip(batch.column("html").to_pylist(), batch.column("gone").to_pylist(), strict=True)]
+        known: dict[str, frozenset[int]] = {}
+        texts = []
+        for k, (host, page) in enumerate(zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True)):
+            if host not in known:
+                known[host] = frozenset(batch.column("gone")[k].as_py() or ())
+            texts.append(main_text(page, known[host]))
         yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
 def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """One row per host (host, gone): the hashes of its recurring subtrees.
 
-    Each of them is on ``min_share`` of the host's pages, so there are at most 1 / min_share times as many as a page
-    of it has elements on average.
+    Each of them is on ``min_pages`` distinct pages at least, and on a host of many pages on ``ENOUGH``, so there are
+    at most 1 / ENOUGH times as many as the host's pages have elements.
     """
-    count = pages.select("host", "html").mapInArrow(_subtrees, "host string, hash long").groupBy("host", "hash").agg(F.count("*").alias("n"))
+    rows = pages.select("host", "html").mapInArrow(_subtrees, "host string, hash long, page long, outside int")
+    distinct = rows.groupBy("host", "hash", "page").agg(F.max("outside").alias("outside"))  # equal pages count once
+    count = distinct.groupBy("host", "hash").agg(F.count("*").alias("n"), F.sum("outside").alias("around"))
     count = staged(count.where(F.col("n") >= min_pages), "subtrees")
     whole = count.where("hash = 0").select("host", F.col("n").alias("pages"))
-    often = count.where("hash <> 0").join(broadcast_if_small(whole), "host").where(F.col("n") >= min_share * F.col("pages"))
+    enough = F.greatest(F.lit(min_pages), F.least(F.lit(ENOUGH), F.ceil(SMALL_SHARE * F.col("pages"))))
+    often = count.where("hash <> 0").join(broadcast_if_small(whole), "host").where((F.col("around") >= enough) | (F.col("n") >= min_share * F.col("pages")))
     return often.groupBy("host").agg(F.collect_list("hash").alias("gone"))
 
 
@@ -232,7 +259,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1))
     p = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host.alias("host"))
     gone = broadcast_if_small(staged(templates(p), "templates"), 100_000)
-    return p.join(gone, "host", "left").select("id", "url", "html", "gone").mapInArrow(_texts, f"page_id {dict(p.dtypes)['id']}, url string, text string, n_chars long")
+    return p.join(gone, "host", "left").select("id", "url", "host", "html", "gone").mapInArrow(_texts, f"page_id {dict(p.dtypes)['id']}, url string, text string, n_chars long")
 
 
 def op8_site_template_removal(spark, sf_dir: str) -> DataFrame:
