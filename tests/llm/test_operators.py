@@ -225,6 +225,19 @@ def test_substring_dedup_cuts_the_shared_passage(docs, rows, empty):
     assert substring_dedup.substring_dedup(empty).collect() == []
 
 
+def test_substring_dedup_cuts_passages_with_a_changed_word(spark):
+    rng = random.Random(21)
+    rows = []
+    for k in range(40):
+        passage = prose(rng, (60, 80)[k % 2], 50000).split()
+        changed = list(passage)
+        changed[len(passage) // 2] = "changed"
+        rows += [(k, f"{prose(rng, 50, 50000)} {' '.join(passage)} {prose(rng, 40, 50000)}"), (100 + k, f"{prose(rng, 35, 50000)} {' '.join(changed)} {prose(rng, 60, 50000)}")]
+    out = by_id(substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert sum(out[100 + k].removed_words >= (60, 80)[k % 2] - 2 for k in range(40)) >= 38
+    assert all(out[k].removed_words == 0 for k in range(40))
+
+
 def test_archives_round_trip_and_checks(spark):
     big = "x" * 1500 + "é"
     pages = [(1, "http://a/ü b", big), (2, None, big), (3, "http://a", None), (4, "u", "y" * 1200), (None, "u", big), (5, "http://a\r\nEvil: 1", "small"), (6, "u", "small"), (2, "u", big)]
