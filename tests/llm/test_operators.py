@@ -238,6 +238,24 @@ def test_substring_dedup_cuts_passages_with_a_changed_word(spark):
     assert all(out[k].removed_words == 0 for k in range(40))
 
 
+def test_substring_dedup_behind_partial_earlier_quotes(spark):
+    rng = random.Random(22)
+    rows = []
+    for k in range(60):  # the first document holds too little of the passage that the two others share
+        passage = prose(rng, 50 + k % 12, 50000).split()
+        at = 0 if k % 2 else len(passage) - 45
+        for d, part in enumerate((passage[at : at + 45], passage, passage)):
+            rows.append((1000 * d + k, f"{prose(rng, 30 + 7 * d, 50000)} {' '.join(part)} {prose(rng, 50 - 9 * d, 50000)}"))
+    out = by_id(substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)))
+    seen: set[tuple] = set()
+    for i, text in sorted(rows):  # brute force: an earlier document holds no 50 words that are left here
+        left = (out[i].text or "").lower().split()
+        assert not seen & {tuple(left[k : k + 50]) for k in range(len(left) - 49)}, i
+        words = text.lower().split()
+        seen |= {tuple(words[k : k + 50]) for k in range(len(words) - 49)}
+    assert all(out[i].removed_words == 0 for i in range(60)) and all(out[1000 + i].removed_words == 0 for i in range(60))
+
+
 def test_archives_round_trip_and_checks(spark):
     big = "x" * 1500 + "é"
     pages = [(1, "http://a/ü b", big), (2, None, big), (3, "http://a", None), (4, "u", "y" * 1200), (None, "u", big), (5, "http://a\r\nEvil: 1", "small"), (6, "u", "small"), (2, "u", big)]
