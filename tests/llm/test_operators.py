@@ -93,6 +93,18 @@ def test_cached_tokens_equal_the_tokenizer(text):
     assert packing.tokens_of_worker(None).of(text).tolist() == t.encode(text, add_special_tokens=False).ids
 
 
+def test_packing_takes_literal_special_tokens_as_one_id(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>\n x", "end  <|endoftext|>", "a<|endoftext|", "<|endoftext|> lead\tt <|endoftext|>é"]
+    out = {p.doc_id: p for p in packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), with_ids=True).collect()}
+    for k, text in enumerate(texts):
+        ids = [*t.encode(text, add_special_tokens=False).ids, 1]
+        assert out[k].ids == ids and out[k].doc_tokens == len(ids) and out[k].ids_crc32 == zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids)), text
+
+
 def test_packed_windows_are_full_and_whole():
     import numpy as np
 

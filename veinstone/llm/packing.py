@@ -7,7 +7,7 @@ residual pieces are packed greedily, the largest that fits first; where none fit
 end of a block is carried into the next, so that only the last window of a partition is padded.
 
 Results for odd input: a null or empty text is the end token alone; equal rows are packed separately; texts of any
-length are cut into windows; no documents give no pieces; a null id is kept; extra columns are not read.
+length are cut into windows; a literal <|endoftext|> is its one id; no documents give no pieces; a null id is kept; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from .shingles import sliced
 
 WINDOW, END = 2048, 1
+#: Literal tokens that the tokenizers file adds to the vocabulary: a text is cut at them before anything else.
+ADDED = {"<|endoftext|>": 50256}
 #: Tokens that a task holds before it packs them.
 BLOCK_TOKENS = 6_000_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -63,6 +65,13 @@ class Tokens:
         self.flat, self.first, self.size = array("I"), array("q"), array("q")
         self.marks: dict[str, list[int]] = {}
 
+    def with_added(self, text: str | None) -> np.ndarray:
+        """Ids of a text as the tokenizers file has them by default: literals of ``ADDED`` are one id each."""
+        if not text or not any(a in text for a in ADDED):
+            return self.of(text)
+        parts = re.split("(" + "|".join(map(re.escape, ADDED)) + ")", text)
+        return np.concatenate([np.array([ADDED[x]], np.uint32) if x in ADDED else self.of(x) for x in parts])
+
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.encoding.encode_ordinary(text), np.uint32)
 
@@ -206,7 +215,7 @@ def packed(lengths: np.ndarray, window: int = WINDOW) -> tuple[list[list[tuple[i
 
 def _packer(path: str | None, window: int, end: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = tokens_of_worker(path)
+        tokens, public = tokens_of_worker(path), path is None
         seq = TaskContext.get().partitionId() << 33
         out: list[tuple] = []
         pool: list[tuple] = []  # (doc_id, first token, ids, doc_tokens) of documents' remainders
@@ -231,7 +240,7 @@ def _packer(path: str | None, window: int, end: int, with_ids: bool):
 
         for batch in sliced(batches):
             for doc, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = np.append(tokens.of(text), np.uint32(end)).astype("<u4")
+                ids = np.append(tokens.with_added(text) if public else tokens.of(text), np.uint32(end)).astype("<u4")
                 total = len(ids)
                 for start in range(0, total - total % window, window):
                     part = ids[start : start + window]
