@@ -14,13 +14,16 @@ SPACE = r"[\x20\x09-\x0D]+"
 #: A table of at most so many rows of a few numbers may be broadcast (some tens of MB).
 BROADCAST_ROWS = 500_000
 
-_staged: list[tuple[SparkSession, str]] = []
+_staged: dict[str, SparkSession] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where that is unset, a local one that is set for this session."""
+    """The folder of ``spark.checkpoint.dir``; where that is unset, a local one for a local session, and an error on a cluster."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="veinstone-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -32,23 +35,30 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/veinstone-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     if not _staged:
-        atexit.register(_release)
-    _staged.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+        atexit.register(lambda: _delete(list(_staged)))
+    _staged[path] = spark
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
 
 
-def _release() -> None:
-    for spark, path in _staged:
+def released(*tables: DataFrame) -> None:
+    """Delete staged tables that no later job reads."""
+    _delete([t.staged_at for t in tables])
+
+
+def _delete(paths: list[str]) -> None:
+    for path in paths:
+        spark = _staged.pop(path)
         try:
             at = spark._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
         except Exception:  # noqa: BLE001  the session may have ended; the files are only scratch
             return
-    _staged.clear()
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` (staged, so that counting is cheap) marked for broadcast when it has at most ``rows`` rows.
+    """``df`` (staged, so that counting is cheap) marked for broadcast when it has at most ``rows`` rows, of a few numbers each.
 
     Beyond that it is joined by shuffle, where adaptive execution splits skewed keys.
     """
@@ -58,18 +68,22 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of ``edges`` (a, b): one row (id, component) for each id but the smallest of each component.
 
-    The smallest id names the component. Large-star and small-star steps alternate until the edges stay the same;
-    every step is a pre-aggregated minimum and a join, so a hub of any degree is never gathered in one task.
+    The smallest id names the component. Large-star and small-star steps alternate until the edges stay the same.
+    Every step is a pre-aggregated minimum, one row for each id, that is written and then joined: a hub's edges are
+    not gathered in one task, since either the minima are broadcast or the join reads two plain shuffles, of which
+    adaptive execution splits the larger side of a skewed key.
     """
     now = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
     said = None
     while True:
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = staged(small.union(low.select("u", F.col("m").alias("v"))).distinct(), name)
+        low = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), name)
+        large = staged(both.join(broadcast_if_small(low), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), name)
+        least = staged(large.groupBy("u").agg(F.min("v").alias("m")), name)
+        small = large.join(broadcast_if_small(least), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        after = staged(small.union(least.select("u", F.col("m").alias("v"))).distinct(), name)
+        released(now, low, large, least)
+        now = after
         says = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(says) == said:
             return now.select(F.col("u").alias("id"), F.col("v").alias("component"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, components, staged
-from .shingles import MIX_A, WordHashes, mixed, sliced, windows
+from .shingles import MIX_A, Words, gram_sets, mixed, sliced
 
 WORDS, BINS, BAND_ROWS, PERCENT = 5, 128, 4, 75
 
@@ -49,9 +49,8 @@ def band_hashes(sig: np.ndarray, rows: int = BAND_ROWS) -> np.ndarray:
 
 
 def sets_of(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
-    known = WordHashes()
     for batch in sliced(batches):
-        yield batch, [np.unique(windows(known.of(t.lower().split()), k)) if t else np.empty(0, np.uint64) for t in batch.column("text").to_pylist()]
+        yield batch, gram_sets(Words(batch.column("text")), k)
 
 
 def _sketch(k: int, bins: int, rows: int):

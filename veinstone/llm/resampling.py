@@ -20,14 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, staged
-from .shingles import WordHashes, mixed, sliced, windows
+from .shingles import Words, mixed, sliced, windows
 
 BUCKET_BITS, SEED = 16, 4
 
 
-def buckets(text: bytes | None, known: WordHashes, bits: int) -> np.ndarray:
-    """Buckets of all word unigrams and bigrams of a text."""
-    h = known.of(text.lower().split()) if text else np.empty(0, np.uint64)
+def buckets(h: np.ndarray, bits: int) -> np.ndarray:
+    """Buckets of all unigrams and bigrams of a text's word hashes."""
     if not len(h):
         return np.empty(0, np.int64)
     grams = np.concatenate([windows(h, 1), windows(h, 2)]) if len(h) > 1 else windows(h, 1)
@@ -36,13 +35,14 @@ def buckets(text: bytes | None, known: WordHashes, bits: int) -> np.ndarray:
 
 def _counter(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, raw, target = WordHashes(), np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64)
+        raw, target = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64)
         for batch in sliced(batches):
-            for text, good in zip(batch.column("text").to_pylist(), batch.column("good").to_pylist(), strict=True):
-                n = np.bincount(buckets(text, known, bits), minlength=1 << bits)
-                raw += n
-                if good:
-                    target += n
+            words = Words(batch.column("text"))
+            grams = [buckets(words.of(k), bits) for k in range(len(words))]
+            good = [g for g, is_good in zip(grams, batch.column("good").to_pylist(), strict=True) if is_good]
+            raw += np.bincount(np.concatenate(grams), minlength=1 << bits)
+            if good:
+                target += np.bincount(np.concatenate(good), minlength=1 << bits)
         some = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(raw[some]), pa.array(target[some])], names=["bucket", "raw", "target"])
 
@@ -51,10 +51,10 @@ def _counter(bits: int):
 
 def _weigher(ratio: np.ndarray, bits: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         salt = np.uint64(seed)
         for batch in sliced(batches):
-            grams = [buckets(text, known, bits) for text in batch.column("text").to_pylist()]
+            words = Words(batch.column("text"))
+            grams = [buckets(words.of(k), bits) for k in range(len(words))]
             ids = np.array([0 if x is None else x + 1 for x in batch.column("id").to_pylist()], np.int64).view(np.uint64)
             u = (mixed(mixed(ids * np.uint64(0x9E3779B97F4A7C15) + salt)) >> np.uint64(11)).astype(float) + 0.5
             noise = -np.log(-np.log(u / 2.0**53))

@@ -1,37 +1,47 @@
-"""Word hashes and word shingles of whole texts, on numpy arrays (runs inside Arrow-batched tasks)."""
+"""Word hashes and word shingles of whole texts, on numpy arrays (runs inside Arrow-batched tasks).
+
+A slice of a batch is hashed as one array of bytes: a word's hash is a polynomial of its bytes, so that there is no
+Python object for a word and no dictionary of words.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 
 #: Odd multipliers of the 64-bit mixing steps (fixed values).
 MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+#: Bytes of text that are worked on at a time; a longer text alone is one slice.
+SLICE_BYTES, PART_BYTES = 1 << 20, 1 << 18
 
 
-def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """Batches in parts of a few rows: what Python makes of a part is gone before the next."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
-
-
-class WordHashes(dict):
-    """Word to 64-bit hash; forgets its words when there are too many, so that memory stays bounded."""
-
-    LIMIT = 150_000
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of a binary column; a null is empty."""
+    if column.null_count:
+        column = column.fill_null(b"")
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    _, at, data = column.buffers()
+    offsets = np.frombuffer(at, kind)[column.offset : column.offset + len(column) + 1].astype(np.int64) if at and at.size else np.zeros(len(column) + 1, np.int64)
+    whole = np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)
+    return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512, text: str = "text") -> Iterator[pa.RecordBatch]:
+    """Batches in parts of a few rows and of about ``SLICE_BYTES`` of text: what Python makes of a part is gone before the next."""
+    for batch in batches:
+        size = None
+        if text in batch.schema.names and (pa.types.is_binary(batch.column(text).type) or pa.types.is_string(batch.column(text).type)):
+            size = np.cumsum(np.asarray(batch.column(text).is_valid()) * np.diff(np.frombuffer(batch.column(text).buffers()[1], np.int32)[batch.column(text).offset :][: batch.num_rows + 1].astype(np.int64)))
+        at = 0
+        while at < batch.num_rows:
+            end = min(at + rows, batch.num_rows)
+            if size is not None:
+                end = min(end, max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + SLICE_BYTES, "right"))))
+            yield batch.slice(at, end - at)
+            at = end
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -39,6 +49,56 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+@cache
+def _byte_values() -> tuple[np.ndarray, np.ndarray]:
+    """(whether a byte is white space, its value): A-Z count as a-z, white space as 0."""
+    b = np.arange(256)
+    space = np.isin(b, [0x20, *range(0x09, 0x0E)])
+    small = np.where((b >= 65) & (b <= 90), b + 32, b)
+    values = mixed(mixed((small + 1).astype(np.uint64) * MIX_A) * MIX_A + MIX_B)
+    values[space] = 0
+    return space, values
+
+
+@cache
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the multiplier modulo 2 ** 64, and those of its inverse."""
+    inverse = np.array([pow(int(MIX_A), -1, 1 << 64)], np.uint64)
+    with np.errstate(over="ignore"):
+        return tuple(np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, x, np.uint64)])) for x in (MIX_A, inverse[0]))
+
+
+class Words:
+    """Hashes of the words of a slice of texts, one after another; ``at[k]`` to ``at[k + 1]`` are those of text k."""
+
+    def __init__(self, column: pa.Array) -> None:
+        data, offsets = text_bytes(column)
+        is_space, values = _byte_values()
+        space = is_space[data]
+        before = np.ones(len(data) + 1, bool)
+        before[1:] = space
+        before[offsets] = True
+        starts = np.flatnonzero(~space & before[:-1])
+        self.at = np.searchsorted(starts, offsets)
+        self.hashes = np.empty(len(starts), np.uint64)
+        ends = np.append(starts[1:], len(data))
+        k = 0
+        while k < len(starts):
+            first = starts[k]
+            stop = max(k + 1, int(np.searchsorted(ends, first + PART_BYTES, "right")))
+            last = ends[stop - 1]
+            power, inverse = _powers(PART_BYTES) if last - first <= PART_BYTES else _powers.__wrapped__(int(last - first))
+            place = starts[k:stop] - first
+            self.hashes[k:stop] = mixed(np.add.reduceat(values[data[first:last]] * power[: last - first], place) * inverse[place])
+            k = stop
+
+    def __len__(self) -> int:
+        return len(self.at) - 1
+
+    def of(self, k: int) -> np.ndarray:
+        return self.hashes[self.at[k] : self.at[k + 1]]
+
+
 def windows(hashes: np.ndarray, k: int) -> np.ndarray:
     """The hash of every k-word window; of the whole sequence if it has fewer words; none without words."""
     n = len(hashes)
@@ -48,10 +108,25 @@ def windows(hashes: np.ndarray, k: int) -> np.ndarray:
     m = n - k + 1
     out = np.full(m, k, np.uint64)
     for i in range(k):
-        out = mixed(out * MIX_A + hashes[i : i + m])
-    return out
-
-
-def words_of(text: str | None) -> list[bytes]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case, as UTF-8."""
-    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+        out *= MIX_A
+        out += hashes[i : i + m]
+    return mixed(mixed(out) * MIX_A)
+
+
+def gram_sets(words: Words, k: int) -> list[np.ndarray]:
+    """The sorted distinct k-word windows of every text."""
+    grams = windows(words.hashes, k)
+    sizes = np.diff(words.at)
+    return [np.unique(grams[a : a + n - k + 1]) if n >= k else windows(words.hashes[a : a + n], k) for a, n in zip(words.at[:-1].tolist(), sizes.tolist(), strict=True)]
+
+
+def least_of(x: np.ndarray, width: int) -> np.ndarray:
+    """Minima of ``width`` neighbours, one for each place where so many begin."""
+    if len(x) < width:
+        return x[:0]
+    have = 1
+    while have * 2 <= width:
+        x = np.minimum(x[:-have], x[have:])
+        have *= 2
+    rest = width - have
+    return np.minimum(x[:-rest], x[rest:]) if rest else x
