@@ -11,10 +11,10 @@ columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, broadcast_if_small, staged
+from .common import SPACE, released, staged
 
 COMMON_WORDS = 32
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -26,9 +26,12 @@ SYMBOLS = r"[#*$%&|<>]"
 CLASSES = {"upper": r"[A-Z]", "digit": r"[0-9]", "symbol": SYMBOLS, "stop": r"[.,;:]", "mark": r"""[\x21\x22\x27-\x29+\-/=?@\[-`{}~]""", "far": r"[^\x00-\x7F]", "space": r"[\x20\x09-\x0D]"}
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """Characters of ``text`` in the class ``pattern``."""
-    return (F.length(text) - F.length(F.regexp_replace(text, pattern, ""))).cast("long")
+def class_counts(text: Column) -> dict[str, Column]:
+    """Characters of ``text`` in each class. What most texts are full of, small letters and white space, is taken out first, so that the other classes are looked for in the short rest."""
+    rest = F.regexp_replace(text, "[a-z]++", "")
+    bare = F.regexp_replace(rest, r"[\x20\x09-\x0D]++", "")
+    n = {k: F.length(bare) - F.length(F.regexp_replace(bare, f"{p}++", "")) for k, p in CLASSES.items()} | {"space": F.length(rest) - F.length(bare)}
+    return {k: c.cast("long").alias(f"c_{k}") for k, c in n.items()}
 
 
 def shares(counts: list[Column], total: Column) -> Column:
@@ -45,12 +48,17 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(each, F.lit(0.0), lambda s, x: s + x) / 2))
 
 
-def measured(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> DataFrame:
-    """One row per document: words, base measures, and counts of character classes."""
-    d = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+def keyed(docs: DataFrame, text_col: str, lang_col: str, id_col: str) -> DataFrame:
+    """(id, lang, text, digest); id and digest tell rows apart, but for equal ones, whose results are equal."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), text.alias("text"), F.xxhash64(text, F.col(lang_col)).alias("digest"))
+
+
+def measured(d: DataFrame) -> DataFrame:
+    """One row per row of ``keyed``: words, base measures, and counts of character classes."""
     d = d.withColumn("words", F.filter(F.split("text", SPACE), lambda w: w != ""))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    d = d.select("id", "lang", "words", F.length("text").cast("long").alias("chars"), lines.alias("lines"), *[matches(F.col("text"), p).alias(f"c_{k}") for k, p in CLASSES.items()])
+    d = d.select("id", "lang", "digest", "words", F.length("text").cast("long").alias("chars"), lines.alias("lines"), *class_counts(F.col("text")).values())
     d = d.withColumn("h", F.transform("words", lambda w: F.xxhash64(w)))
     triples = F.transform("h", lambda x, i: F.xxhash64(x, F.get("h", i + 1), F.get("h", i + 2)))
     d = d.withColumn("t", F.when(F.size("h") >= 3, F.slice(triples, 1, F.size("h") - 2)).otherwise(F.array().cast("array<bigint>")))
@@ -61,7 +69,7 @@ def measured(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id
     d = d.withColumn("at", F.sort_array(F.array_compact(hit)))
     covered = F.aggregate(F.transform("at", lambda a, i: F.least(F.lit(3), F.coalesce(F.get("at", i + 1) - a, F.lit(3)))), F.lit(0), lambda s, x: s + x)
     return d.select(
-        "id", "lang", "h", "chars",
+        "id", "lang", "digest", "chars",
         F.size("words").cast("long").alias("n_words"),
         (F.col("chars") - F.col("c_space")).alias("word_chars"),
         F.col("c_symbol").alias("n_symbols"),
@@ -71,22 +79,34 @@ def measured(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id
     )
 
 
-def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", common: int = COMMON_WORDS) -> DataFrame:
-    """One row per language, over all its documents: class shares, hashes of its most common words, their shares and that of the rest."""
-    d = docs.select(F.col(lang_col).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where("lang IS NOT NULL")
-    total = d.select("lang", F.length("text").cast("long").alias("chars"), *[matches(F.col("text"), p).alias(f"c_{k}") for k, p in CLASSES.items()])
-    total = total.groupBy("lang").agg(F.sum("chars").alias("chars"), *[F.sum(f"c_{k}").alias(f"c_{k}") for k in CLASSES])
-    total = total.select("lang", class_shares().alias("class_ref"))
-    word = d.select("lang", F.explode(F.split("text", SPACE)).alias("word")).where("word <> ''").groupBy("lang", "word").agg(F.count("*").alias("n"))
-    word = staged(word, "language-words")
-    all_words = word.groupBy("lang").agg(F.sum("n").alias("words"))
-    # The top of a language is the top of the tops of its shares: no task sees all words of a language.
-    part = word.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(256)))
-    top = part.groupBy("lang", "part").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("m"), "word"))), 1, common).alias("top"))
-    top = top.groupBy("lang").agg(F.slice(F.sort_array(F.flatten(F.collect_list("top"))), 1, common).alias("top"))
-    ref = top.join(all_words, "lang").select("lang", F.transform("top", lambda x: F.xxhash64(x["word"])).alias("common"), F.transform("top", lambda x: -x["m"] / F.col("words")).alias("q"))
-    ref = ref.withColumn("q", F.concat("q", F.array(1.0 - F.aggregate("q", F.lit(0.0), lambda s, x: s + x))))
-    return total.join(ref, "lang", "left")
+def words_of(d: DataFrame) -> DataFrame:
+    return d.where("lang IS NOT NULL").withColumn("word", F.explode(F.split("text", SPACE))).where("word <> ''").drop("text")
+
+
+def common_words(d: DataFrame, common: int = COMMON_WORDS) -> DataFrame:
+    """(lang, word, place, share): the most common words of each language over all its documents, from place 0 on."""
+    word = staged(words_of(d.select("lang", "text")).groupBy("lang", "word").agg(F.count("*").alias("n")), "language-words")
+    total = word.groupBy("lang").agg(F.sum("n").alias("words"))
+    # The top of a language is the top of the tops of its shares, of which no task keeps more than the top rows.
+    n = lambda *by: F.row_number().over(Window.partitionBy("lang", *by).orderBy(F.desc("n"), "word"))
+    top = word.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(256))).withColumn("k", n("part")).where(F.col("k") <= common)
+    top = top.withColumn("place", n() - 1).where(F.col("place") < common)
+    out = staged(top.join(F.broadcast(total), "lang").select("lang", "word", "place", (F.col("n") / F.col("words")).alias("share")), "common-words")
+    released(word)
+    return out
+
+
+def word_shares(d: DataFrame, common: DataFrame) -> DataFrame:
+    """(id, digest, n): for every row with words, a map from places of its language's common words, -1 for all other words, to how often they occur."""
+    lists = F.broadcast(common.select(F.xxhash64("lang", "word").alias("key"), "place"))  # COMMON_WORDS rows a language
+    found = words_of(d).select("id", "digest", F.xxhash64("lang", "word").alias("key")).join(lists, "key", "left")
+    counts = found.groupBy("id", "digest", F.coalesce("place", F.lit(-1)).alias("place")).agg(F.count("*").alias("n"))
+    return counts.groupBy("id", "digest").agg(F.map_from_entries(F.collect_list(F.struct("place", "n"))).alias("n"))
+
+
+def with_rest(column: str) -> Column:
+    """Shares with what they leave of 1 behind them."""
+    return F.concat(column, F.array(1.0 - F.aggregate(column, F.lit(0.0), lambda s, x: s + x)))
 
 
 def class_shares() -> Column:
@@ -95,23 +115,29 @@ def class_shares() -> Column:
 
 
 def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> DataFrame:
-    """(id, measures, class_distance, word_distance, base_failed, kept) for every row of ``docs``."""
-    refs = staged(references(docs, text_col, lang_col), "language-references")
-    d = measured(docs, text_col, lang_col, id_col).join(broadcast_if_small(refs, 10_000), "lang", "left")
-    counts = F.transform("common", lambda r: (F.size("h") - F.size(F.array_remove("h", r))).cast("double"))
-    n = F.col("n_words").cast("double")
-    p = F.transform(counts, lambda c: c / n)
-    d = d.withColumn("p", F.when(F.col("n_words") > 0, p)).withColumn("p", F.concat("p", F.array(1.0 - F.aggregate("p", F.lit(0.0), lambda s, x: s + x))))
-    d = d.withColumn("class_distance", F.when(F.col("chars") > 0, js_distance(class_shares(), F.col("class_ref"))))
-    d = d.withColumn("word_distance", F.when(F.col("n_words") > 0, js_distance(F.col("p"), F.col("q"))))
+    """(id, digest, measures, class_distance, word_distance, base_failed, kept) for every row of ``docs``."""
+    d = keyed(docs, text_col, lang_col, id_col)
+    m = staged(measured(d), "measures")
+    common = common_words(d)
+    n = staged(word_shares(d, common).withColumnsRenamed({"id": "_id", "digest": "_digest"}), "word-shares")
+    totals = m.where("lang IS NOT NULL").groupBy("lang").agg(F.sum("chars").alias("chars"), *[F.sum(f"c_{k}").alias(f"c_{k}") for k in CLASSES])
+    ref = common.groupBy("lang").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "share"))), lambda x: x["share"]).alias("q"))
+    ref = ref.withColumn("q", with_rest("q"))
+    refs = staged(totals.select("lang", class_shares().alias("class_ref")).join(ref, "lang", "left"), "language-references")
+    m = m.join(F.broadcast(refs), "lang", "left").join(n, F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left")
+    all_words = F.aggregate(F.map_values("n"), F.lit(0).cast("long"), lambda s, x: s + x)
+    p = F.transform(F.sequence(F.lit(0), F.size("q") - 2), lambda k: F.coalesce(F.try_element_at("n", k), F.lit(0)) / F.col("all_words"))
+    m = m.withColumn("all_words", all_words).withColumn("p", F.when(F.col("n").isNotNull() & (F.size("q") > 1), p)).withColumn("p", with_rest("p"))
+    m = m.withColumn("class_distance", F.when(F.col("chars") > 0, js_distance(class_shares(), F.col("class_ref"))))
+    m = m.withColumn("word_distance", js_distance(F.col("p"), F.col("q")))
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     far = F.coalesce((F.col("chars") >= MIN_CHARS) & (F.col("class_distance") > MAX_CLASS_DISTANCE), F.lit(False)) | F.coalesce((F.col("n_words") >= MIN_COMMON) & (F.col("word_distance") > MAX_WORD_DISTANCE), F.lit(False))
-    return d.select("id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), (~base & ~far).alias("kept"), "class_distance", "word_distance")
+    return m.select("id", "digest", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), (~base & ~far).alias("kept"), "class_distance", "word_distance")
 
 
 def op2_divergence_rules(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return quality_rules(docs).withColumnRenamed("id", "doc_id").drop("class_distance", "word_distance")
+    return quality_rules(docs).withColumnRenamed("id", "doc_id").drop("digest", "class_distance", "word_distance")
 
 
 _COUNTS = ", ".join(f"length(text) - length(regexp_replace(text, '{p.replace(chr(39), chr(39) * 2)}', '', 'g')) AS c_{k}" for k, p in CLASSES.items())
