@@ -1,6 +1,7 @@
 """The corpus operators on small fixtures with nulls, empty and long texts, ties, repeats, and against brute force."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -200,8 +201,16 @@ def test_mixing_targets_and_shares(docs, rows, empty):
     for r in out:
         assert r.taken <= 2 * r.size and r.source_size == sizes[r.source] and abs(r.target - target[r.source]) < 1e-6
         got[r.source] += r.taken
-    assert all(got[s] == int(target[s] + 1e-9) for s in order)
-    assert sum(r.words for r in segments.collect()) == sum(got.values())
+    parts = segments.collect()
+    slots = round(sum(target.values()) / 64)
+    u = [((i + 1) * mixing.GOLDEN) % 1 for i in range(slots)]
+    high = list(itertools.accumulate(target[s] / sum(target.values()) for s in order))
+    drawn = Counter(next((s for s, h in zip(order, high, strict=True) if x < h), order[-1]) for x in u)
+    assert all(got[s] == min(64 * drawn[s], 2 * sizes[s]) and abs(64 * drawn[s] - target[s]) <= 3 * 64 for s in order)
+    assert sum(r.words for r in parts) == sum(got.values()) and {r.slot for r in parts} <= set(range(slots))
+    for k in range(0, slots, 97):  # any stretch of the schedule holds a source about as often as its share says
+        seen = Counter(next((s for s, h in zip(order, high, strict=True) if x < h), order[-1]) for x in u[k : k + 200])
+        assert all(abs(seen[s] - len(u[k : k + 200]) * target[s] / sum(target.values())) <= 4 for s in order)
     assert mixing.taken(empty).collect() == []
 
 
@@ -331,8 +340,6 @@ def test_toxicity_finds_planted_words(spark):
 
 
 def test_forward_backward_against_enumeration():
-    import itertools
-
     import numpy as np
 
     rng = np.random.default_rng(0)

@@ -2,12 +2,14 @@
 
 Slot i of the schedule is the point frac((i + 1) / golden ratio) mapped through the cumulative targets of the
 sources; slots are ranked per source, and rank r takes block r of that source's shuffled words, blocks having equal
-numbers of words and starting over after the last. Closing slots top up a source that the points left short of its
-target and a last block is cut at it, so that every source takes exactly the whole words of its target.
+numbers of words and starting over after the last. How many slots a source gets, and so what is taken of it, is what
+the points draw: within a few blocks of its target (the discrepancy of the points), and never more than ``most`` times
+its words, where the last block is cut.
 
 Results for odd input: a null, empty or blank text has size 0 and is never taken; null is a source of its own, the
 last; equal rows are separate documents (their shares are equal or follow each other in the shuffle); without
-documents or words nothing is taken; extra columns are not read. A null id sorts as the text "null".
+documents or words nothing is taken; extra columns are not read. A null id sorts as the text "null". A source whose
+target is less than a block may get no slot, or one.
 """
 
 from __future__ import annotations
@@ -18,9 +20,12 @@ from pyspark.sql import functions as F
 from .common import SPACE, broadcast_if_small, indexed, staged
 
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
-BLOCK_WORDS = 4096
-GOLDEN = 0.6180339887498949
+BLOCK_WORDS = 64
+#: 1 / golden ratio, and the fraction of STEP times it, so that points far out lose no precision.
+GOLDEN, STEP, GOLDEN_STEP = 0.6180339887498949, 1 << 20, 0.607787409740351
 CELLS, CHUNK = 4096, 65_536
+#: Documents of one source that one task puts in order.
+BUCKET_ROWS = 8192
 
 
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -53,7 +58,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
 def placed(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     """Documents with the place ``start`` of their first word in the shuffled words of their source; places are summed in two levels, so that no task sees a whole source."""
     n = sizes.count()
-    buckets = max(1, n // 50_000)
+    buckets = -(-n // BUCKET_ROWS) or 1
     d = sizes.join(broadcast_if_small(sources).withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of", "weight")
     d = d.withColumn("bucket", F.floor(F.conv(F.substring("h", 1, 7), 16, 10).cast("long") * buckets / (1 << 28)))
     sums = d.groupBy(F.col("index").alias("s"), F.col("bucket").alias("b")).agg(F.sum("size").alias("words"))
@@ -63,51 +68,63 @@ def placed(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     return d.join(broadcast_if_small(sums), (F.col("index") == F.col("s")) & (F.col("bucket") == F.col("b"))).withColumn("start", F.col("before") + F.col("inside")).drop("s", "b", "before", "inside", "bucket", "h")
 
 
+def points(n: int, spark) -> DataFrame:
+    """(slot, u): the first ``n`` points."""
+    i = F.col("id")
+    u = F.floor(i / STEP) * GOLDEN_STEP + (i % STEP + 1) * GOLDEN
+    return spark.range(n).select(i.alias("slot"), (u - F.floor(u)).alias("u"))
+
+
 def schedule(sources: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     """(slot, index, rank): which source each slot draws, and its rank among the slots of that source."""
     spark = sources.sparkSession
-    s = sources.select("index", "target", F.floor("target").alias("quota")).withColumn("part", F.col("index") - F.col("index") % CHUNK)
+    s = sources.select("index", "target").withColumn("part", F.col("index") - F.col("index") % CHUNK)
     parts = s.groupBy("part").agg(F.sum("target").alias("t")).withColumn("base", F.sum("t").over(Window.orderBy("part")) - F.col("t")).select("part", "base")
     s = s.join(parts, "part").withColumn("high", F.col("base") + F.sum("target").over(Window.partitionBy("part").orderBy("index")))
     total = s.agg(F.sum("target")).first()[0] or 0.0
     if not total:
         return spark.createDataFrame([], "slot long, index long, rank long")
-    s = staged(s.select("index", "quota", ((F.col("high") - F.col("target")) / total).alias("low"), F.when(F.col("high") >= total, 1.0).otherwise(F.col("high") / total).alias("high")), "shares")
+    s = s.select("index", ((F.col("high") - F.col("target")) / total).alias("low"), F.when(F.col("high") >= total, 1.0).otherwise(F.col("high") / total).alias("high"))
     cells = s.where("low < high").select("index", "low", "high", F.explode(F.sequence(F.floor(F.col("low") * CELLS), F.least(F.floor(F.col("high") * CELLS), F.lit(CELLS - 1)))).alias("cell"))
-    n = -(-int(total) // block)
-    u = (F.col("id") + 1) * GOLDEN
-    slots = spark.range(n).select(F.col("id").alias("slot"), (u - F.floor(u)).alias("u")).withColumn("cell", F.floor(F.col("u") * CELLS))
+    slots = points(round(total / block) or 1, spark).withColumn("cell", F.floor(F.col("u") * CELLS))
     drawn = slots.join(broadcast_if_small(staged(cells, "cells")), "cell").where("low <= u AND u < high").select("slot", "index", F.floor(F.col("slot") / CHUNK).alias("chunk"))
     drawn = staged(drawn, "slots")
     count = drawn.groupBy("index", "chunk").agg(F.count("*").alias("c")).withColumn("before", F.sum("c").over(Window.partitionBy("index").orderBy("chunk")) - F.col("c"))
-    ranked = drawn.withColumn("in", F.row_number().over(Window.partitionBy("index", "chunk").orderBy("slot"))).join(count, ["index", "chunk"]).select("slot", "index", (F.col("before") + F.col("in") - 1).alias("rank"))
-    due = s.select("index", F.ceil(F.col("quota") / block).alias("due"))
-    ranked = ranked.join(broadcast_if_small(due), "index").where("rank < due").select("slot", "index", "rank")
-    had = drawn.groupBy("index").agg(F.count("*").alias("had"))
-    closing = due.join(had, "index", "left").withColumn("had", F.coalesce("had", F.lit(0))).where("had < due").select("index", F.explode(F.sequence("had", F.col("due") - 1)).alias("rank"))
-    return ranked.union(closing.select(F.lit(n).cast("long"), "index", "rank"))
+    ranked = drawn.withColumn("in", F.row_number().over(Window.partitionBy("index", "chunk").orderBy("slot"))).join(count, ["index", "chunk"])
+    return ranked.select("slot", "index", (F.col("before") + F.col("in") - 1).alias("rank"))
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK_WORDS, **rates) -> tuple[DataFrame, DataFrame]:
-    """(documents, segments): documents with size, source_size, target and start; segments with the words [first, first + words) of a document that a slot takes."""
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK_WORDS, most: int = MOST, **rates) -> tuple[DataFrame, DataFrame]:
+    """(documents, segments): documents with size, source_size, target and start; segments with the words [first, first + words) of a document that a slot takes in its ``turn`` of the source."""
     sizes = staged(sized(docs, id_col, text_col, source_col), "sizes")
-    sources = staged(targets(sizes, **rates), "targets")
-    d = staged(placed(sizes, sources), "placed").withColumn("quota", F.floor("target"))
-    whole = F.sequence(F.lit(0).cast("long"), F.floor((F.col("quota") - 1 - F.col("start")) / F.col("source_size")))
-    turn = d.where("size > 0 AND start < quota").withColumn("turn", F.explode(whole)).withColumn("from", F.col("turn") * F.col("source_size") + F.col("start"))
-    turn = turn.withColumn("to", F.least(F.col("from") + F.col("size"), F.col("quota")))
+    sources = staged(targets(sizes, most=most, **rates), "targets")
+    slots = staged(schedule(sources, block), "schedule")
+    due = slots.groupBy("index").agg(F.count("*").alias("slots"))
+    due = sources.join(due, "index", "left").select("index", F.least(F.coalesce("slots", F.lit(0)) * block, F.col("source_size") * most).alias("due"))
+    d = staged(placed(sizes, sources).join(broadcast_if_small(staged(due, "due")), "index"), "placed")
+    whole = F.sequence(F.lit(0).cast("long"), F.floor((F.col("due") - 1 - F.col("start")) / F.col("source_size")))
+    turn = d.where("size > 0 AND start < due").withColumn("turn", F.explode(whole)).withColumn("from", F.col("turn") * F.col("source_size") + F.col("start"))
+    turn = turn.withColumn("to", F.least(F.col("from") + F.col("size"), F.col("due")))
     part = turn.withColumn("rank", F.explode(F.sequence(F.floor(F.col("from") / block), F.floor((F.col("to") - 1) / block))))
     low, high = F.greatest("from", F.col("rank") * block), F.least("to", (F.col("rank") + 1) * block)
     part = part.select("id", "source", "index", "size", "source_size", "target", "start", "rank", "turn", (low - F.col("from")).alias("first"), (high - low).alias("words"))
-    return d, part.join(schedule(sources, block), ["index", "rank"])
+    return d, part.join(slots, ["index", "rank"])
+
+
+KEY = ["id", "source", "size", "source_size", "target", "start"]
 
 
 def taken(docs: DataFrame, **options) -> DataFrame:
     """One row for every document: size, source, source_size, target, and the words that the mix takes of it."""
     d, segments = mixed(docs, **options)
-    key = ["id", "source", "size", "source_size", "target", "start"]
-    some = segments.groupBy(key).agg(F.sum("words").alias("taken"))
-    return some.union(d.where("size = 0 OR start >= quota").select(*key, F.lit(0).cast("long"))).drop("start")
+    some = segments.groupBy(KEY).agg(F.sum("words").alias("taken"))
+    return some.union(d.where("size = 0 OR start >= due").select(*KEY, F.lit(0).cast("long"))).drop("start")
+
+
+def copies(docs: DataFrame, **options) -> DataFrame:
+    """(id, source, start, size, turn, words): a row for each time that the mix takes a document, with how many of its words, from its first on."""
+    _, segments = mixed(docs, **options)
+    return segments.groupBy("id", "source", "start", "size", "turn").agg(F.sum("words").alias("words"))
 
 
 def op5_low_discrepancy_mix(spark, sf_dir: str) -> DataFrame:
@@ -127,12 +144,17 @@ p AS (
          coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used,
          sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open FROM w
 ), l AS (SELECT min((total - used) / open) AS level FROM (SELECT *, row_number() OVER (ORDER BY ratio, source NULLS LAST) AS i FROM p WHERE ratio > (total - used) / open QUALIFY i = 1)),
-t AS (SELECT source, source_size, CASE WHEN level IS NULL OR cap <= level * weight THEN cap ELSE level * weight END AS target FROM w, l),
+t AS (SELECT source, source_size, CASE WHEN level IS NULL OR cap <= level * weight THEN cap ELSE level * weight END AS target FROM w, l), c AS (
+  SELECT source, sum(target) OVER (ORDER BY source NULLS LAST ROWS UNBOUNDED PRECEDING) AS high, target, sum(target) OVER () AS total FROM t
+), b AS (SELECT source, (high - target) / total AS low, CASE WHEN high >= total THEN 1.0::DOUBLE ELSE high / total END AS high FROM c WHERE total > 0),
+i AS (SELECT unnest(range((SELECT CAST(greatest(round(sum(target) / {block}), 1) AS BIGINT) FROM t))) AS i),
+u AS (SELECT floor(i / {step}) * {golden_step}::DOUBLE + (i % {step} + 1) * {golden}::DOUBLE AS x FROM i),
+n AS (SELECT source, count(*) AS slots FROM b JOIN (SELECT x - floor(x) AS u FROM u) p ON low <= u AND u < high GROUP BY source),
+q AS (SELECT t.source, source_size, target, CAST(least(coalesce(slots, 0) * {block}, 2 * source_size) AS BIGINT) AS q FROM t LEFT JOIN n ON t.source IS NOT DISTINCT FROM n.source),
 o AS (
-  SELECT d.*, source_size, target, CAST(floor(target) AS BIGINT) AS q,
-         sum(size) OVER (PARTITION BY d.source ORDER BY h, size, doc_id ROWS UNBOUNDED PRECEDING) - size AS start
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+  SELECT d.*, source_size, target, q, sum(size) OVER (PARTITION BY d.source ORDER BY h, size, doc_id ROWS UNBOUNDED PRECEDING) - size AS start
+  FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source
 )
 SELECT doc_id, size, source_size, target,
        CAST(greatest(0, least(size, q - start)) + greatest(0, least(size, q - source_size - start)) AS BIGINT) AS taken FROM o
-"""
+""".format(block=BLOCK_WORDS, step=STEP, golden=GOLDEN, golden_step=GOLDEN_STEP)
