@@ -6,7 +6,7 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -30,15 +30,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: later jobs neither repeat nor lose the work."""
+    """Write ``df`` once to the shared folder and read it back: later jobs neither repeat nor lose the work. The write also counts the rows."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/veinstone-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    counted = Observation()
+    df.observe(counted, F.count(F.lit(1)).alias("n")).write.parquet(path)
     if not _staged:
         atexit.register(lambda: _delete(list(_staged)))
     _staged[path] = spark
     out = spark.read.schema(df.schema).parquet(path)
-    out.staged_at = path
+    out.staged_at, out.staged_rows = path, counted.get["n"]
     return out
 
 
@@ -58,36 +59,42 @@ def _delete(paths: list[str]) -> None:
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` (staged, so that counting is cheap) marked for broadcast when it has at most ``rows`` rows, of a few numbers each.
+    """``df``, staged (or a projection of a staged table, which is counted), marked for broadcast when it has at most ``rows`` rows, of a few numbers each.
 
     Beyond that it is joined by shuffle, where adaptive execution splits skewed keys.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    n = df.staged_rows if "staged_rows" in vars(df) else df.limit(rows + 1).count()
+    return F.broadcast(df) if n <= rows else df
+
+
+def renamed(df: DataFrame, **names: str) -> DataFrame:
+    """A staged table with columns under other names: new=old."""
+    out = df.select(*[F.col(old).alias(new) for new, old in names.items()])
+    out.staged_rows = df.staged_rows
+    return out
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of ``edges`` (a, b): one row (id, component) for each id but the smallest of each component.
 
-    The smallest id names the component. Large-star and small-star steps alternate until the edges stay the same.
-    Every step is a pre-aggregated minimum, one row for each id, that is written and then joined: a hub's edges are
-    not gathered in one task, since either the minima are broadcast or the join reads two plain shuffles, of which
-    adaptive execution splits the larger side of a skewed key.
+    The smallest id names the component. In every round each id finds its least neighbour m, its other smaller
+    neighbours are tied to m, and every edge is moved on to the least neighbour of its lower end; so paths halve. The
+    rounds end when every edge leads to an id without smaller neighbours.
+
+    A hub's edges are not gathered in one task: minima are aggregated before the shuffle, one row for each id, and
+    written; then they are broadcast or joined as a plain shuffle, of which adaptive execution splits a skewed key.
     """
     now = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
-    said = None
     while True:
-        both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), name)
-        large = staged(both.join(broadcast_if_small(low), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), name)
-        least = staged(large.groupBy("u").agg(F.min("v").alias("m")), name)
-        small = large.join(broadcast_if_small(least), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        after = staged(small.union(least.select("u", F.col("m").alias("v"))).distinct(), name)
-        released(now, low, large, least)
+        low = staged(now.groupBy("u").agg(F.min("v").alias("m")), name)
+        tie = lambda a, is_open: F.struct(F.col(a).alias("a"), F.col("m").alias("b"), F.lit(is_open).alias("open"))
+        tied = now.join(broadcast_if_small(low), "u").select(F.explode(F.array(tie("u", False), tie("v", True))).alias("e")).select("e.*").where("a <> b")
+        moved = tied.join(broadcast_if_small(renamed(low, b="u", lower="m")), "b", "left")
+        after = staged(moved.groupBy(F.col("a").alias("u"), F.coalesce("lower", "b").alias("v")).agg(F.bool_or(F.col("open") | F.col("lower").isNotNull()).alias("open")), name)
+        released(now, low)
         now = after
-        says = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(says) == said:
-            return now.select(F.col("u").alias("id"), F.col("v").alias("component"))
-        said = tuple(says)
+        if now.where("open").isEmpty():
+            return renamed(now, id="u", component="v")
 
 
 def indexed(df: DataFrame, order: list, name: str) -> DataFrame:

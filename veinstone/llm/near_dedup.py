@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, components, staged
+from .common import broadcast_if_small, components, released, renamed, staged
 from .shingles import MIX_A, Words, gram_sets, mixed, sliced
 
 WORDS, BINS, BAND_ROWS, PERCENT = 5, 128, 4, 75
@@ -103,7 +103,7 @@ def _exact_pairs(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     that enough of either follow it; what only one set holds comes first and counts, so that the variants of a text,
     which differ by shingles of their own, meet only if they may be near.
     """
-    tokens = sets.join(broadcast_if_small(left.select("id")), "id", "left_semi").mapInArrow(_tokens, "id long, n long, token long")
+    tokens = sets.join(broadcast_if_small(renamed(left, id="id")), "id", "left_semi").mapInArrow(_tokens, "id long, n long, token long")
     shared = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     listed = tokens.join(shared, "token").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("s"))  # no longer than its set
     first = listed.withColumn("own", F.col("n") - F.size("s")).select("id", "n", "own", F.posexplode("s").alias("k", "x"))
@@ -153,8 +153,10 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         more = staged(confirmed(_exact_pairs(left, sets, percent)), "links")
         if not more.isEmpty():
             of = components(of.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more))
+        released(more)
+    released(group, ids, sets, links, left)
 
-    found = member.select("id", "n", "rep").join(broadcast_if_small(of.withColumnRenamed("id", "rep")), "rep", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component"))
+    found = member.select("id", "n", "rep").join(broadcast_if_small(renamed(of, rep="id", component="component")), "rep", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component"))
     alone = sketch.where("n = 0 OR id IS NULL").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component"))
     return found.union(alone).select("id", "n_shingles", "component", F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"))
 
