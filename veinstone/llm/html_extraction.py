@@ -1,16 +1,20 @@
 """Main text of web pages: site templates are element subtrees that recur across a host's pages.
 
-A first pass hashes the element subtrees of every page; Spark counts on how many distinct pages of its host each
-occurs, and on how many of them outside the article. A second pass takes the article (else the main part, else the
-body), deletes subtrees that recur on the host and elements that by tag, role or class are no text of it, and joins
-the blocks that are left.
+A first pass hashes the element subtrees of every page in two ways: with their text, and by structure alone (tag,
+class, id, role and place in the page, and the kinds of its children, however many). Spark counts on how many distinct
+pages of its host each occurs, and on how many of them outside the main part. A second pass deletes the subtrees that
+recur on the host, then those whose tag or role says that they are no text, and joins the blocks that are left of the
+main part: the article, else the main element, else the part that holds most of the page's text outside links.
 
-Inside an article only containers are deleted as recurring, and never most of it: many pages of a host may hold the
-same article, and a template is what surrounds it. A line break ends a block.
+Structure alone only tells menus, adverts and the like, which are named or full of links, and only outside the main
+part: in it, paragraphs are alike on all pages. Inside the main part a subtree that recurs with its text is deleted if
+it is a container, and never most of the part: many pages of a host may hold the same article, and a template is what
+surrounds it. There, class names count only as whole words and on containers. A line break ends a block.
 
 Results for odd input: a null, empty or blank page has an empty text; markup that is cut off or nested wrongly is read
-as far as it goes; pages without a host count as one host; equal pages get equal results and count once; no pages
-give no rows; extra columns are not read.
+as far as it goes, a quote that is never closed ends with its tag; pages of any depth and length are read in linear
+time and without recursion; pages without a host count as one host; equal pages get equal results and count once; no
+pages give no rows; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -31,8 +36,10 @@ from .shingles import sliced
 #: them (on a small host: on SMALL_SHARE of them), or, wherever it stands, on MIN_SHARE of them.
 MIN_PAGES, ENOUGH, SMALL_SHARE, MIN_SHARE = 5, 20, 0.1, 0.5
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
-ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+OPENING = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+#: What may end a tag, or begin a quoted value in it.
+STOP = re.compile(r">|=\s*[\"']")
+ATTRIBUTE = re.compile(r"""(?<![\w\-])(class|id|role|style|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 # Element names by kind, and class words of what is no part of a text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp".split())
@@ -43,6 +50,8 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login sidebar widget widgets related recommended share sharing social breadcrumb breadcrumbs menu menus nav navbar navigation toolbar footer header masthead topbar comment comments commentlist disqus replies respond pagination pager search skip".split()
 )
+#: Class and id names that say the same inside an article.
+INSIDE = frozenset("ad ads advert advertisement sponsored promo cookie-notice cookie-banner notice newsletter comments comment-list commentlist comments-area disqus_thread replies respond share-buttons social-share related-posts related-articles breadcrumb breadcrumbs pagination".split())
 CONTAINERS = frozenset("div section aside ul ol dl table header footer nav form figure details fieldset".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tbody", "thead", "tr", "td", "th"}}
@@ -50,134 +59,191 @@ SCOPES = frozenset("ul ol dl table td th body html article section div".split())
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parts", "hash", "size")
+    """An element; ``hash`` of its subtree with the text, ``shape`` of its structure, ``size`` and ``links``: characters of its text, and of these in links."""
 
-    def __init__(self, tag: str, attrs: str) -> None:
-        self.tag, self.attrs, self.parts = tag, attrs, []
+    __slots__ = ("tag", "attrs", "parts", "parent", "hash", "shape", "size", "links")
 
+    def __init__(self, tag: str, attrs: str, parent: Node | None) -> None:
+        self.tag, self.attrs, self.parts, self.parent = tag, attrs, [], parent
+
+
+def tag_end(page: str, at: int) -> int:
+    """The place behind the tag whose attributes begin at ``at``, -1 if there is no end; a quote that is never closed counts for nothing."""
+    while stop := STOP.search(page, at):
+        if stop[0] == ">":
+            return stop.end()
+        close = page.find(stop[0][-1], stop.end())
+        at = close + 1 if close >= 0 else stop.end()
+    return -1
+
+
+def parsed(page: str) -> list[Node]:
+    """All elements of a page, each before its children; the first is the page itself."""
+    root = Node("#", "", None)
+    nodes, stack = [root], [root]
+    opened: dict[str, list[int]] = {}  # where in the stack the open elements of a tag are
+    scopes: list[int] = [0]
+    closing: dict[str, re.Pattern] = {}
+
+    def close(depth: int) -> None:
+        while len(stack) > depth:
+            tag = stack.pop().tag
+            opened[tag].pop()
+            if tag in SCOPES:
+                scopes.pop()
 
-def parsed(page: str) -> Node:
-    root = Node("#", "")
-    stack = [root]
     at, end = 0, len(page)
     while at < end:
-        m = TOKEN.search(page, at)
+        m = OPENING.search(page, at)
         if not m:
             stack[-1].parts.append(page[at:])
             break
         if m.start() > at:
             stack[-1].parts.append(page[at : m.start()])
-        at = m.end()
-        tag = m[2]
-        if not tag:
+        if not m[2]:  # a comment or a declaration
+            mark = "-->" if m[0] == "<!--" else ">"
+            stop = page.find(mark, m.end())
+            at = stop + len(mark) if stop >= 0 else end
             continue
-        tag = tag.lower()
+        at = tag_end(page, m.end())
+        if at < 0:  # cut off within a tag
+            break
+        attrs = page[m.end() : at - 1]
+        tag = m[2].lower()
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
+            if opened.get(tag):
+                close(opened[tag][-1])
             continue
-        if tag in ENDS_P:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == "p":
-                    del stack[k:]
-                    break
-                if stack[k].tag in SCOPES:
-                    break
-        if tag in SIBLINGS:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in SIBLINGS[tag]:
-                    del stack[k:]
-                    break
-                if stack[k].tag in SCOPES:
-                    break
-        node = Node(tag, m[3])
+        if tag in ENDS_P and opened.get("p") and opened["p"][-1] > scopes[-1]:
+            close(opened["p"][-1])
+        if tag in SIBLINGS and (last := max((opened[t][-1] for t in SIBLINGS[tag] if opened.get(t)), default=0)) > scopes[-1] - (tag in ("td", "th", "dd", "dt")):
+            close(last)
+        node = Node(tag, attrs, stack[-1])
+        nodes.append(node)
         stack[-1].parts.append(node)
-        if tag in VOID or m[3].endswith("/") and tag in ("path", "rect", "circle", "use"):
+        if tag in VOID or attrs.endswith("/") and tag in ("path", "rect", "circle", "use"):
             continue
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(page, at)
-            node.parts.append(page[at : close.start() if close else end])
-            at = close.end() if close else end
+            if tag not in closing:
+                closing[tag] = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I)
+            stop = closing[tag].search(page, at)
+            node.parts.append(page[at : stop.start() if stop else end])
+            at = stop.end() if stop else end
             continue
-        if len(stack) < 400:  # deeper elements become siblings: no page can exhaust the stack
-            stack.append(node)
-    return root
-
-
-def hashed(node: Node, found: list[int]) -> None:
-    """Set the hash and the number of text characters of every subtree; ``found`` gets the hashes of containers with text, and of blocks outside articles."""
-    own, size = [node.tag], 0
-    for part in node.parts:
-        if isinstance(part, str):
-            text = " ".join(part.split())
-            own.append(text)
-            if node.tag not in RAW:
-                size += len(text)
-        else:
-            hashed(part, found)
-            own.append(str(part.hash))
-            size += part.size
-    node.hash = xxhash.xxh3_64_intdigest("\x1f".join(own).encode("utf-8", "surrogatepass")) - (1 << 63)
-    node.size = size
-    if size and node.tag in BLOCK:
-        found.append(node.hash)
-
-
-def no_text(node: Node) -> bool:
-    """Whether an element's tag, role or class says that it is no part of the text."""
-    if node.tag in DROPPED:
-        return True
-    if not node.attrs or node.tag in ("article", "main", "body", "html", "#"):
-        return "comment" in node.attrs.lower() and node.tag == "article"
-    for m in ATTRIBUTE.finditer(node.attrs):
-        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in ROLES:
-            return True
-        if name == "style":
-            if "display:none" in value.replace(" ", ""):
-                return True
-        elif name in ("class", "id") and node.tag not in HEADINGS and node.tag != "p" and not WORDS.isdisjoint(re.split(r"[^a-z]+", re.sub(r"(side|nav|top)-?bar", r"\1bar", value))):
-            return True
-        elif name in ("class", "id") and node.tag == "p" and value in WORDS:
-            return True
-    return False
+        opened.setdefault(tag, []).append(len(stack))
+        if tag in SCOPES:
+            scopes.append(len(stack))
+        stack.append(node)
+    return nodes
 
 
-def parts_of(node: Node, tag: str) -> list[Node]:
-    """Outermost elements ``tag`` that are not inside something that is no text."""
-    out = []
-    for part in node.parts:
-        if isinstance(part, Node) and not no_text(part):
-            out += [part] if part.tag == tag else parts_of(part, tag)
-    return out
+def digest(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def article(root: Node) -> Node:
-    """The largest article, else the largest main part, else the body, of a hashed tree."""
-    for tag in ("article", "main", "body"):
-        if found := [x for x in parts_of(root, tag) if x.size]:
-            return max(found, key=lambda x: x.size)
-    return root
+@lru_cache(20_000)
+def attributes(attrs: str) -> dict[str, str]:
+    return {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in ATTRIBUTE.finditer(attrs)} if attrs else {}
 
 
-def outside(node: Node, best: Node, found: set[int]) -> None:
-    """Add to ``found`` the hashes of blocks with text that are not in ``best``; of a page without an article, all."""
-    for part in node.parts:
-        if isinstance(part, Node) and not (part is best and best.tag in ("article", "main")):
-            if part.size and part.tag in BLOCK:
-                found.add(part.hash)
-            outside(part, best, found)
+@lru_cache(20_000)
+def kind(tag: str, attrs: str) -> str:
+    """Tag and names of an element, without numbers."""
+    a = attributes(attrs)
+    return " ".join([tag, *sorted(re.sub(r"[0-9]+", "0", f"{a.get('class', '')} {a.get('id', '')} {a.get('role', '')}").split())])
 
 
-def main_text(page: str | None, recurring: frozenset[int] | set[int] = frozenset()) -> str:
+def measure(nodes: list[Node]) -> None:
+    """Set hashes and sizes of all elements; children come after their parents, so the last is first."""
+    for node in reversed(nodes):
+        own, shapes, size, links = [node.tag], set(), 0, 0
+        for part in node.parts:
+            if isinstance(part, str):
+                text = " ".join(part.split())
+                own.append(text)
+                size += len(text)
+            else:
+                own.append(str(part.hash))
+                shapes.add(part.shape)
+                size += part.size
+                links += part.links
+        if node.tag in RAW:
+            size = 0
+        node.hash, node.shape = digest("\x1f".join(own)), digest("\x1f".join([kind(node.tag, node.attrs), *map(str, sorted(shapes))]))
+        node.size, node.links = size, size if node.tag == "a" else links
+
+
+@lru_cache(20_000)
+def said_no_text(tag: str, attrs: str, inside: bool) -> bool:
+    """Whether an element's tag, role or class says that it is no part of the text; ``inside`` the main part fewer names do."""
+    a = attributes(attrs)
+    if tag in DROPPED or "hidden" in a or a.get("aria-hidden") == "true" or a.get("role") in ROLES or "display:none" in a.get("style", "").replace(" ", ""):
+        return True
+    names = f"{a.get('class', '')} {a.get('id', '')}"
+    if tag == "article":
+        return "comment" in names
+    if tag in ("main", "body", "html", "#"):
+        return False
+    if inside:
+        return tag in CONTAINERS and not INSIDE.isdisjoint(names.split())
+    return tag in CONTAINERS and not WORDS.isdisjoint(re.split(r"[^a-z]+", re.sub(r"(side|nav|top)-?bar", r"\1bar", names)))
+
+
+def main_part(nodes: list[Node]) -> Node:
+    """The largest article, else the largest main element, else, from the body on, the part that holds most of the text outside links."""
+    gone: set[int] = set()
+    for node in nodes:
+        if id(node.parent) in gone or said_no_text(node.tag, node.attrs, False):
+            gone.add(id(node))
+    for tag in ("article", "main", "body", "#"):
+        if found := [x for x in nodes if x.tag == tag and x.size and id(x) not in gone]:
+            best = max(found, key=lambda x: x.size)
+            break
+    else:
+        return nodes[0]
+    while best.tag not in ("article", "main"):
+        text = [x for x in best.parts if isinstance(x, Node) and id(x) not in gone and (x.size - x.links) * 10 >= 7 * (best.size - best.links) > 0 and x.tag in CONTAINERS | {"html", "body", "center"}]
+        if not text:
+            break
+        best = text[0]
+    return best
+
+
+def around(nodes: list[Node], best: Node) -> set[int]:
+    """Identities of the elements that neither hold the main part nor are in it; of a page whose main part is all of it, none."""
+    holds, inner = set(), {id(best)}
+    up = best
+    while up := up.parent:
+        holds.add(id(up))
+    for node in nodes:
+        if id(node.parent) in inner:
+            inner.add(id(node))
+    return {id(x) for x in nodes} - holds - inner
+
+
+def places(nodes: list[Node], out: set[int]) -> dict[int, int]:
+    """For elements around the main part that are named or full of links: the hash of their structure and place."""
+    path: dict[int, int] = {}
+    found: dict[int, int] = {}
+    for node in nodes if out else []:
+        name = kind(node.tag, node.attrs)
+        path[id(node)] = digest(f"{path.get(id(node.parent), '')} {name}")
+        if id(node) in out and node.size and (" " in name or node.tag in ("nav", "header", "footer", "aside", "form") or node.links * 2 > node.size):
+            found[id(node)] = digest(f"{path[id(node)]} {node.shape}")
+    return found
+
+
+def main_text(page: str | None, recurring: frozenset[int] | set[int] = frozenset(), lists: bool = True) -> str:
+    """The text of a page without the subtrees whose hashes are ``recurring``; ``lists``: and without what tags, roles and names tell, main part only."""
     if not page:
         return ""
-    root = parsed(page)
-    hashed(root, [])
-    best = article(root)
-    inside = best.tag in ("article", "main")
+    nodes = parsed(page)
+    measure(nodes)
+    best = main_part(nodes)
+    out = around(nodes, best)
+    place = places(nodes, out)
+    article = best.tag in ("article", "main")
+    top = best if lists and article else next((x for x in nodes if x.tag == "body"), nodes[0])
     blocks: list[str] = []
     open_block: list[str] = []
 
@@ -187,48 +253,63 @@ def main_text(page: str | None, recurring: frozenset[int] | set[int] = frozenset
                 blocks.append(text)
             open_block.clear()
 
-    def walk(node: Node, headings_only: bool = False) -> None:
-        for part in node.parts:
-            if isinstance(part, str):
-                if not headings_only:
-                    open_block.append(part)
-                continue
-            block = part.tag in BLOCK
-            if block:
-                close()
-            gone = no_text(part) or part.hash in recurring and part.size * 2 < best.size and (part.tag in CONTAINERS or not inside)
-            if not gone:
-                walk(part, (headings_only or part.tag == "header") and part.tag not in HEADINGS)
-            if block:
+    def gone(node: Node) -> bool:
+        outside = id(node) in out
+        if place.get(id(node)) in recurring or node.hash in recurring and node.size * 2 < best.size and (node.tag in CONTAINERS or outside or not article):
+            return True
+        return lists and (said_no_text(node.tag, node.attrs, article and not outside) or node.tag == "header" and not article) or node.tag in RAW or node.tag == "head"
+
+    stack = [(iter(top.parts), top)]
+    while stack:
+        part = next(stack[-1][0], None)
+        if part is None:
+            node = stack.pop()[1]
+            if node.tag in BLOCK:
                 close()
-            elif part.tag in ("td", "th"):
+            elif node.tag in ("td", "th"):
                 open_block.append(" ")
-
-    walk(best)
+        elif isinstance(part, str):
+            open_block.append(part)
+        else:
+            if part.tag in BLOCK:
+                close()
+            if not gone(part):
+                stack.append((iter(part.parts), part))
     close()
     return "\n".join(blocks)
 
 
+def hashes_of(page: str) -> dict[int, int]:
+    """For every hash of a block with text, and of a place around the main part: whether it stands outside the main part."""
+    nodes = parsed(page)
+    measure(nodes)
+    best = main_part(nodes)
+    out = around(nodes, best)
+    if best.tag not in ("article", "main"):  # any block may be a template where nothing says what the text is
+        out_text = {id(x) for x in nodes}
+    else:
+        out_text = out
+    found: dict[int, int] = {}
+    for node in nodes:
+        if node.size and node.tag in BLOCK:
+            found[node.hash] = max(found.get(node.hash, 0), int(id(node) in out_text))
+    return found | dict.fromkeys(places(nodes, out).values(), 1)
+
+
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in sliced(batches):
+    for batch in sliced(batches, text="html"):
         hosts, hashes, out, pages = [], [], [], []
         for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-            found: list[int] = []
-            around: set[int] = set()
-            if page:
-                root = parsed(page)
-                hashed(root, found)
-                outside(root, article(root), around)
-            one = {0, *found}  # 0 counts the page itself
+            one = {0: 0} | (hashes_of(page) if page else {})  # 0 counts the page itself
             hosts += [host] * len(one)
             hashes += one
-            out += [int(x in around) for x in one]
-            pages += [xxhash.xxh3_64_intdigest((page or "").encode("utf-8", "surrogatepass")) - (1 << 63)] * len(one)
+            out += one.values()
+            pages += [digest(page or "")] * len(one)
         yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(pages, pa.int64()), pa.array(out, pa.int32())], names=["host", "hash", "page", "outside"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in sliced(batches):
+    for batch in sliced(batches, text="html"):
         known: dict[str, frozenset[int]] = {}
         texts = []
         for k, (host, page) in enumerate(zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True)):

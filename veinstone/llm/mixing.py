@@ -31,7 +31,7 @@ BUCKET_ROWS = 8192
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     words = F.size(F.filter(F.split(F.col(text_col), SPACE), lambda w: w != ""))
     shuffled = F.md5(F.concat(F.lit("mix-"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
-    return docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.when(F.col(text_col).isNull(), 0).otherwise(words).cast("long").alias("size"), shuffled.alias("h"))
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), F.col(source_col).alias("source"), F.when(F.col(text_col).isNull(), 0).otherwise(words).cast("long").alias("size"), shuffled.alias("h"))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -107,24 +107,24 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     turn = turn.withColumn("to", F.least(F.col("from") + F.col("size"), F.col("due")))
     part = turn.withColumn("rank", F.explode(F.sequence(F.floor(F.col("from") / block), F.floor((F.col("to") - 1) / block))))
     low, high = F.greatest("from", F.col("rank") * block), F.least("to", (F.col("rank") + 1) * block)
-    part = part.select("id", "source", "index", "size", "source_size", "target", "start", "rank", "turn", (low - F.col("from")).alias("first"), (high - low).alias("words"))
+    part = part.select("id", "digest", "source", "index", "size", "source_size", "target", "start", "rank", "turn", (low - F.col("from")).alias("first"), (high - low).alias("words"))
     return d, part.join(slots, ["index", "rank"])
 
 
-KEY = ["id", "source", "size", "source_size", "target", "start"]
+KEY = ["id", "digest", "source", "size", "source_size", "target", "start"]
 
 
 def taken(docs: DataFrame, **options) -> DataFrame:
     """One row for every document: size, source, source_size, target, and the words that the mix takes of it."""
     d, segments = mixed(docs, **options)
     some = segments.groupBy(KEY).agg(F.sum("words").alias("taken"))
-    return some.union(d.where("size = 0 OR start >= due").select(*KEY, F.lit(0).cast("long"))).drop("start")
+    return some.union(d.where("size = 0 OR start >= due").select(*KEY, F.lit(0).cast("long"))).drop("start", "digest")
 
 
 def copies(docs: DataFrame, **options) -> DataFrame:
-    """(id, source, start, size, turn, words): a row for each time that the mix takes a document, with how many of its words, from its first on."""
+    """(id, digest, source, size, words): a row for each time that the mix takes a document, with how many of its words, from its first on; digest is the xxhash64 of its text."""
     _, segments = mixed(docs, **options)
-    return segments.groupBy("id", "source", "start", "size", "turn").agg(F.sum("words").alias("words"))
+    return segments.groupBy(*KEY, "turn").agg(F.sum("words").alias("words")).select("id", "digest", "source", "size", "words")
 
 
 def op5_low_discrepancy_mix(spark, sf_dir: str) -> DataFrame:

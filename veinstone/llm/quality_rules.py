@@ -48,10 +48,15 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(each, F.lit(0.0), lambda s, x: s + x) / 2))
 
 
+def digest_of(text: Column, lang: Column) -> Column:
+    """What tells rows of one id apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")), lang)
+
+
 def keyed(docs: DataFrame, text_col: str, lang_col: str, id_col: str) -> DataFrame:
     """(id, lang, text, digest); id and digest tell rows apart, but for equal ones, whose results are equal."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), text.alias("text"), F.xxhash64(text, F.col(lang_col)).alias("digest"))
+    return docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), text.alias("text"), digest_of(F.col(text_col), F.col(lang_col)).alias("digest"))
 
 
 def measured(d: DataFrame) -> DataFrame:
