@@ -1,7 +1,8 @@
 """The corpus pipeline: quality rules, MinHash near-dedup, substring dedup, source mixing, packing.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows of ``docs``; all but the last return the columns of
-documents. Rows without an id pass the deduplicating stages, which cannot name them, and are mixed and packed.
+documents. Rows without an id pass the deduplicating stages, which cannot name them, and are mixed and packed; rows
+that share an id are told apart by their text and language.
 """
 
 from __future__ import annotations
@@ -9,11 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veinstone.llm.common import broadcast_if_small, staged
-from veinstone.llm.mixing import taken
+from veinstone.llm.common import SPACE, broadcast_if_small, staged
+from veinstone.llm.mixing import copies
 from veinstone.llm.near_dedup import near_dedup
 from veinstone.llm.packing import pack
-from veinstone.llm.quality_rules import quality_rules
+from veinstone.llm.quality_rules import digest_of, quality_rules
 from veinstone.llm.substring_dedup import substring_dedup
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -21,9 +22,10 @@ WITH_WORD = r"[^\x20\x09-\x0D]"
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep; of rows that share an id, none if one of them is rejected."""
-    verdict = staged(quality_rules(docs).where("NOT kept").select(F.col("id").alias("doc_id")).distinct(), "rejected")
-    return docs.join(broadcast_if_small(verdict), "doc_id", "left_anti").select(COLUMNS)
+    """The rows that the quality rules keep."""
+    d = docs.withColumn("_digest", digest_of(F.col("text"), F.col("lang")))
+    no = staged(quality_rules(docs).where("NOT kept").select(F.col("id").alias("_id"), F.col("digest").alias("_no")).distinct(), "rejected")
+    return d.join(broadcast_if_small(no), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_no")), "left_anti").select(COLUMNS)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,11 +48,15 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix takes it, to the nearest whole number."""
-    copies = taken(docs).where("size > 0").withColumn("copies", F.round(F.col("taken") / F.col("size")).cast("int"))
-    copies = staged(copies.groupBy(F.col("id").alias("of")).agg(F.max("copies").alias("copies")).where("copies > 0"), "copies")
-    out = docs.where(F.col("text").rlike(WITH_WORD)).join(broadcast_if_small(copies), F.col("doc_id").eqNullSafe(F.col("of")))
-    return out.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(COLUMNS)
+    """Each document each time that the mix takes it; one of which it takes only a part is cut behind that, its words between single spaces."""
+    times = copies(docs).select(F.col("id").alias("_id"), F.col("digest").alias("_digest"), F.col("source").alias("_source"), "size", "words")
+    times = broadcast_if_small(staged(times, "times"))
+    d = docs.withColumn("_text", F.xxhash64("text"))
+    d = d.where("doc_id IS NOT NULL").unionByName(d.where("doc_id IS NULL").dropDuplicates(["_text", "source"]))  # of equal rows without an id, one has the times of all
+    out = d.join(times, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_digest")) & F.col("source").eqNullSafe(F.col("_source")))
+    words = F.filter(F.split("text", SPACE), lambda w: w != "")
+    cut = F.array_join(F.slice(words, F.lit(1), F.col("words").cast("int")), " ")
+    return out.withColumn("text", F.when(F.col("words") < F.col("size"), cut).otherwise(F.col("text"))).withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
