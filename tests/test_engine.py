@@ -3,6 +3,7 @@
 import gzip
 import json
 import random
+import zipfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,28 +83,13 @@ def test_sql_surface_is_read_only(spark):
         sqlsurface.condition("s", "or 1=1")
 
 
-def test_sweep_finds_every_place_or_says_so():
+def test_adaptive_cells_hold_every_point_or_say_so(spark):
     rng = random.Random(1)
-    points = [(f"p{i}", 54.68 + rng.gauss(0, 0.01), 25.27 + rng.gauss(0, 0.02)) for i in range(400)]
-
-    def search(lat, lng, radius):
-        near = sorted((sweep.metres(lat, lng, a, b), n, a, b) for n, a, b in points)
-        return [(n, a, b) for d, n, a, b in near[:20] if d <= radius]
-
-    box = (54.60, 25.15, 54.76, 25.39)
-    places, manifest = sweep.sweep(box, search, least_radius=1.0)
-    inside = {n for n, a, b in points if box[0] < a < box[2] and box[1] < b < box[3]}
-    assert inside <= places.keys() and {s for _, _, s in manifest} <= {"split", "complete", "covered_by_parent"}
-    calls = 0
-
-    def limited(*a):
-        nonlocal calls
-        calls += 1
-        if calls > 3:
-            raise sweep.Exhausted
-        return search(*a)
-
-    assert any(s == "budget_exhausted" for _, _, s in sweep.sweep(box, limited)[1])
+    points = [(i, min(max(rng.gauss(0.5, 0.1), 0), 1), min(max(rng.gauss(0.3, 0.1), 0), 1)) for i in range(400)] + [(999, 0.9, 0.9)] * 30 + [(1000, None, 0.2), (1001, 2.0, 0.2)]
+    cells = sweep.area_cells(spark.createDataFrame(points, "id int, lat double, lng double"), (0.0, 0.0, 1.0, 1.0), 20, 5).collect()
+    assert sum(c.n_results for c in cells if c.status != "split") == 430
+    assert all((c.n_results >= 20) == (c.status != "complete") and (c.status == "truncated") <= (c.depth == 5) for c in cells)
+    assert any(c.status == "truncated" for c in cells) and sum(c.depth == 0 for c in cells) == 1
 
 
 def test_dialect():
@@ -111,7 +97,7 @@ def test_dialect():
     assert duck(t) == "SELECT a FROM orders" and spark_sql(t, "/d") == "SELECT b FROM parquet.`/d/orders.parquet`"
 
 
-@pytest.mark.parametrize("name", ["peer_gap_topk", "tier_case_capped", "link_cascade_case", "dq_suite"])
+@pytest.mark.parametrize("name", ["peer_gap_topk", "tier_case_capped", "priority_rank", "link_cascade_case", "dq_suite", "model_entity_activity", "model_leads", "model_link_validation", "model_source_verdicts", "adaptive_sweep", "name_prefix_backoff"])
 def test_queries_equal_their_sql(spark, name):
     import duckdb
 
@@ -130,3 +116,62 @@ def test_flagship_prunes_columns_and_filters_early(spark):
     assert "TakeOrderedAndProject" in plan and "l_comment" not in plan
     assert catalog.QUERIES["peer_gap_topk"](spark, "/root/testdata/sf0.001").count() == 20
     assert F.col("x") is not None
+
+
+def test_more_sources(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("x.csv", "\ufeffa;b\r\n1;ą\r\n")
+        z.writestr("y.csv", "no")
+    assert [r.value for r in readers.zipped_lines(spark, str(tmp_path / "a.zip")).collect()] == ["a;b", "1;ą"]
+    write = lambda name, *rows: (tmp_path / name).write_text("\n".join(json.dumps(r) for r in rows)) and str(tmp_path / name)
+    t = readers.read_taxpayers(spark, write("t.jsonl", {"ja_kodas": "5", "pvm_kodas": "LT5", "pagrindine": "1", "isreg_data": "bad", "ekonomine_veikla__kodas": "563000"}, {"ja_kodas": None}), "f").collect()
+    assert [(r.ja_kodas, r.vat_code, r.is_main_activity, r.deregistered_on, r.activity_code, r.fetch_id) for r in t] == [(5, "LT5", True, None, "563000", "f")]
+    premises = {"ja_kodas": "7", "trade_name": "Lapė", "address": "Liepų g. 1", "issued_on": "2024-02-03"}
+    p = readers.read_premises(spark, write("p.jsonl", premises, premises), "f").collect()
+    assert len(p) == 1 and (p[0].ja_kodas, str(p[0].issued_on)) == (7, "2024-02-03")
+    w = readers.read_website_codes(spark, write("w.jsonl", {"place_id": "p", "host": "h.lt", "code": "1", "fetched_at": "2024-01-01T10:00:00Z"}), "2024-01").first()
+    assert (w.site, w.run_month, w.fetched_at is not None) == ("https://h.lt", "2024-01", True)
+    assert readers.read_manifest(spark, write("m.jsonl", {"lat": 1.5, "depth": 2, "status": "split"})).first().depth == 2
+    (tmp_path / "o1.csv").write_text('place_id,ja_kodas,action,reason,analyst,decided_on\np,1, SET ,"two\nlines",a,\n')
+    (tmp_path / "o2.csv").write_text("place_id,ja_kodas,action,reason,analyst,decided_on,extra\nq,,reject,no,b,2024-05-06,z\n")
+    o = {r.place_id: r for r in readers.read_overrides(spark, [str(tmp_path / "o1.csv"), str(tmp_path / "o2.csv")]).collect()}
+    assert (o["p"].action, o["p"].decided_on, o["p"].reason) == ("set", None, "two\nlines") and (o["q"].ja_kodas, str(o["q"].decided_on)) == (None, "2024-05-06")
+    assert [r.place_id for r in readers.without_seen(spark.createDataFrame([("p",), ("z",)], "place_id string"), readers.read_csv_union(spark, [str(tmp_path / "o1.csv")]), ["place_id"]).collect()] == ["z"]
+    spark.range(1).createOrReplaceTempView("there")
+    assert readers.table_if_there(spark, "there").count() == 1 and readers.table_if_there(spark, "not_there") is None
+
+
+def test_parsed_pages(spark):
+    cells = "".join(f"<td>c{i} &amp;</td>" for i in range(12))
+    page = f"<table><tr><td>x</table><TABLE class=a><tr><th>h</th></tr><tr>{cells}</tr><tr><td>short</td></tr></TABLE>"
+    rows = readers.table_rows(spark.createDataFrame([(1, page), (2, None), (3, "<table></table>")], "id int, html string"), readers.PREMISES_CELLS).collect()
+    assert len(rows) == 1 and rows[0].id == 1 and rows[0].address == "c7 &" and rows[0].risk_group == "c11 &"
+    mark = "<tr><td><a href='/trademark/details/9'>x</a></td><td>LAPĖ</td><td/><td>9</td><td></td><td></td><td>43, 44,</td><td></td><td>Registruotas</td></tr><tr><td>no</td></tr>"
+    m = readers.trademark_rows(spark.createDataFrame([(f"<table>{mark}</table>",)], "html string")).collect()
+    assert [(r.application_no, r.text, r.classes, r.status) for r in m] == [("9", "LAPĖ", ["43", "44"], "Registruotas")]
+    detail = "<body><p>(540)</p><p>LAPĖ</p><div>(732)</div><b>Pavadinimas</b><i>UAB Lapė</i><b>Adresas</b><i>Vilnius</i></body>"
+    o = readers.trademark_owners(spark.createDataFrame([(detail,), ("<p>(732)</p>",)], "html string")).collect()
+    assert [(r.mark, r.owner_name, r.owner_address) for r in o] == [("LAPĖ", "UAB Lapė", "Vilnius")]
+    responses = spark.createDataFrame([(b"<!DOCTYPE html>", "", "json"), (b"{}", "application/json", "json"), (b"<html>", "text/html", None), (b"Access denied", "", "html"), (None, None, "csv")], "c binary, t string, e string")
+    assert [r.b for r in responses.select(readers.blocked(F.col("c"), F.col("t"), F.col("e")).alias("b")).collect()] == [True, False, False, True, False]
+
+
+def test_more_sinks(spark, tmp_path):
+    old = spark.createDataFrame([("m", "primary", "p", 1), ("m", "fallback", "p", 2)], "run_month string, stage string, place_id string, ja_kodas int")
+    new = spark.createDataFrame([(7, "p", "fallback", "m")], "ja_kodas int, place_id string, stage string, run_month string")
+    assert {r.ja_kodas for r in sinks.replaced(old, new, ["run_month", "stage", "place_id"]).collect()} == {1, 7}
+    assert sinks.appended(old, new.drop("stage")).where("stage IS NULL").first().ja_kodas == 7
+    with pytest.raises(ValueError, match="unknown"):
+        sinks.appended(old, new.withColumn("more", F.lit(1)))
+    none = spark.createDataFrame([], "fetch_id string, source string, url string, fetched_at timestamp, path string, sha256 string, bytes long, row_count long, run_month string")
+    made = lambda content: spark.createDataFrame([("a", content, 3)], "path string, content binary, row_count long")
+    one = sinks.recorded_fetch(none, made(b"x"), "s", "u", "2024-01")
+    two = sinks.recorded_fetch(one, made(b"yy"), "s", "u", "2024-02").collect()
+    assert len(two) == 1 and (two[0].bytes, two[0].run_month, len(two[0].fetch_id)) == (2, "2024-02", 16)
+    sinks.write_jsonl(old, str(tmp_path / "j"))
+    assert spark.read.json(str(tmp_path / "j")).count() == 2
+    leads = spark.createDataFrame([("m", 1), ("n", 2)], "run_month string, ja_kodas int")
+    sinks.export_month({"links": (old, "month"), "taxes": (leads, "leads"), "fetches": (none, "all")}, str(tmp_path / "e"), "m", leads)
+    assert spark.read.parquet(str(tmp_path / "e/taxes.parquet")).count() == 1 and "path" not in spark.read.parquet(str(tmp_path / "e/fetches.parquet")).columns
+    with pytest.raises(ValueError, match="rows"):
+        sinks.markdown(spark.range(1001))

@@ -24,6 +24,7 @@ SKIP_HOSTS = (
 INACTIVE_STATUS, INACTIVE_FORMS, OWNER_FORMS = (5, 6, 7, 9, 26), (260, 270, 700, 760, 950), (960, 810)
 
 
+# Fixed values below: listing types, activity-code prefixes and descriptive words of the categories, and scoring thresholds.
 @dataclass(frozen=True)
 class Category:
     """Listing types and activity-code prefixes of a category, and words that describe it rather than a business."""
@@ -66,5 +67,6 @@ class Thresholds:
     near_zero_tax: float = 500.0
     near_zero_revenue: float = 5000.0
     vat_revenue: float = 45000.0
+    gap_ratio: float = 3.0
     capacity: int = 20
     strict: bool = False

@@ -11,7 +11,7 @@ TEMPLATES = {
                bool_and(o_orderstatus <> 'P') AS all_usable, bool_or(o_orderpriority = '1-URGENT') AS any_fits
         FROM $orders JOIN $customer ON o_custkey = c_custkey GROUP BY o_custkey""",
     "main_category_argmax": """
-        SELECT o_custkey, max_by(o_orderpriority, struct_pack(p := o_totalprice, k := o_orderkey)) AS main_category FROM $orders GROUP BY o_custkey""".replace("struct_pack(p := o_totalprice, k := o_orderkey)", "[[struct_pack(p := o_totalprice, k := o_orderkey)||struct(o_totalprice, o_orderkey)]]"),
+        SELECT o_custkey, max_by(o_orderpriority, [[struct_pack(p := o_totalprice, k := o_orderkey)||struct(o_totalprice, o_orderkey)]]) AS main_category FROM $orders GROUP BY o_custkey""",
     "ordered_list_agg": """
         WITH l AS (
           SELECT o_custkey, [[list(o_orderkey ORDER BY o_totalprice DESC, o_orderkey)||transform(array_sort(collect_list(struct(-o_totalprice AS p, o_orderkey AS k))), z -> z.k)]] AS place_ids,
@@ -64,7 +64,7 @@ TEMPLATES = {
                CAST([[len(list_filter(list_concat(coalesce(x, []), coalesce(y, [])), lambda c: length(c) > 5))||size(filter(concat(coalesce(x, array()), coalesce(y, array())), c -> length(c) > 5))]] AS BIGINT) AS long_codes FROM a""",
     "distinct_filtered_counts": """
         SELECT o_custkey, count(DISTINCT o_orderpriority) AS priorities, count(DISTINCT o_orderpriority) FILTER (WHERE o_orderstatus = 'F') AS priorities_f,
-               count(DISTINCT [[substr||substr]](o_orderpriority, 1, 1) || o_orderstatus) AS pairs, count(*) FILTER (WHERE o_totalprice > 100000) AS big FROM $orders GROUP BY o_custkey""",
+               count(DISTINCT substr(o_orderpriority, 1, 1) || o_orderstatus) AS pairs, count(*) FILTER (WHERE o_totalprice > 100000) AS big FROM $orders GROUP BY o_custkey""",
     "entity_state_flags": """
         WITH f AS (SELECT o_custkey, min(CAST(o_orderdate AS DATE)) AS registered, max(CAST(o_orderdate AS DATE)) FILTER (WHERE o_orderstatus = 'P') AS deregistered FROM $orders GROUP BY o_custkey)
         SELECT c_custkey, c_nationkey NOT IN (5, 6, 7, 9) AND c_mktsegment NOT IN ('MACHINERY') AS is_active, c_mktsegment IN ('BUILDING', 'HOUSEHOLD') AS owner_operated,
@@ -91,6 +91,6 @@ TEMPLATES = {
         m AS (SELECT max(y) AS y FROM s), p AS (SELECT s.* FROM s WHERE y = (SELECT max(s2.y) FROM s s2 CROSS JOIN m WHERE s2.y < m.y))
         SELECT s.o_custkey, s.link, p.link AS prev_link, coalesce(s.link <> p.link, false) AS relinked FROM s JOIN m ON s.y = m.y LEFT JOIN p ON p.o_custkey = s.o_custkey""",
     "union_by_name_backfill": """
-        SELECT o_custkey AS id, o_orderstatus AS status, CAST(NULL AS VARCHAR[[||(1)]]) AS segment, 'order' AS kind FROM $orders WHERE o_orderkey % 10 = 0
-        UNION ALL SELECT c_custkey, NULL, c_mktsegment, 'customer' FROM $customer""".replace("VARCHAR[[||(1)]]", "[[VARCHAR||STRING]]"),
+        SELECT o_custkey AS id, o_orderstatus AS status, CAST(NULL AS [[VARCHAR||STRING]]) AS segment, 'order' AS kind FROM $orders
+        UNION ALL SELECT c_custkey, NULL, c_mktsegment, 'customer' FROM $customer""",
 }

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType
 
@@ -63,7 +63,8 @@ def decide(places: DataFrame, entities: DataFrame) -> DataFrame:
             aggs += [n(cond).alias(f"{short}_{name}"), one(cond).alias(f"{short}_{name}_id")]
     counts = c.groupBy("place_id").agg(*aggs)
     p = places.select("place_id", K.street_key(F.col("street"), F.col("street_number")).alias("address"), K.name_variants(F.col("name")).alias("variants"))
-    p = p.withColumn("at_address", F.when(F.col("address").isNotNull(), F.count("*").over(Window.partitionBy("address"))).otherwise(0))
+    at_address = p.where("address IS NOT NULL").groupBy("address").agg(F.count("*").alias("at_address"))
+    p = p.join(at_address, "address", "left").withColumn("at_address", F.coalesce("at_address", F.lit(0)))
     word = F.try_element_at("variants", F.lit(1))
     p = p.withColumn("word", F.when(~F.contains(word, F.lit(" ")), word)).join(word_counts(entities), "word", "left")
     p = p.withColumn("distinctive", (F.size("variants") > 0) & (F.col("word").isNull() | (F.coalesce("df", F.lit(0)) <= COMMON_WORD)))
@@ -105,6 +106,18 @@ def resolve_names(names: DataFrame, entities: DataFrame) -> DataFrame:
     return best.where("b.hits = 1").select("name", "b.ja_kodas")
 
 
+def common_subsequence(a: str, b: str) -> int:
+    """Length of the longest common subsequence; the rows of the usual table are the bits of one number."""
+    where: dict[str, int] = {}
+    for i, ch in enumerate(a):
+        where[ch] = where.get(ch, 0) | 1 << i
+    row = full = (1 << len(a)) - 1
+    for ch in b:
+        hit = row & where.get(ch, 0)
+        row = (row + hit | row - hit) & full
+    return len(a) - row.bit_count()
+
+
 def token_set_ratio(a: str | None, b: str | None) -> float:
     """Likeness (0 to 100) of two texts as sets of words: the best of common words and of each text's words with the rest, by longest common subsequence."""
     x, y = set((a or "").split()), set((b or "").split())
@@ -114,16 +127,8 @@ def token_set_ratio(a: str | None, b: str | None) -> float:
     if both and (x <= y or y <= x):
         return 100.0
     s, t = (" ".join(filter(None, [both, *sorted(z)])) for z in (x - y, y - x))
-
-    def ratio(u: str, v: str) -> float:
-        row = [0] * (len(v) + 1)
-        for c in u:
-            last = 0
-            for j, d in enumerate(v, 1):
-                last, row[j] = row[j], last + 1 if c == d else max(row[j], row[j - 1])
-        return 200.0 * row[-1] / (len(u) + len(v))
-
-    return max(ratio(s, t), *((200.0 * len(both) / (len(both) + len(z)) for z in (s, t)) if both else (0.0,)))
+    best = 200.0 * common_subsequence(s, t) / (len(s) + len(t))
+    return max(best, *((200.0 * len(both) / (len(both) + len(z)) for z in (s, t)) if both else (0.0,)))
 
 
 @F.pandas_udf(DoubleType())
@@ -131,25 +136,51 @@ def name_likeness(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([round(token_set_ratio(x, y), 1) for x, y in zip(a, b, strict=True)], dtype=float)
 
 
-_UPPER = "A-ZĄČĘĖĮŠŲŪŽ0-9"
-# Legal forms in running text and words that end a name after one.
-_FORM = "(?:UAB|MB|IĮ|VšĮ|AB)"
-_ENDS = frozenset("siūlo siulo ieško iesko darbo darbą darba kviečia vilnius vilniuje kaunas pasiūlymai pasiulymai skelbimai prieš".split())
+# Legal forms in running text, words that end a name after one, and quotation marks.
+FORMS = ("UAB", "MB", "IĮ", "VšĮ", "AB")
+NAME_ENDS = frozenset(("siūlo", "siulo", "ieško", "iesko", "darbo", "darbą", "darba", "kviečia", "vilnius", "vilniuje", "kaunas", "pasiūlymai", "pasiulymai", "skelbimai", "prieš"))
+QUOTES = "„“”\"'"
+_FORM = re.compile(rf"\b(?:{'|'.join(FORMS)})\b")
+_BREAK = re.compile(r"[,.;|()„“”\"\-–\n]")
+#: Characters on either side of a legal form in which a name is looked for, and most words of a name without quotes.
+REACH, NAME_WORDS = 64, 4
+
+
+def _capital(text: str) -> str:
+    """``text`` from its first capital letter or digit on."""
+    at = next((i for i, ch in enumerate(text) if ch.isupper() or ch.isdigit()), len(text))
+    return text[at:]
+
+
+def _after_form(text: str) -> str:
+    """The name at the start of what follows a legal form: in quotation marks, or up to four words that begin with a capital."""
+    text = text.lstrip()
+    if text[:1] and text[0] in QUOTES:
+        closing = [i for i in range(1, len(text)) if text[i] in QUOTES]
+        return text[1 : closing[0]] if closing else ""
+    if not (text[:1].isupper() or text[:1].isdigit()):
+        return ""
+    words = _BREAK.split(text, maxsplit=1)[0].split()
+    stop = next((i for i, w in enumerate(words) if w.strip(":").lower() in NAME_ENDS), len(words))
+    return " ".join(words[: min(stop, NAME_WORDS)])
+
+
+def _before_form(text: str) -> str:
+    """The name at the end of what precedes a legal form, if only a comma stands between."""
+    text = text.rstrip()
+    if not text.endswith(","):
+        return ""
+    return _capital(re.split(r"[,.;|()„“\"\n]", text[:-1])[-1])
 
 
 def company_names(text: str | None) -> list[str]:
-    """Names that stand with a legal form in a text: quoted after it, before it with a comma, or the words after it."""
+    """Names of companies in a text, by what stands next to a legal form; each at least three characters long."""
     text = text or ""
-    found = set(re.findall(_FORM + "\\s*[„\"“']\\s*([^\"“”„']{2,60}?)\\s*[“\"”']", text))
-    found |= set(re.findall(f'([{_UPPER}][^,.;|„“"()]{{1,50}}?),\\s*{_FORM}\\b', text))
-    for words in re.findall(f'{_FORM}\\s+([{_UPPER}][^,.;|„“"()\\-–]{{1,50}})', text):
-        kept: list[str] = []
-        for w in words.split():
-            if w.lower().strip(":") in _ENDS:
-                break
-            kept.append(w)
-        found.add(" ".join(kept[:4]))
-    return sorted(n.strip() for n in found if len(n.strip()) >= 3)
+    found = set()
+    for form in _FORM.finditer(text):
+        found.add(_after_form(text[form.end() : form.end() + REACH]).strip())
+        found.add(_before_form(text[max(0, form.start() - REACH) : form.start()]).strip())
+    return sorted(n for n in found if len(n) >= 3)
 
 
 @F.pandas_udf(ArrayType(StringType()))

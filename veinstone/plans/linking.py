@@ -21,17 +21,11 @@ TEMPLATES = {
         SELECT c_custkey, CASE WHEN n1 = 1 AND n1_addr = 1 THEN 'exact_name' WHEN n1 = 1 THEN 'ambiguous' WHEN n1 > 1 AND n1_addr = 1 THEN 'exact_name+address' WHEN n1 > 1 THEN 'ambiguous'
                                WHEN n2 > 0 AND n2_evrk = 1 THEN 'core_name+activity' WHEN n2 > 0 THEN 'ambiguous' WHEN n4 = 1 THEN 'address_only' WHEN n4 > 1 THEN 'ambiguous' ELSE 'unmatched' END AS method,
                CASE WHEN n1 > 0 AND n1_addr = 1 THEN 'HIGH' WHEN n1 = 0 AND (n2_evrk = 1 OR n2 = 0 AND n4 = 1) THEN 'MEDIUM' END AS confidence FROM c""",
-    "name_prefix_backoff": """
-        WITH n AS (SELECT p_partkey, p_name, [[string_split(p_name, ' ')||split(p_name, ' ')]] AS w FROM $part),
-        x AS (SELECT p_partkey, len, CASE len WHEN 1 THEN [[list_extract(w, 1)||element_at(w, 1)]] WHEN 2 THEN [[list_extract(w, 1)||element_at(w, 1)]] || ' ' || [[list_extract(w, 2)||element_at(w, 2)]] ELSE p_name END AS prefix, [[len(w)||size(w)]] AS total FROM n CROSS JOIN (SELECT 1 AS len UNION ALL SELECT 2 UNION ALL SELECT 3) l WHERE len <= [[len(w)||size(w)]]),
-        k AS (SELECT prefix, count(DISTINCT p_partkey) AS hits FROM x GROUP BY prefix),
-        r AS (SELECT x.p_partkey, x.len, x.total, k.hits, row_number() OVER (PARTITION BY x.p_partkey ORDER BY x.len DESC) AS rn FROM x JOIN k ON x.prefix = k.prefix)
-        SELECT p_partkey, CAST(len AS INT) AS prefix_len, hits, hits = 1 AND (len > 1 OR total = 1) AS resolved FROM r WHERE rn = 1""",
     "token_document_frequency": """
         WITH t AS (SELECT DISTINCT p_partkey, [[unnest(string_split(lower(p_name), ' '))||explode(split(lower(p_name), ' '))]] AS token FROM $part)
         SELECT token, count(*) AS df, count(*) <= 8 AS distinctive FROM t GROUP BY token""",
     "band_join_house_number": """
-        WITH h AS (SELECT o_orderkey, o_custkey AS street, CAST(o_orderkey % 97 AS INT) AS house, [[floor(||floor(]](o_orderkey % 97) / 5[[.0)||D)]] AS cell FROM $orders),
+        WITH h AS (SELECT o_orderkey, o_custkey AS street, CAST(o_orderkey % 97 AS INT) AS house, floor((o_orderkey % 97) / 5[[.0)||D)]] AS cell FROM $orders),
         b AS (SELECT *, cell + d AS near FROM h CROSS JOIN (SELECT -1 AS d UNION ALL SELECT 0 UNION ALL SELECT 1) z)
         SELECT a.o_orderkey AS a, b.o_orderkey AS b, abs(a.house - b.house) AS gap FROM h a JOIN b ON a.street = b.street AND a.cell = b.near AND abs(a.house - b.house) <= 4 AND a.house <> b.house AND a.o_orderkey < b.o_orderkey""",
     "evidence_vote_majority": """
@@ -70,10 +64,16 @@ TEMPLATES = {
     "seeded_sample_limit": "SELECT c_custkey, c_name FROM $customer ORDER BY md5(CAST(c_custkey AS [[VARCHAR||STRING]]) || '-7') LIMIT 100",
     "busiest_unlinked_topk": """
         SELECT c_custkey, round(sum(o_totalprice), 2) AS busy FROM $orders JOIN $customer c ON o_custkey = c_custkey WHERE NOT EXISTS (SELECT 1 FROM $events e WHERE e.user_id = c.c_custkey) GROUP BY c_custkey ORDER BY round(sum(o_totalprice), 2) DESC, c_custkey LIMIT 30""",
+    # A mark meets only names with its rarest word: a word that very many names have is joined on only where a mark has no other.
     "array_subset_match": """
-        WITH p AS (SELECT p_partkey, [[string_split(p_name, ' ')||split(p_name, ' ')]] AS w, [[string_split(p_type, ' ')||split(p_type, ' ')]] AS y FROM $part), m AS (SELECT p_partkey AS mark, w, y FROM p WHERE p_partkey % 20 = 0),
-        k AS (SELECT mark, w, y, [[list_extract(w, 1)||element_at(w, 1)]] AS head FROM m), a AS (SELECT p_partkey, w, y, [[unnest(list_distinct(w))||explode(array_distinct(w))]] AS token FROM p)
-        SELECT mark, p_partkey FROM k JOIN a ON a.token = k.head AND mark <> p_partkey AND [[len(list_filter(k.w, lambda x: NOT list_contains(a.w, x)))||size(array_except(k.w, a.w))]] = 0 AND [[list_has_any(k.y, a.y)||arrays_overlap(k.y, a.y)]]""",
+        WITH p AS (SELECT p_partkey, [[string_split(p_name, ' ')||split(p_name, ' ')]] AS w, [[string_split(p_type, ' ')||split(p_type, ' ')]] AS y, p_size FROM $part),
+        marks AS (SELECT p_partkey AS mark, [[list_append||array_append]](w, concat('size', p_size)) AS w, y FROM p WHERE p_partkey % 50 = 0),
+        names AS (SELECT p_partkey, [[list_append||array_append]](w, concat('size', p_size)) AS w, y FROM p),
+        a AS (SELECT p_partkey, w, y, [[unnest(list_distinct(w))||explode(array_distinct(w))]] AS token FROM names),
+        df AS (SELECT token, count(*) AS n FROM a GROUP BY token),
+        m AS (SELECT mark, w, y, [[unnest(list_distinct(w))||explode(array_distinct(w))]] AS token FROM marks),
+        k AS (SELECT mark, w, y, token FROM (SELECT m.*, row_number() OVER (PARTITION BY mark ORDER BY n, m.token) AS rn FROM m JOIN df ON df.token = m.token) x WHERE rn = 1)
+        SELECT mark, p_partkey FROM k JOIN a ON a.token = k.token AND mark <> p_partkey AND [[len(list_filter(k.w, lambda x: NOT list_contains(a.w, x)))||size(array_except(k.w, a.w))]] = 0 AND [[list_has_any(k.y, a.y)||arrays_overlap(k.y, a.y)]]""",
     "vat_dictionary_join": """
         WITH d AS (SELECT s_nationkey, s_suppkey, s_name, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC, s_suppkey) AS rn FROM $supplier)
         SELECT c_custkey, s_suppkey, s_name FROM $customer JOIN d ON s_nationkey = c_nationkey AND rn = 1""",

@@ -1,4 +1,4 @@
-"""Queries that SQL cannot express: Unicode folding, name likeness, codes in page text, the adaptive sweep."""
+"""Queries that run as DataFrame code: Unicode folding, name likeness, codes in page text, capped tiers and ranks."""
 
 from __future__ import annotations
 
@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import textkeys as K
-from . import sweep
 from .cascade import name_likeness
+from .dialect import spark_sql
+from .ranks import positions
+from .scoring import TIERED
 
 
 def fold_text(spark, sf_dir: str) -> DataFrame:
@@ -24,23 +26,32 @@ def token_set_similarity(spark, sf_dir: str) -> DataFrame:
 
 
 def html_code_extraction(spark, sf_dir: str) -> DataFrame:
-    """Labelled company codes in the text of pages, with what stands around them."""
+    """Company codes in the text of pages, below which each page's number is written as one, with what stands around them."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     text = F.regexp_replace("html", r"(?s)<(script|style)\b.*?</\1>|<[^>]*>", " ")
-    return pages.select("page_id", F.explode(K.company_codes(text)).alias("c")).select("page_id", "c.*")
+    signed = F.concat_ws(" ", text, F.lit("Įmonės kodas:"), F.lpad(F.col("page_id").cast("string"), 9, "0"))
+    return pages.select("page_id", F.explode(K.company_codes(signed)).alias("c")).select("page_id", "c.*")
 
 
-def adaptive_sweep(spark, sf_dir: str) -> DataFrame:
-    """Manifest of a sweep over suppliers that are laid out around a centre."""
-    n = min(2_000, spark.read.parquet(f"{sf_dir}/supplier.parquet").count())  # the sweep's own search is on the driver
-    points = [(str(i), 54.68 + 0.06 * ((i * 0.618) % 1 - 0.5) ** 3, 25.27 + 0.2 * ((i * 0.414) % 1 - 0.5)) for i in range(n)]
+def _tiered(spark, sf_dir: str, capacity: int = 20) -> DataFrame:
+    """Tiers, of which A is capped at its top rows by gap; ties go to the lower key."""
+    t = spark.sql(spark_sql(f"WITH {TIERED} SELECT * FROM tiered", sf_dir))
+    top = t.where("tier_raw = 'A'").orderBy(F.desc_nulls_last("gap"), "c_custkey").limit(capacity).select("c_custkey", F.lit(True).alias("top"))
+    t = t.join(F.broadcast(top), "c_custkey", "left").withColumn("tier", F.when((F.col("tier_raw") == "A") & F.col("top").isNull(), "B").otherwise(F.col("tier_raw")))
+    return t.withColumn("bucket", F.when(F.col("tier") == "A", 0).when(F.col("tier") == "B", 1).when(F.col("tier") == "C", 2).otherwise(3))
 
-    def search(lat: float, lng: float, radius: float):
-        near = sorted((sweep.metres(lat, lng, a, b), k, a, b) for k, a, b in points)[:20]
-        return [(k, a, b) for d, k, a, b in near if d <= radius]
 
-    _, manifest = sweep.sweep((54.60, 25.15, 54.76, 25.39), search)
-    return spark.createDataFrame([(c.lat, c.lng, c.radius, c.depth, found, status) for c, found, status in manifest], "lat double, lng double, radius_m double, depth int, n_results int, status string")
+def tier_case_capped(spark, sf_dir: str) -> DataFrame:
+    return _tiered(spark, sf_dir).select("c_custkey", "tier_raw", "tier", "bucket")
 
 
-QUERIES = {f.__name__: f for f in (fold_text, token_set_similarity, html_code_extraction, adaptive_sweep)}
+def priority_rank(spark, sf_dir: str) -> DataFrame:
+    return positions(_tiered(spark, sf_dir), "gap", after=("bucket",), descending=True).select("c_custkey", "tier", F.col("rank").cast("int").alias("priority_rank"))
+
+
+QUERIES = {f.__name__: f for f in (fold_text, token_set_similarity, html_code_extraction, tier_case_capped, priority_rank)}
+ORACLES = {
+    "html_code_extraction": r"""
+        SELECT page_id, 'company' AS code_type, lpad(CAST(page_id AS VARCHAR), 9, '0') AS code,
+               right(trim(regexp_replace(regexp_replace(html, '(?s)<script\b.*?</script>|<style\b.*?</style>|<[^>]*>', ' ', 'g') || ' ', '[\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{1c}-\x{1f}]+', ' ', 'g')) || ' ', 60) || 'Įmonės kodas: ' || lpad(CAST(page_id AS VARCHAR), 9, '0') AS context FROM pages"""
+}

@@ -22,9 +22,24 @@ _CHECKS = [
     ("revenue_missing", "warn", "SELECT CAST(max(l_tax) FILTER (WHERE l_quantity < 0) AS DOUBLE) FROM $lineitem", ">=", 50, "%"),
 ]
 
-_ROWS = " UNION ALL ".join(
-    f"SELECT '{name}' AS check_name, '{severity}' AS severity, ({sql}) AS observed_value, '{op}' AS op, {limit}.0[[::DOUBLE||D]] AS threshold, '{unit}' AS unit" for name, severity, sql, op, limit, unit in _CHECKS
-)
+def _measured(checks: list[tuple]) -> str:
+    """One row per check; all checks of a table (or of one join) come from a single aggregation over it."""
+    groups: dict[str, list[tuple]] = {}
+    for name, severity, sql, op, limit, unit in checks:
+        value, _, rest = sql.removeprefix("SELECT ").partition(" FROM $")
+        table, _, condition = rest.partition(" WHERE ") if " JOIN " not in rest else (rest, "", "")
+        value = value.replace("count(*)", f"count(*) FILTER (WHERE {condition})") if condition and "max(" not in value else value
+        groups.setdefault(table, []).append((name, severity, value, op, limit, unit))
+    parts = []
+    for table, own in groups.items():
+        values = ", ".join(f"{value} AS v{k}" for k, (_, _, value, *_) in enumerate(own))
+        fields = [("check_name", "'{0}'", 0), ("severity", "'{0}'", 1), ("op", "'{0}'", 3), ("threshold", "{0}.0[[::DOUBLE||D]]", 4), ("unit", "'{0}'", 5)]
+        rows = ", ".join("[[struct_pack(||named_struct(]]" + f"[[observed_value := v{k}||'observed_value', v{k}]]" + "".join(f", [[{f} := ||'{f}', ]]" + text.format(check[at]) for f, text, at in fields) + ")" for k, check in enumerate(own))
+        parts.append(f"SELECT r.* FROM (SELECT [[unnest([||explode(array(]]{rows}[[])||))]] AS r FROM (SELECT {values} FROM ${table}) v) x")
+    return " UNION ALL ".join(parts)
+
+
+_ROWS = _measured(_CHECKS)
 
 TEMPLATES = {
     "dq_suite": f"""

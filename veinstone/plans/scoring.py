@@ -10,8 +10,10 @@ _SCORED = """
   peers AS (SELECT category, quintile, median(declared) AS m FROM ranked GROUP BY category, quintile),
   scored AS (SELECT r.*, CASE WHEN (m + 1) / (declared + 1) > 0 THEN round(ln((m + 1) / (declared + 1)), 6) END AS gap FROM ranked r JOIN peers p ON r.category = p.category AND r.quintile = p.quintile)"""
 
-_TIERED = _SCORED + """,
-  tiered AS (SELECT *, CASE WHEN declared IS NULL THEN 'D' WHEN quintile <= 2 THEN 'C' WHEN gap > 0.2 THEN 'A' ELSE 'B' END AS tier_raw FROM scored),
+TIERED = _SCORED + """,
+  tiered AS (SELECT *, CASE WHEN declared IS NULL THEN 'D' WHEN quintile <= 2 THEN 'C' WHEN gap > 0.2 THEN 'A' ELSE 'B' END AS tier_raw FROM scored)"""
+
+_CAPPED = TIERED + """,
   capped AS (SELECT *, CASE WHEN tier_raw = 'A' AND row_number() OVER (PARTITION BY tier_raw ORDER BY gap DESC NULLS LAST, c_custkey) > 20 THEN 'B' ELSE tier_raw END AS tier FROM tiered)"""
 
 TEMPLATES = {
@@ -22,7 +24,7 @@ TEMPLATES = {
         WITH q AS (SELECT o_orderpriority, round([[quantile_cont(o_totalprice, 0.6)||percentile(o_totalprice, 0.6)]], 4) AS p60, round([[quantile_cont(o_totalprice, 0.8)||percentile(o_totalprice, 0.8)]], 4) AS p80 FROM $orders GROUP BY o_orderpriority)
         SELECT o_orderkey, p60, p80, o_totalprice >= CASE WHEN o_orderstatus = 'P' THEN p80 ELSE p60 END AS busy FROM $orders o JOIN q ON o.o_orderpriority = q.o_orderpriority""",
     "peer_medians_grouping_sets": """
-        SELECT c_mktsegment, c_nationkey, c_custkey % 3 AS form, CAST(3 - [[grouping(c_nationkey) - grouping(c_custkey % 3)||grouping(c_nationkey) - grouping(c_custkey % 3)]] AS INT) AS lvl, count(*) AS n, round(median(c_acctbal), 4) AS med
+        SELECT c_mktsegment, c_nationkey, c_custkey % 3 AS form, CAST(3 - grouping(c_nationkey) - grouping(c_custkey % 3) AS INT) AS lvl, count(*) AS n, round(median(c_acctbal), 4) AS med
         FROM $customer GROUP BY GROUPING SETS ((c_mktsegment, c_nationkey, c_custkey % 3), (c_mktsegment, c_nationkey), (c_mktsegment))""",
     "peer_level_fallback": """
         WITH c AS (SELECT c_custkey, c_mktsegment AS cat, c_nationkey AS q, c_custkey % 3 AS f, c_acctbal AS v FROM $customer),
@@ -40,13 +42,14 @@ TEMPLATES = {
         SELECT o_orderkey, CAST(o_totalprice < 50000 AS INT) + CAST(o_orderstatus = 'F' AS INT) + CAST(o_orderpriority LIKE '1%' AS INT) AS n_signals FROM $orders""",
     "hold_reason_case": f"""WITH {_SCORED}
         SELECT c_custkey, CASE WHEN declared IS NULL THEN 'no declared figure' WHEN quintile = 1 THEN 'not busy' WHEN gap IS NULL THEN 'no gap' WHEN gap < -0.5 THEN 'declares more than peers' WHEN gap < 0.1 THEN 'like peers' WHEN c_nationkey IN (1, 2) THEN 'out of scope' END AS hold_reason FROM scored""",
-    "tier_case_capped": f"WITH {_TIERED} SELECT c_custkey, tier_raw, tier, CASE tier WHEN 'A' THEN 0 WHEN 'B' THEN 1 WHEN 'C' THEN 2 ELSE 3 END AS bucket FROM capped",
-    "priority_rank": f"""WITH {_TIERED}
+    # This one and the next run as DataFrames on Spark (plans/programmatic.py), which need no window over all rows.
+    "tier_case_capped": f"WITH {_CAPPED} SELECT c_custkey, tier_raw, tier, CASE tier WHEN 'A' THEN 0 WHEN 'B' THEN 1 WHEN 'C' THEN 2 ELSE 3 END AS bucket FROM capped",
+    "priority_rank": f"""WITH {_CAPPED}
         SELECT c_custkey, tier, CAST(rank() OVER (ORDER BY CASE tier WHEN 'A' THEN 0 WHEN 'B' THEN 1 WHEN 'C' THEN 2 ELSE 3 END, gap DESC NULLS LAST) AS INT) AS priority_rank FROM capped""",
     "unscored_anti_join": f"""WITH {_SCORED}
         SELECT c_custkey, 'D' AS tier, 'too few comparable peers' AS reason, CAST(NULL AS DOUBLE) AS gap FROM $customer c WHERE NOT EXISTS (SELECT 1 FROM scored s WHERE s.c_custkey = c.c_custkey AND s.gap IS NOT NULL)
         UNION ALL SELECT c_custkey, CASE WHEN gap > 0.2 THEN 'A' ELSE 'B' END, NULL, gap FROM scored WHERE gap IS NOT NULL""",
-    "category_summary": f"""WITH {_TIERED}
+    "category_summary": f"""WITH {_CAPPED}
         SELECT category, count(*) AS n, count(*) FILTER (WHERE tier = 'A') AS n_a, round(100.0[[::DOUBLE||D]] * count(*) FILTER (WHERE declared IS NOT NULL) / nullif(count(*), 0), 4) AS pct_declared, round(median(activity), 4) AS median_activity, round(median(gap), 6) AS median_gap FROM capped GROUP BY category""",
     "confidence_weakest": """
         SELECT o_custkey, CASE max(CASE o_orderpriority WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 WHEN '3-MEDIUM' THEN 3 ELSE 4 END) WHEN 1 THEN 'URGENT' WHEN 2 THEN 'HIGH' WHEN 3 THEN 'MEDIUM' ELSE 'LOW' END AS weakest FROM $orders GROUP BY o_custkey""",

@@ -61,8 +61,48 @@ def write_export(tables: dict[str, DataFrame], folder: str) -> None:
         df.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/{name}.parquet")
 
 
+MOST_LINES = 1000
+
+
 def markdown(df: DataFrame) -> str:
-    """A small result as a pipe table; reals with one decimal, nulls empty."""
+    """A small result as a pipe table; reals with one decimal, nulls empty. A table of more than ``MOST_LINES`` rows is refused: a report is not an export."""
     cell = lambda v: "" if v is None else f"{v:,.1f}" if isinstance(v, float) else str(v)
-    rows = [df.columns, ["---"] * len(df.columns), *([cell(v) for v in r] for r in df.limit(1000).collect())]
-    return "\n".join("| " + " | ".join(r) + " |" for r in rows)
+    rows = df.limit(MOST_LINES + 1).collect()
+    if len(rows) > MOST_LINES:
+        raise ValueError(f"more than {MOST_LINES} rows")
+    lines = [df.columns, ["---"] * len(df.columns), *([cell(v) for v in r] for r in rows)]
+    return "\n".join("| " + " | ".join(r) + " |" for r in lines)
+
+
+def replaced(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """``old`` without the groups that ``new`` has by ``keys`` (as month and stage and place), and ``new``; columns are matched by name, and either side may lack some."""
+    return upsert(old, new, keys)
+
+
+def appended(old: DataFrame, new: DataFrame) -> DataFrame:
+    """``new`` behind ``old`` by column names; a column that ``old`` does not have is an error, one that ``new`` lacks is null."""
+    if more := [c for c in new.columns if c not in old.columns]:
+        raise ValueError(f"unknown columns: {', '.join(more)}")
+    return old.unionByName(new, allowMissingColumns=True)
+
+
+def recorded_fetch(fetches: DataFrame, artefacts: DataFrame, source: str, url: str, month: str) -> DataFrame:
+    """Lineage with one row for each artefact (path, content, row_count), in place of earlier rows of the same source and path; the id is that of the content and the path."""
+    new = artefacts.select(
+        F.substring(F.sha2(F.concat_ws("\x1f", F.lit(source), "path", F.sha2("content", 256)), 256), 1, 16).alias("fetch_id"), F.lit(source).alias("source"), F.lit(url).alias("url"), F.current_timestamp().alias("fetched_at"),
+        "path", F.sha2("content", 256).alias("sha256"), F.octet_length("content").cast("long").alias("bytes"), "row_count", F.lit(month).alias("run_month"),
+    )
+    return upsert(fetches, new, ["source", "path"])
+
+
+def write_jsonl(df: DataFrame, path: str) -> None:
+    """One JSON object per row; nulls are kept, so that every row has every field."""
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def export_month(tables: dict[str, tuple[DataFrame, str]], folder: str, month: str, leads: DataFrame) -> None:
+    """Every table (name: DataFrame, scope) as zstd parquet: ``month``: rows of the month; ``leads``: rows of the month's leads; ``all``: everything. Local paths are not exported."""
+    entities = leads.where(F.col("run_month") == month).select("ja_kodas").distinct()
+    for name, (df, scope) in tables.items():
+        part = {"month": lambda d: d.where(F.col("run_month") == month), "leads": lambda d: d.join(entities, "ja_kodas", "left_semi"), "all": lambda d: d}[scope](df)
+        part.drop("path").write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/{name}.parquet")
