@@ -74,7 +74,7 @@ def renamed(df: DataFrame, **names: str) -> DataFrame:
     return out
 
 
-def components(edges: DataFrame, name: str = "components") -> DataFrame:
+def components(edges: DataFrame, name: str = "components", rows: int = BROADCAST_ROWS) -> DataFrame:
     """Connected components of ``edges`` (a, b): one row (id, component) for each id but the smallest of each component.
 
     The smallest id names the component. In every round each id finds its least neighbour m, its other smaller
@@ -88,8 +88,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     while True:
         low = staged(now.groupBy("u").agg(F.min("v").alias("m")), name)
         tie = lambda a, is_open: F.struct(F.col(a).alias("a"), F.col("m").alias("b"), F.lit(is_open).alias("open"))
-        tied = now.join(broadcast_if_small(low), "u").select(F.explode(F.array(tie("u", False), tie("v", True))).alias("e")).select("e.*").where("a <> b")
-        moved = tied.join(broadcast_if_small(renamed(low, b="u", lower="m")), "b", "left")
+        tied = now.join(broadcast_if_small(low, rows), "u").select(F.explode(F.array(tie("u", False), tie("v", True))).alias("e")).select("e.*").where("a <> b")
+        moved = tied.join(broadcast_if_small(renamed(low, b="u", lower="m"), rows), "b", "left")
         after = staged(moved.groupBy(F.col("a").alias("u"), F.coalesce("lower", "b").alias("v")).agg(F.bool_or(F.col("open") | F.col("lower").isNotNull()).alias("open")), name)
         released(now, low)
         now = after

@@ -6,7 +6,9 @@ value ln c - r (t - b) - r, and the sample is the (term, t) with the least value
 probability sum(min(S, S')) / sum(max(S, S')), the generalised Jaccard similarity of their weights.
 
 The next document is found without a global sort in one task: ranges of ids, cut at quantiles, go to windows of their
-own, and the first document of each range is sent to the range before it as well.
+own, an id that very many rows have is cut by the hash of the text, and the first document of each range is sent to the
+range before it as well. A likeness is the share of ``SAMPLES`` samples that agree: its standard error is
+sqrt(s (1 - s) / SAMPLES), 0.08 at most.
 
 Results for odd input: a null or empty text has no terms, and its samples are all 0, so it is like itself (1) and
 like no other text (0); ties of id are ordered by a hash of the text, null ids come last; equal rows follow each
@@ -15,17 +17,19 @@ other; one row alone is its own next document; no rows give none; extra columns
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACE
 
-BLOCKS, WIDTH = 2, 8
+BLOCKS, WIDTH = 5, 8
 SAMPLES = BLOCKS * WIDTH
-#: Ranges of ids; four to a shuffle partition, so that sizes even out.
-MOST_RANGES = 1024
+#: Ranges of ids to a shuffle partition, so that sizes even out.
+RANGES = 4
 LOWEST = -(1 << 63)
 
 
@@ -66,25 +70,34 @@ def followed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """Documents in ranges of descending ids: (range, place, ghost, id, text, next); ghosts are the first documents of the ranges that follow."""
     spark = docs.sparkSession
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("k", F.coalesce("id", F.lit(LOWEST)))
-    n = min(MOST_RANGES, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cuts = d.agg(F.percentile_approx("k", [i / n for i in range(1, n)], 100 * n)).first()[0] if n > 1 else []
-    cuts = sorted(set(cuts or []))
+    d = d.withColumn("tie", F.bitwise_not(F.xxhash64("text")))  # ids descend and hashes ascend, so that both are compared alike
+    n = RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cuts = (d.agg(F.percentile_approx("k", [i / n for i in range(1, n)], 100 * n)).first()[0] if n > 1 else []) or []
+    often = Counter(cuts)
+    cuts = sorted(often)
+    # An id that is several cuts is that of very many rows: as many ranges of hashes hold it.
+    first = list(accumulate((1 + (often[c] if often[c] > 1 else 0) for c in cuts), initial=0))
+    unit = F.col("tie") / float(1 << 64) + 0.5
 
     def place(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        mid = (low + high) // 2
-        return F.when(F.col("k") <= cuts[mid], place(low, mid)).otherwise(place(mid + 1, high))
+        if low < high:
+            mid = (low + high) // 2
+            return F.when(F.col("k") <= cuts[mid], place(low, mid)).otherwise(place(mid + 1, high))
+        if low == len(cuts) or often[cuts[low]] < 2:
+            return F.lit(first[low])
+        slices = often[cuts[low]]
+        return F.when(F.col("k") == cuts[low], first[low] + 1 + F.least(F.floor(unit * slices), F.lit(slices - 1)).cast("int")).otherwise(first[low])
 
     d = d.withColumn("range", place(0, len(cuts)))
-    heads = dict(d.groupBy("range").agg(F.max("k")).collect())  # one number for each range
+    heads = {r["range"]: r["h"] for r in d.groupBy("range").agg(F.max(F.struct("k", "tie")).alias("h")).collect()}  # two numbers for each range
     used = sorted(heads)
     before = {r: used[(i + 1) % len(used)] for i, r in enumerate(used)}  # ids descend: the range before has higher ids
-    look = lambda table, none: F.element_at(F.array(*[F.lit(table.get(r, none)).cast("long") for r in range(len(cuts) + 1)]), F.col("range") + 1)
-    real, ghost = F.struct(F.col("range").cast("long").alias("range"), F.lit(0).alias("ghost")), F.struct(look(before, -1).alias("range"), F.lit(1).alias("ghost"))
-    d = d.withColumn("to", F.explode(F.when(F.col("k") == look(heads, LOWEST), F.array(real, ghost)).otherwise(F.array(real))))
-    order = Window.partitionBy("range").orderBy("ghost", F.desc("k"), "tie")
-    d = d.select("to.range", "to.ghost", "id", "k", "text", F.xxhash64("text").alias("tie"))
+    look = lambda value: F.element_at(F.array(*[F.lit(value(r) if r in heads else LOWEST).cast("long") for r in range(first[-1] + 1)]), F.col("range") + 1)
+    real, ghost = F.struct(F.col("range").cast("long").alias("range"), F.lit(0).alias("ghost")), F.struct(look(before.get).alias("range"), F.lit(1).alias("ghost"))
+    is_head = (F.col("k") == look(lambda r: heads[r]["k"])) & (F.col("tie") == look(lambda r: heads[r]["tie"]))
+    d = d.withColumn("to", F.explode(F.when(is_head, F.array(real, ghost)).otherwise(F.array(real))))
+    order = Window.partitionBy("range").orderBy("ghost", F.desc("k"), F.desc("tie"))
+    d = d.select("to.range", "to.ghost", "id", "k", "text", "tie")
     return d.select("range", F.row_number().over(order).alias("place"), "ghost", "id", "text", F.lead("text").over(order).alias("next"))
 
 

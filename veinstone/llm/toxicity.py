@@ -34,6 +34,12 @@ TOKEN = re.compile(r"[^\W\d_]+")
 NONE = np.zeros(0)
 
 
+def tokens_of(text: str) -> list[str]:
+    """Tokens in small letters, as many as in the text itself: a token whose small letters are longer, or hold other characters, is still one."""
+    low = text.lower()
+    return TOKEN.findall(low) if len(low) == len(text) else [t.lower() for t in TOKEN.findall(text)]
+
+
 def features_of(token: str) -> tuple[int, ...]:
     """Hashed features of a token in small letters: itself, its beginnings and its ending (in UTF-8 bytes)."""
     b = token.encode("utf-8", "surrogatepass")
@@ -152,14 +158,14 @@ def train(docs: list[tuple[str, int]], rounds: int = 30, rate: float = 0.3) -> F
     field, features = Field(), Features()
     if len({y for _, y in docs}) < 2:
         return field
-    texts = [(TOKEN.findall(text.lower()), y) for text, y in docs]
+    texts = [(tokens_of(text), y) for text, y in docs]
     labels = token_labels(texts, features)
     rng = np.random.default_rng(10)
     windows = []
     for (tokens, _), y in zip(texts, labels, strict=True):
         if not tokens:
             continue
-        starts = {max(0, int(k) - 6) // 12 * 12 for k in np.flatnonzero(y)[:20]} | {int(rng.integers(0, len(tokens))) // 12 * 12 for _ in range(3)}
+        starts = {max(0, int(k) - 6) // 12 * 12 for k in np.flatnonzero(y)} | {int(rng.integers(0, len(tokens))) // 12 * 12 for _ in range(3)}
         windows += [(tokens[s : s + 20], y[s : s + 20]) for s in sorted(starts)]
     # Feature lists as flat arrays: token k of all windows has the features at[k]..at[k + 1].
     flat = [f for tokens, _ in windows for t in tokens for f in features[t]]
@@ -216,14 +222,14 @@ def _scorer(field: Field, with_spans: bool, least: float = 0.5):
             scores, spans = [], []
             for at in range(0, len(texts), 1024):
                 some = texts[at : at + 1024]
-                found = [TOKEN.findall(t.lower()) for t in some]
+                found = [tokens_of(t) for t in some]
                 p, _ = marginals([emissions.of(t) for t in found], field.turn)
                 x = np.array([summary(q) for q in p]).reshape(-1, 4)
                 scores.append(1 / (1 + np.exp(-np.clip(x @ field.fit, -30, 30))))
                 if with_spans:
                     for text, q in zip(some, p, strict=True):
                         hit = set(np.flatnonzero(q >= least).tolist())
-                        spans.append([{"start": m.start(), "end": m.end(), "p": float(q[k])} for k, m in enumerate(TOKEN.finditer(text.lower())) if k in hit] if hit else [])
+                        spans.append([{"start": m.start(), "end": m.end(), "p": float(q[k])} for k, m in enumerate(TOKEN.finditer(text)) if k in hit] if hit else [])
             cols = [batch.column("id"), pa.array(np.concatenate(scores) if scores else NONE)]
             if with_spans:
                 cols.append(pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))))
@@ -235,7 +241,7 @@ def _scorer(field: Field, with_spans: bool, least: float = 0.5):
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", train_docs: int = TRAIN_DOCS, with_spans: bool = True) -> DataFrame:
     """(id, score, spans) for every row of ``docs``; ``labels`` must hold training rows only.
 
-    spans: offsets in the text in small letters, with marginals, of tokens that are toxic with probability 0.5 or more.
+    spans: offsets in the text, with marginals, of tokens that are toxic with probability 0.5 or more.
     """
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("y"))
     order = F.xxhash64("id", F.lit(10))

@@ -190,7 +190,8 @@ def op7_zstd_warc(spark, sf_dir: str) -> DataFrame:
     shared_dir(spark)
     records = read_archives(staged(write_archives(pages), "archives"))
     number = lambda c: F.expr(f"try_cast(regexp_extract({c}, '^<urn:page:(-?[0-9]*)>$', 1) AS bigint)")
-    return records.where("error IS NULL").select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), number("refers_to").alias("refers_to"))
+    right = F.when(F.col("error").isNull(), F.col("record_id")).otherwise(F.raise_error(F.concat(F.lit("bad record: "), F.coalesce("error", F.lit("")))))
+    return records.withColumn("record_id", right).select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), number("refers_to").alias("refers_to"))
 
 
 SQL = """
