@@ -1,5 +1,7 @@
 """The rule cascade, one place per outcome; name resolution; similarity; names in running text."""
 
+import json
+
 from pyspark.sql import functions as F
 
 from veinstone.plans import cascade
@@ -50,3 +52,13 @@ def test_similarity_and_mentions(spark):
     df = spark.createDataFrame([("UAB „Lapės maistas“, Vilnius. Vilkas, UAB rekvizitai. MB Meška siūlo darbą", "lape", "lape baras"), (None, None, "x")], "t string, a string, b string")
     rows = df.select(cascade.company_names_in("t").alias("n"), cascade.name_likeness(F.col("a"), F.col("b")).alias("s")).collect()
     assert {"Lapės maistas", "Vilkas", "Meška"} <= set(rows[0].n) and rows[0].s == 100.0 and rows[1].n == [] and rows[1].s == 0.0
+
+
+def test_branches_and_candidates(spark):
+    places = spark.createDataFrame([("p", "Gerasis klubas Rytas", "nightlife", "Uosių g.", "8"), ("q", "Senas skyrius", "auto", None, None)], PLACE)
+    branches = spark.createDataFrame([(8, "UAB Gerasis klubas Rytas", True, True), (2, "Senas skyrius", True, False), (9, "Senas skyrius", True, True)], "ja_kodas long, branch_name string, in_vilnius boolean, is_current boolean")
+    assert {r.place_id: r.status for r in cascade.decide(places, entities(spark)).collect()} == {"p": "unmatched", "q": "unmatched"}
+    got = {r.place_id: (r.status, r.ja_kodas, r.method) for r in cascade.decide(places, entities(spark), branches).collect()}
+    assert got == {"p": ("linked", 8, "exact_name"), "q": ("unmatched", None, None)}  # old branches and those of entities that are gone do not count
+    rows = cascade.candidate_table("2024-05", places, entities(spark), branches).where("source = 'exact_name'").collect()
+    assert len(rows) == 1 and rows[0].ja_kodas == 8 and rows[0].address_agrees and not rows[0].evrk_consistent and json.loads(rows[0].evidence)["matched_key"] == rows[0].matched_key == "gerasis klubas rytas"

@@ -20,8 +20,8 @@ from ..functions import textkeys as K
 COMMON_WORD, MOST_ENTITIES, MOST_PLACES = 8, 5, 1
 
 
-def entity_keys(entities: DataFrame) -> DataFrame:
-    """(kind, key, ja_kodas) of active entities (ja_kodas, legal_name, registered_address, evrk_codes, nexus, is_active)."""
+def entity_keys(entities: DataFrame, branches: DataFrame | None = None) -> DataFrame:
+    """(kind, key, ja_kodas) of active entities (ja_kodas, legal_name, registered_address, evrk_codes, nexus, is_active) and of the names of their current branches in the city (ja_kodas, branch_name, in_vilnius, is_current)."""
     e = entities.where("is_active")
     in_city = K.in_city(F.col("registered_address"))
     pairs = F.array(
@@ -29,7 +29,12 @@ def entity_keys(entities: DataFrame) -> DataFrame:
         F.struct(F.lit("core").alias("kind"), F.when(F.col("nexus"), K.name_key(F.col("legal_name"))).alias("key")),
         F.struct(F.lit("address").alias("kind"), F.when(in_city, K.registry_key(F.col("registered_address"))).alias("key")),
     )
-    return e.select("ja_kodas", F.explode(pairs).alias("p")).select("p.kind", "p.key", "ja_kodas").where("key <> ''")
+    keys = e.select("ja_kodas", F.explode(pairs).alias("p"))
+    if branches is not None:
+        b = branches.where("is_current AND in_vilnius").join(e.select("ja_kodas"), "ja_kodas", "left_semi")
+        named = F.array(F.struct(F.lit("exact").alias("kind"), K.exact_key(F.col("branch_name")).alias("key")), F.struct(F.lit("core").alias("kind"), K.name_key(F.col("branch_name")).alias("key")))
+        keys = keys.union(b.select("ja_kodas", F.explode(named).alias("p")))
+    return keys.select("p.kind", "p.key", "ja_kodas").where("key <> ''").distinct()
 
 
 def word_counts(entities: DataFrame) -> DataFrame:
@@ -38,22 +43,30 @@ def word_counts(entities: DataFrame) -> DataFrame:
     return words.where("word <> ''").groupBy("word").agg(F.count("*").alias("df"))
 
 
-def candidates(places: DataFrame, entities: DataFrame) -> DataFrame:
-    """(place_id, via, ja_kodas, address_agrees, code_fits) for places (place_id, name, category, street, street_number)."""
+def candidates(places: DataFrame, entities: DataFrame, branches: DataFrame | None = None) -> DataFrame:
+    """(place_id, via, ja_kodas, matched_key, address_agrees, code_fits) for places (place_id, name, category, street, street_number)."""
     p = places.select("place_id", "category", K.street_key(F.col("street"), F.col("street_number")).alias("address"), K.exact_key(F.col("name")).alias("exact"), K.name_variants(F.col("name")).alias("variants"))
     core = F.transform("variants", lambda k, i: F.struct(F.when(i == 0, "core_name").otherwise("name_part").alias("via"), F.lit("core").alias("kind"), k.alias("key")))
     own = F.array(F.struct(F.lit("exact_name").alias("via"), F.lit("exact").alias("kind"), F.col("exact").alias("key")), F.struct(F.lit("address").alias("via"), F.lit("address").alias("kind"), F.col("address").alias("key")))
     keys = p.select("place_id", "category", "address", F.explode(F.concat(own, core)).alias("k")).select("place_id", "category", "address", "k.via", "k.kind", "k.key").where("key <> ''")
     about = entities.where("is_active").select("ja_kodas", "evrk_codes", F.when(K.in_city(F.col("registered_address")), K.registry_key(F.col("registered_address"))).alias("own_address"))
-    found = keys.join(entity_keys(entities), ["kind", "key"]).join(about, "ja_kodas")
+    found = keys.join(entity_keys(entities, branches), ["kind", "key"]).join(about, "ja_kodas")
     fits = F.exists(F.coalesce("evrk_codes", F.array().cast("array<string>")), lambda c: K.code_fits(F.col("category"), c))
-    found = found.select("place_id", "via", "ja_kodas", F.coalesce(F.col("address") == F.col("own_address"), F.lit(False)).alias("address_agrees"), F.coalesce(fits, F.lit(False)).alias("code_fits"))
-    return found.groupBy("place_id", "via", "ja_kodas").agg(F.bool_or("address_agrees").alias("address_agrees"), F.bool_or("code_fits").alias("code_fits"))
+    found = found.select("place_id", "via", "ja_kodas", "key", F.coalesce(F.col("address") == F.col("own_address"), F.lit(False)).alias("address_agrees"), F.coalesce(fits, F.lit(False)).alias("code_fits"))
+    return found.groupBy("place_id", "via", "ja_kodas").agg(F.min("key").alias("matched_key"), F.bool_or("address_agrees").alias("address_agrees"), F.bool_or("code_fits").alias("code_fits"))
 
 
-def decide(places: DataFrame, entities: DataFrame) -> DataFrame:
+def candidate_table(month: str, places: DataFrame, entities: DataFrame, branches: DataFrame | None = None) -> DataFrame:
+    """What the primary rules considered, one row per place, entity and rule, with the likeness of the names, which is evidence only, and all of it once more as JSON."""
+    c = candidates(places, entities, branches).join(places.select("place_id", "name"), "place_id").join(entities.select("ja_kodas", "legal_name", F.col("nexus").alias("vilnius_nexus")), "ja_kodas")
+    likeness = name_likeness(K.name_key(F.col("name")), K.name_key(F.col("legal_name")))
+    out = c.select(F.lit(month).alias("run_month"), F.lit("primary").alias("stage"), "place_id", "ja_kodas", F.col("via").alias("source"), "matched_key", "address_agrees", F.col("code_fits").alias("evrk_consistent"), "vilnius_nexus", likeness.alias("name_similarity"))
+    return out.withColumn("evidence", F.to_json(F.struct("ja_kodas", "source", "matched_key", "address_agrees", "evrk_consistent", "vilnius_nexus", "name_similarity")))
+
+
+def decide(places: DataFrame, entities: DataFrame, branches: DataFrame | None = None) -> DataFrame:
     """(place_id, status, ja_kodas, method, confidence, reason) for every place; the first rule that has candidates decides, for names."""
-    c = candidates(places, entities)
+    c = candidates(places, entities, branches)
     one = lambda cond: F.min(F.when(cond, F.col("ja_kodas")))
     n = lambda cond: F.count(F.when(cond, 1))
     aggs = []
