@@ -392,3 +392,53 @@ def test_forward_backward_against_enumeration():
     p, counts = toxicity.marginals([e, e[:1], e[:0]], turn)
     assert np.allclose(p[0], [sum(w for y, w in weight.items() if y[i]) / z for i in range(6)]) and len(p[2]) == 0
     assert np.allclose(counts, [[sum(w * sum(pair == (a, b) for pair in itertools.pairwise(y)) for y, w in weight.items()) / z for b in (0, 1)] for a in (0, 1)])
+
+
+def test_resampling_weights_by_brute_force(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    from veinstone.llm.shingles import Words
+
+    rng = random.Random(18)
+    texts = [prose(rng, rng.randrange(0, 60), 80) for _ in range(50)] + ["x" * 3000 + " y", "same same", "same same"]
+    df = spark.createDataFrame([(i, t, 1.0, "k") for i, t in enumerate(texts)], "doc_id long, text string, key double, bucket string")
+    out = by_id(resampling.resample(df, df.where("doc_id % 3 = 0").select("doc_id"), 0.5, bits=10))
+    words = Words(pa.array([t.encode() for t in texts], pa.binary()))
+    grams = [resampling.buckets(words.of(i), 10).tolist() for i in range(len(texts))]
+    raw, good = Counter(g for x in grams for g in x), Counter(g for i, x in enumerate(grams) for g in x if i % 3 == 0)
+    log = lambda c, g: np.log((c[g] + 1.0) / (sum(c.values()) + 1024))
+    for i, x in enumerate(grams):
+        if x:
+            assert out[i].n_grams == len(x) and abs(out[i].log_weight - sum(log(good, g) - log(raw, g) for g in x)) < 1e-6
+        else:
+            assert out[i].log_weight is None and not out[i].kept
+    assert sum(r.kept for r in out.values()) == round(0.5 * len(texts))
+
+
+CONTRACT = {
+    "op1_nnls_packing": ("documents", "doc_id start length ids_crc32 doc_tokens sequence_id offset"), "op2_divergence_rules": ("documents", "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept"),
+    "op3_weighted_sampling_fingerprints": ("documents", "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next"), "op4_importance_resampling": ("documents", "doc_id kept"), "op5_low_discrepancy_mix": ("documents", "doc_id size source_size target taken"),
+    "op6_minhash_near_dedup": ("documents", "doc_id n_shingles component_id kept"), "op7_zstd_warc": ("pages", "page_id payload_bytes payload_digest record_type refers_to"), "op8_site_template_removal": ("pages", "page_id url text n_chars"),
+    "op9_paragraph_substring_dedup": ("documents", "doc_id text removed_words"), "op10_crf_toxicity": ("documents", "doc_id held_out score predicted"),
+}
+
+
+@pytest.mark.parametrize("name", CONTRACT)
+def test_queries_return_their_columns_for_every_row(spark, name):
+    from veinstone.llm import queries
+
+    table, columns = CONTRACT[name]
+    folder = "/root/testdata/sf0.001"
+    key = "page_id" if table == "pages" else "doc_id"
+    ids = {r[0] for r in spark.read.parquet(f"{folder}/{table}.parquet").select(key).collect()}
+    out = queries.QUERIES[name](spark, folder)
+    assert out.columns[: len(columns.split())] == columns.split() or set(columns.split()) <= set(out.columns)
+    rows = [r[key] for r in out.select(key).collect()]
+    assert set(rows) == ids and (len(rows) == len(ids) or name == "op1_nnls_packing")
+
+
+def test_toxicity_of_held_out_documents(spark):
+    folder = "/root/testdata/sf0.01"
+    out = toxicity.op10_crf_toxicity(spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").where("held_out").select("toxic", "predicted").collect()
+    assert sum(r.toxic == r.predicted for r in out) / len(out) > 0.9
