@@ -21,8 +21,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -30,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, staged
-from .shingles import sliced
+from .shingles import kept, sliced
 
 #: A subtree is a template when it is on at least so many distinct pages of its host, outside the article on ENOUGH of
 #: them (on a small host: on SMALL_SHARE of them), or, wherever it stands, on MIN_SHARE of them.
@@ -141,15 +140,23 @@ def digest(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-@lru_cache(20_000)
-def attributes(attrs: str) -> dict[str, str]:
+def remembered(function: Callable, *args):
+    """``function(*args)``; a worker remembers up to 20,000 results of each function, since pages of a site are written alike."""
+    known = kept(function.__name__, dict)
+    if args not in known:
+        if len(known) >= 20_000:
+            known.clear()
+        known[args] = function(*args)
+    return known[args]
+
+
+def attributes_of(attrs: str) -> dict[str, str]:
     return {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in ATTRIBUTE.finditer(attrs)} if attrs else {}
 
 
-@lru_cache(20_000)
-def kind(tag: str, attrs: str) -> str:
+def kind_of(tag: str, attrs: str) -> str:
     """Tag and names of an element, without numbers."""
-    a = attributes(attrs)
+    a = remembered(attributes_of, attrs)
     return " ".join([tag, *sorted(re.sub(r"[0-9]+", "0", f"{a.get('class', '')} {a.get('id', '')} {a.get('role', '')}").split())])
 
 
@@ -169,14 +176,13 @@ def measure(nodes: list[Node]) -> None:
                 links += part.links
         if node.tag in RAW:
             size = 0
-        node.hash, node.shape = digest("\x1f".join(own)), digest("\x1f".join([kind(node.tag, node.attrs), *map(str, sorted(shapes))]))
+        node.hash, node.shape = digest("\x1f".join(own)), digest("\x1f".join([remembered(kind_of, node.tag, node.attrs), *map(str, sorted(shapes))]))
         node.size, node.links = size, size if node.tag == "a" else links
 
 
-@lru_cache(20_000)
-def said_no_text(tag: str, attrs: str, inside: bool) -> bool:
+def is_no_text(tag: str, attrs: str, inside: bool) -> bool:
     """Whether an element's tag, role or class says that it is no part of the text; ``inside`` the main part fewer names do."""
-    a = attributes(attrs)
+    a = remembered(attributes_of, attrs)
     if tag in DROPPED or "hidden" in a or a.get("aria-hidden") == "true" or a.get("role") in ROLES or "display:none" in a.get("style", "").replace(" ", ""):
         return True
     names = f"{a.get('class', '')} {a.get('id', '')}"
@@ -193,7 +199,7 @@ def main_part(nodes: list[Node]) -> Node:
     """The largest article, else the largest main element, else, from the body on, the part that holds most of the text outside links."""
     gone: set[int] = set()
     for node in nodes:
-        if id(node.parent) in gone or said_no_text(node.tag, node.attrs, False):
+        if id(node.parent) in gone or remembered(is_no_text, node.tag, node.attrs, False):
             gone.add(id(node))
     for tag in ("article", "main", "body", "#"):
         if found := [x for x in nodes if x.tag == tag and x.size and id(x) not in gone]:
@@ -226,7 +232,7 @@ def places(nodes: list[Node], out: set[int]) -> dict[int, int]:
     path: dict[int, int] = {}
     found: dict[int, int] = {}
     for node in nodes if out else []:
-        name = kind(node.tag, node.attrs)
+        name = remembered(kind_of, node.tag, node.attrs)
         path[id(node)] = digest(f"{path.get(id(node.parent), '')} {name}")
         if id(node) in out and node.size and (" " in name or node.tag in ("nav", "header", "footer", "aside", "form") or node.links * 2 > node.size):
             found[id(node)] = digest(f"{path[id(node)]} {node.shape}")
@@ -257,7 +263,7 @@ def main_text(page: str | None, recurring: frozenset[int] | set[int] = frozenset
         outside = id(node) in out
         if place.get(id(node)) in recurring or node.hash in recurring and node.size * 2 < best.size and (node.tag in CONTAINERS or outside or not article):
             return True
-        return lists and (said_no_text(node.tag, node.attrs, article and not outside) or node.tag == "header" and not article) or node.tag in RAW or node.tag == "head"
+        return lists and (remembered(is_no_text, node.tag, node.attrs, article and not outside) or node.tag == "header" and not article) or node.tag in RAW or node.tag == "head"
 
     stack = [(iter(top.parts), top)]
     while stack:

@@ -6,8 +6,9 @@ Python object for a word and no dictionary of words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import cache
+import sys
+import types
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,14 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@cache
+def kept(name: str, make: Callable[[], object]) -> object:
+    """What ``make`` returned first in this Python worker. Functions travel to the workers by their code, so that a cache of a module's own would be looked for in a package that executors do not have."""
+    store = sys.modules.setdefault("_veinstone_kept", types.ModuleType("_veinstone_kept")).__dict__
+    if name not in store:
+        store[name] = make()
+    return store[name]
+
+
 def _byte_values() -> tuple[np.ndarray, np.ndarray]:
     """(whether a byte is white space, its value): A-Z count as a-z, white space as 0."""
     b = np.arange(256)
@@ -60,7 +68,6 @@ def _byte_values() -> tuple[np.ndarray, np.ndarray]:
     return space, values
 
 
-@cache
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the multiplier modulo 2 ** 64, and those of its inverse."""
     inverse = np.array([pow(int(MIX_A), -1, 1 << 64)], np.uint64)
@@ -73,7 +80,7 @@ class Words:
 
     def __init__(self, column: pa.Array) -> None:
         data, offsets = text_bytes(column)
-        is_space, values = _byte_values()
+        is_space, values = kept("byte values", _byte_values)
         space = is_space[data]
         before = np.ones(len(data) + 1, bool)
         before[1:] = space
@@ -87,7 +94,7 @@ class Words:
             first = starts[k]
             stop = max(k + 1, int(np.searchsorted(ends, first + PART_BYTES, "right")))
             last = ends[stop - 1]
-            power, inverse = _powers(PART_BYTES) if last - first <= PART_BYTES else _powers.__wrapped__(int(last - first))
+            power, inverse = kept("powers", lambda: _powers(PART_BYTES)) if last - first <= PART_BYTES else _powers(int(last - first))
             place = starts[k:stop] - first
             self.hashes[k:stop] = mixed(np.add.reduceat(values[data[first:last]] * power[: last - first], place) * inverse[place])
             k = stop
