@@ -58,11 +58,17 @@ def kept(name: str, make: Callable[[], object]) -> object:
     return store[name]
 
 
-def _byte_values() -> tuple[np.ndarray, np.ndarray]:
-    """(whether a byte is white space, its value): A-Z count as a-z, white space as 0."""
+def _byte_values(kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """(whether a byte stands between words, its value): A-Z count as a-z, what is between words as 0.
+
+    Of ``spaced`` words only white space is between them; of ``alphanumeric`` ones all that is neither a letter, a digit nor beyond ASCII.
+    """
     b = np.arange(256)
-    space = np.isin(b, [0x20, *range(0x09, 0x0E)])
     small = np.where((b >= 65) & (b <= 90), b + 32, b)
+    if kind == "spaced":
+        space = np.isin(b, [0x20, *range(0x09, 0x0E)])
+    else:
+        space = (small < 0x30) | (small > 0x39) & (small < 0x61) | (small > 0x7A) & (small < 0x80)
     values = mixed(mixed((small + 1).astype(np.uint64) * MIX_A) * MIX_A + MIX_B)
     values[space] = 0
     return space, values
@@ -78,9 +84,9 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """Hashes of the words of a slice of texts, one after another; ``at[k]`` to ``at[k + 1]`` are those of text k."""
 
-    def __init__(self, column: pa.Array) -> None:
+    def __init__(self, column: pa.Array, kind: str = "spaced") -> None:
         data, offsets = text_bytes(column)
-        is_space, values = kept("byte values", _byte_values)
+        is_space, values = kept(f"{kind} bytes", lambda: _byte_values(kind))
         space = is_space[data]
         before = np.ones(len(data) + 1, bool)
         before[1:] = space
