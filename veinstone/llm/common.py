@@ -1,77 +1,16 @@
-"""What the operators of this subpackage share: staging, checked broadcasts and connected components."""
+"""What the operators of this subpackage share: words, connected components, and the staging of the engine."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WORD = r"[^\x20\x09-\x0D]+"
-SPACE = r"[\x20\x09-\x0D]+"
-#: A table of at most so many rows of a few numbers may be broadcast (some tens of MB).
-BROADCAST_ROWS = 500_000
-
-_staged: dict[str, SparkSession] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where that is unset, a local one for a local session, and an error on a cluster."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not at:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        at = "file://" + tempfile.mkdtemp(prefix="veinstone-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: later jobs neither repeat nor lose the work. The write also counts the rows."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/veinstone-{name}-{uuid.uuid4().hex}"
-    counted = Observation()
-    df.observe(counted, F.count(F.lit(1)).alias("n")).write.parquet(path)
-    if not _staged:
-        atexit.register(lambda: _delete(list(_staged)))
-    _staged[path] = spark
-    out = spark.read.schema(df.schema).parquet(path)
-    out.staged_at, out.staged_rows = path, counted.get["n"]
-    return out
-
+from ..staging import BROADCAST_ROWS, broadcast_if_small, released, released_since, renamed, shared_dir, staged, staged_now
 
-def released(*tables: DataFrame) -> None:
-    """Delete staged tables that no later job reads."""
-    _delete([t.staged_at for t in tables])
+__all__ = ["BROADCAST_ROWS", "SPACE", "WORD", "broadcast_if_small", "components", "indexed", "released", "released_since", "renamed", "shared_dir", "staged", "staged_now"]
 
-
-def _delete(paths: list[str]) -> None:
-    for path in paths:
-        spark = _staged.pop(path)
-        try:
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-        except Exception:  # noqa: BLE001  the session may have ended; the files are only scratch
-            return
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df``, staged (or a projection of a staged table, which is counted), marked for broadcast when it has at most ``rows`` rows, of a few numbers each.
-
-    Beyond that it is joined by shuffle, where adaptive execution splits skewed keys.
-    """
-    n = df.staged_rows if "staged_rows" in vars(df) else df.limit(rows + 1).count()
-    return F.broadcast(df) if n <= rows else df
-
-
-def renamed(df: DataFrame, **names: str) -> DataFrame:
-    """A staged table with columns under other names: new=old."""
-    out = df.select(*[F.col(old).alias(new) for new, old in names.items()])
-    out.staged_rows = df.staged_rows
-    return out
+WORD = r"[^\x20\x09-\x0D]+"
+SPACE = r"[\x20\x09-\x0D]+"
 
 
 def components(edges: DataFrame, name: str = "components", rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -1,11 +1,15 @@
-"""Substring dedup: MinHash banding of content-anchored paragraphs, exact checks, removal by components.
+"""Substring dedup: MinHash banding of overlapping paragraphs, exact checks, removal by components.
 
-Repeated passages do not keep to lines, so a paragraph here is a window of ``WIDTH`` words that starts at an anchor: a
-word 5-gram whose hash is the least of ``GAP`` neighbours. Equal passages have equal anchors wherever they stand; one
-of ``GAP + WIDTH - 1`` = 50 words or more holds a whole paragraph. Each bucket of a band links its paragraphs to its
-first one only (stars, not pairs). Linked paragraphs of two documents on one diagonal form a run. A run is compared
-with the other document word by word, with ``MARGIN`` words on both sides: what common 5-grams cover is the repeat, and
-pieces with few words between them are one repeat if its 5-grams reach a Jaccard similarity of 0.75.
+Repeated passages do not keep to lines, so a paragraph here is every stretch of ``GAP + WIDTH - 1`` = 22 words. Its
+MinHash is the least hash of its shingles of ``WIDTH`` = 10 words; neighbouring paragraphs mostly share theirs, and
+then count once, with the place of that shingle. The banding is one band of one row, which keeps no two equal
+paragraphs apart wherever they stand. Of two passages of 50 words or more at a Jaccard similarity of 0.75 or more (of
+5-grams, by changed words), some paragraph is equal: c changes need 35 c + 4 words, which leaves 24 in a row.
+
+Equal texts fold to the first one before anything else. Each bucket then links its paragraphs to its first one only
+(stars, not pairs). Linked paragraphs of two documents on one diagonal form a run. A run is compared with the other
+document word by word, with ``MARGIN`` words on both sides: what common 5-grams cover is the repeat, and pieces with
+few words between them are one repeat if its 5-grams reach a Jaccard similarity of 0.75.
 
 The first document may hold less of a passage than the others share. Buckets with paragraphs that their star leaves
 without a repeat of 50 words are therefore settled by an exact join on the words of 50-word passages around them.
@@ -32,19 +36,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, components, released, staged
-from .shingles import MIX_A, Words, least_of, mixed, sliced, windows
+from .common import broadcast_if_small, components, released, renamed, staged
+from .shingles import Words, least_of, mixed, sliced, windows
 
-WORDS, WIDTH, GAP, MIN_WORDS, SIMILARITY = 5, 16, 35, 50, 0.75
-#: Equal paragraphs always meet; of two passages of 52 words or more at 0.75 or more some paragraphs meet in 0.89 to 1.00 of
-#: random cases (most have equal ones). Three rows keep paragraphs with a common 5-gram or two apart, however many there are.
-BANDS, ROWS = 2, 3
+WORDS, WIDTH, GAP, MIN_WORDS, SIMILARITY = 5, 10, 13, 50, 0.75
 #: Diagonals beside a run's that count as its own, and words between two pieces of one repeat.
 SHIFT, JOIN = 6, 10
-#: Words beyond a run's ends in which the repeat may go on: a whole paragraph there would have had an anchor.
-MARGIN = GAP + WIDTH
+#: Words beyond a run's ends in which the repeat may go on, behind a change as well: a whole paragraph there would have been met.
+MARGIN = 2 * (GAP + WIDTH)
 #: Linked paragraphs with at most so many words from start to start are one run.
-CHAIN = 2 * GAP
+CHAIN = 70
 #: Words of a hub that are compared at a time.
 SLICE = 256
 #: What a passage of MIN_WORDS that holds a paragraph has more than it on one side at least.
@@ -53,12 +54,14 @@ HALF = (MIN_WORDS - WIDTH) // 2
 FEW = 10_000
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 SPANS = "array<struct<start:bigint,end:bigint>>"
+#: The end of a span that is a whole text.
+WHOLE = 1 << 40
 
 
-def anchors(grams: np.ndarray, at: np.ndarray, gap: int = GAP, width: int = WIDTH) -> np.ndarray:
-    """Places of grams that are the (first) least of some ``gap`` neighbours and begin a paragraph; ``at`` has the words where texts begin and end.
+def minima(grams: np.ndarray, at: np.ndarray, gap: int = GAP, width: int = WIDTH) -> np.ndarray:
+    """Places of the (first) least of every ``gap`` neighbouring shingles; ``at`` has the words where texts begin and end.
 
-    Of equal grams in a row, as of a word said over and over, only every ``gap``-th counts.
+    Of equal shingles in a row, as of a word said over and over, only every ``gap``-th counts.
     """
     low = np.uint64((1 << max(1, len(grams).bit_length())) - 1)
     place = np.arange(len(grams), dtype=np.uint64)
@@ -71,7 +74,7 @@ def anchors(grams: np.ndarray, at: np.ndarray, gap: int = GAP, width: int = WIDT
         more = nth % gap != 0
         key[more] = ~low | place[more]
     least = least_of(key, gap)
-    ends = np.maximum(at[:-1], at[1:] - (gap + width - 2))  # after the last place where ``gap`` grams with their paragraphs begin
+    ends = np.maximum(at[:-1], at[1:] - (gap + width - 2))  # after the last place where a paragraph begins
     inside = np.zeros(len(grams) + 1, np.int32)
     np.add.at(inside, np.minimum(at[:-1], len(grams)), 1)
     np.add.at(inside, np.minimum(ends, len(grams)), -1)
@@ -79,28 +82,18 @@ def anchors(grams: np.ndarray, at: np.ndarray, gap: int = GAP, width: int = WIDT
     return chosen[np.flatnonzero(np.diff(chosen, prepend=-1))]
 
 
-def buckets(grams: np.ndarray, at: np.ndarray, width: int = WIDTH - WORDS + 1, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """One column per band: the hash of its minima over each paragraph's grams."""
-    out = []
-    for b in range(bands):
-        acc = np.full(len(at), b + 1, np.uint64)
-        for r in range(rows):
-            h = mixed((grams ^ np.uint64(0x51ED2701 * (b * rows + r + 1))) * MIX_A)
-            acc = mixed(acc * MIX_A + least_of(h, width)[at])
-        out.append(acc)
-    return np.stack(out, 1)
-
-
 def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches):
         words = Words(batch.column("text"))
         if len(words.hashes) < MIN_WORDS:
             continue
-        grams = windows(words.hashes, WORDS)
-        at = anchors(grams, words.at)
+        grams = windows(words.hashes, WIDTH)
+        at = minima(grams, words.at)
         text = np.searchsorted(words.at, at, "right") - 1
+        long = np.diff(words.at)[text] >= MIN_WORDS
+        at, text = at[long], text[long]
         doc = batch.column("id").to_numpy()[text]
-        yield pa.RecordBatch.from_arrays([pa.array(buckets(grams, at).ravel().view(np.int64)), pa.array(np.repeat(doc, BANDS)), pa.array(np.repeat(at - words.at[text], BANDS).astype(np.int32))], names=["bucket", "doc", "pos"])
+        yield pa.RecordBatch.from_arrays([pa.array(grams[at].view(np.int64)), pa.array(doc), pa.array((at - words.at[text]).astype(np.int32))], names=["bucket", "doc", "pos"])
 
 
 def _lists(parts: list[np.ndarray]) -> pa.Array:
@@ -229,12 +222,14 @@ def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(docs)), pa.array(np.concatenate(starts))], names=["key", "doc", "start"])
 
 
-def _cut(keep: list[str]):
+def _cut(keep: list[str], min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            texts, removed = [], []
+            texts, removed, spans_of = [], [], []
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("removed").to_pylist(), strict=True):
                 at = [m.span() for m in WORD.finditer(text)]
+                if spans[0]["end"] == WHOLE:
+                    spans = [{"start": 0, "end": len(at)}] if len(at) >= min_words else []
                 parts, last, gone = [], 0, 0
                 for s in sorted(spans, key=lambda s: s["start"]):
                     if s["end"] <= len(at):
@@ -243,7 +238,8 @@ def _cut(keep: list[str]):
                         gone += s["end"] - s["start"]
                 texts.append(b"".join([*parts, text[last:]]).decode("utf-8", "replace"))
                 removed.append(gone)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(texts, pa.string()), pa.array(removed, pa.int64()), batch.column("removed"), *map(batch.column, keep)], names=["id", "text", "removed_words", "removed", *keep])
+                spans_of.append(spans)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(texts, pa.string()), pa.array(removed, pa.int64()), pa.array(spans_of, batch.column("removed").type), *map(batch.column, keep)], names=["id", "text", "removed_words", "removed", *keep])
 
     return run
 
@@ -263,9 +259,22 @@ def merged(spans: DataFrame, least: int) -> DataFrame:
     return s.groupBy(F.col("doc").alias("id")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
 
-def met_paragraphs(some: DataFrame) -> DataFrame:
-    """(bucket, doc, pos, hub): paragraphs in buckets of several documents; the hub is the least of these."""
-    rows = staged(some.mapInArrow(_paragraphs, "bucket long, doc long, pos int"), "paragraphs")
+def copies(docs: DataFrame) -> DataFrame:
+    """(id): documents whose text an earlier one has word for word and byte for byte; an id with several texts is none of them."""
+    t = docs.select("id", F.md5("text").alias("digest")).distinct()
+    t = staged(t, "digests")
+    again = staged(t.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("digest", "first"), "equal")
+    later = t.join(broadcast_if_small(again, FEW), "digest").where("id > first")
+    several = staged(t.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id"), "several")
+    out = staged(later.join(broadcast_if_small(several, FEW), "id", "left_anti").select("id"), "copies")
+    released(t, again, several)
+    return out
+
+
+def met_paragraphs(some: DataFrame, copied: DataFrame) -> DataFrame:
+    """(bucket, doc, pos, hub): paragraphs in buckets of several documents, copies aside; the hub is the least of these."""
+    rows = some.mapInArrow(_paragraphs, "bucket long, doc long, pos int").join(broadcast_if_small(copied, FEW).withColumnRenamed("id", "doc"), "doc", "left_anti")
+    rows = staged(rows, "paragraphs")
     shared = rows.groupBy("bucket").agg(F.min("doc").alias("hub"), F.max("doc").alias("last")).where("hub < last").select("bucket", "hub")
     shared = staged(shared, "shared")
     met = staged(rows.join(broadcast_if_small(shared, FEW), "bucket"), "met")
@@ -334,10 +343,25 @@ def followed_up(some: DataFrame, met: DataFrame, found: DataFrame) -> DataFrame:
     return out
 
 
-def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def clusters(found: DataFrame) -> DataFrame:
+    """(id, component): the components of the links of ``found``. Most paragraphs are no other's hub and have one themselves: theirs is its component, and only the rest is searched."""
+    node = lambda doc, pos: F.struct(F.col(doc).alias("doc"), F.col(pos).alias("pos"))
+    links = found.select(node("doc", "pos").alias("a"), node("hub", "hub_pos").alias("b")).distinct()
+    links = staged(links, "links")
+    several = links.groupBy("a").agg(F.min("b").alias("x"), F.max("b").alias("y")).where("x <> y").select(F.col("a").alias("h"))
+    hubs = staged(several.union(links.select("b")).distinct(), "hub-nodes")
+    inner = links.join(broadcast_if_small(hubs, FEW), F.col("a") == F.col("h"), "left_semi")
+    of = components(inner, rows=FEW)
+    out = links.join(broadcast_if_small(renamed(of, b="id", component="component"), FEW), "b", "left").groupBy(F.col("a").alias("id")).agg(F.min(F.coalesce("component", "b")).alias("component"))
+    out = staged(out, "clusters")
+    released(links, hubs)
+    return out
+
+
+def repeats(docs: DataFrame, copied: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc, start, end, component) of repeats, in words, that another document's first paragraph of the same component holds; ``docs`` has id and text (binary)."""
     some = docs.where("id IS NOT NULL AND text IS NOT NULL")
-    met = met_paragraphs(some)
+    met = met_paragraphs(some, copied)
     star = star_repeats(some, met)
     more = followed_up(some, met, star)
     found = star.unionByName(more)
@@ -345,21 +369,26 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     inside = F.exists("spans", lambda s: (s["start"] <= F.col("start")) & (F.col("end") <= s["end"]))
     found = staged(found.join(spans, "doc").where(inside).drop("spans"), "found")  # what is part of no repeat of min_words links nothing
     released(met, star, more, spans)
-    node = lambda doc, pos: F.struct(F.col(doc).alias("doc"), F.col(pos).alias("pos"))
-    of = components(found.select(node("doc", "pos").alias("a"), node("hub", "hub_pos").alias("b")), rows=FEW)
-    out = found.withColumn("id", node("doc", "pos")).join(broadcast_if_small(of, FEW), "id").where(F.col("component.doc") < F.col("doc")).select("doc", "start", "end", "component")
+    of = clusters(found)
+    out = found.withColumn("id", F.struct("doc", "pos")).join(broadcast_if_small(of, FEW), "id").where(F.col("component.doc") < F.col("doc")).select("doc", "start", "end", "component")
     out = staged(out, "repeats")
-    released(found)
+    released(found, of)
     return out
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, keep: tuple[str, ...] = ()) -> DataFrame:
     """(id, text, removed_words, removed) for every row: the text without its repeats, and their places in words; ``keep`` names further columns to keep."""
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"), *keep)
-    spans = staged(merged(repeats(d.select("id", "text"), min_words), min_words).withColumnRenamed("spans", "removed"), "spans")
+    some = d.where("id IS NOT NULL AND text IS NOT NULL").select("id", "text")
+    copied = copies(some)
+    found = repeats(some, copied, min_words)
+    whole_text = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(WHOLE).cast("long").alias("end")))
+    spans = merged(found, min_words).unionByName(copied.select("id", whole_text.alias("spans")))  # a copy has no paragraphs, so no other spans
+    spans = staged(spans.withColumnRenamed("spans", "removed"), "spans")
+    released(found, copied)
     few = broadcast_if_small(spans, FEW)
     schema = f"id long, text string, removed_words long, removed {SPANS}" + "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    cut = d.where("text IS NOT NULL").join(few, "id").select("id", "text", "removed", *keep).mapInArrow(_cut(list(keep)), schema)
+    cut = d.where("text IS NOT NULL").join(few, "id").select("id", "text", "removed", *keep).mapInArrow(_cut(list(keep), min_words), schema)
     whole = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *keep).join(few.select(F.col("id").alias("_id")), F.col("id").eqNullSafe(F.col("_id")) & F.col("text").isNotNull(), "left_anti")
     return cut.unionByName(whole.select("id", "text", F.lit(0).cast("long").alias("removed_words"), F.array().cast(SPANS).alias("removed"), *keep))
 
