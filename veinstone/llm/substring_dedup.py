@@ -249,12 +249,20 @@ def with_listed(some: DataFrame, listed: DataFrame) -> DataFrame:
     return some.join(listed.hint("shuffle_hash"), "id")
 
 
-def merged(spans: DataFrame, least: int) -> DataFrame:
-    """(id, spans): spans (doc, start, end) of every document, joined where they touch; only those of ``least`` words or more. A document's spans are no more than its words."""
-    by_start = Window.partitionBy("doc").orderBy("start", "end")
+def islands(spans: DataFrame) -> DataFrame:
+    """Spans (doc, start, end, ...) with ``island``, the number of the stretch of touching spans that each is in; a document's spans are no more than its words.
+
+    Spans that an earlier or longer one of the document holds are gone: what they cover is covered.
+    """
+    by_start = Window.partitionBy("doc").orderBy("start", F.desc("end"))
     before = F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     island = F.sum(F.when(F.col("start") <= F.col("before"), 0).otherwise(1)).over(by_start)
-    s = spans.select("doc", "start", "end").distinct().withColumn("before", before).withColumn("island", island)
+    return spans.withColumn("before", before).where("before IS NULL OR end > before").withColumn("island", island).drop("before")
+
+
+def merged(spans: DataFrame, least: int) -> DataFrame:
+    """(id, spans): spans (doc, start, end) of every document, joined where they touch; only those of ``least`` words or more."""
+    s = islands(spans.select("doc", "start", "end").distinct())
     s = s.groupBy("doc", "island").agg(F.min("start").alias("start"), F.max("end").alias("end")).where(F.col("end") - F.col("start") >= least)
     return s.groupBy(F.col("doc").alias("id")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
@@ -365,10 +373,10 @@ def repeats(docs: DataFrame, copied: DataFrame, min_words: int = MIN_WORDS) -> D
     star = star_repeats(some, met)
     more = followed_up(some, met, star)
     found = star.unionByName(more)
-    spans = staged(merged(found, min_words).withColumnRenamed("id", "doc"), "long-spans")
-    inside = F.exists("spans", lambda s: (s["start"] <= F.col("start")) & (F.col("end") <= s["end"]))
-    found = staged(found.join(spans, "doc").where(inside).drop("spans"), "found")  # what is part of no repeat of min_words links nothing
-    released(met, star, more, spans)
+    whole = Window.partitionBy("doc", "island")
+    found = islands(found).withColumn("long", F.max("end").over(whole) - F.min("start").over(whole)).where(F.col("long") >= min_words)
+    found = staged(found.drop("island", "long"), "found")  # what is part of no repeat of min_words links nothing
+    released(met, star, more)
     of = clusters(found)
     out = found.withColumn("id", F.struct("doc", "pos")).join(broadcast_if_small(of, FEW), "id").where(F.col("component.doc") < F.col("doc")).select("doc", "start", "end", "component")
     out = staged(out, "repeats")
