@@ -266,19 +266,53 @@ def test_substring_dedup_cuts_the_shared_passage(docs, rows, empty):
     assert substring_dedup.substring_dedup(empty).collect() == []
 
 
+def test_passages_with_a_changed_word_meet():
+    import numpy as np
+    import pyarrow as pa
+
+    from veinstone.llm.shingles import Words, windows
+
+    rng = random.Random(23)
+
+    def met(n, changed):
+        """Whether a passage of n words meets its copy with other words at the places ``changed``, in other surroundings."""
+        passage = prose(rng, n, 50000).split()
+        copy = [f"changed{rng.randrange(99)}" if i in changed else w for i, w in enumerate(passage)]
+        texts = [" ".join([prose(rng, rng.randrange(20, 60), 50000), *p, prose(rng, rng.randrange(20, 60), 50000)]) for p in (passage, copy) if p]
+        words = Words(pa.array([t.encode() for t in texts], pa.binary()))
+        grams = windows(words.hashes, substring_dedup.WIDTH)
+        at = substring_dedup.minima(grams, words.at)
+        return bool(set(grams[at[at < words.at[1]]].tolist()) & set(grams[at[at >= words.at[1]]].tolist()))
+
+    for n in (50, 52, 55, 60, 80):
+        middle, anywhere, adjacent = (np.mean([met(n, places) for places in cases]) for cases in ([{n // 2}] * 300, [{rng.randrange(n)} for _ in range(300)], [{n // 2, n // 2 - 1}] * 300))
+        assert middle >= 0.99 and anywhere >= 0.99 and adjacent >= 0.95, (n, middle, anywhere, adjacent)
+    assert np.mean([met(75, {25, 50}) for _ in range(300)]) >= 0.95
+
+
 def test_substring_dedup_cuts_passages_with_a_changed_word(spark):
     rng = random.Random(21)
     rows = []
     for k in range(40):
-        passage = prose(rng, (60, 80)[k % 2], 50000).split()
+        passage = prose(rng, (51, 55, 60, 80)[k % 4], 50000).split()
         changed = list(passage)
         changed[len(passage) // 2] = "changed"
         rows += [(k, f"{prose(rng, 50, 50000)} {' '.join(passage)} {prose(rng, 40, 50000)}"), (100 + k, f"{prose(rng, 35, 50000)} {' '.join(changed)} {prose(rng, 60, 50000)}")]
     out = by_id(substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")))
-    assert sum(out[100 + k].removed_words >= (60, 80)[k % 2] - 2 for k in range(40)) >= 38
+    assert [k for k in range(40) if out[100 + k].removed_words < (51, 55, 60, 80)[k % 4] - 2] == []
     assert all(out[k].removed_words == 0 for k in range(40))
 
 
+def test_substring_dedup_of_texts_that_repeat_themselves(spark):
+    rng = random.Random(24)
+    pair = lambda n: " ".join(["over again"] * n)
+    rows = [(i, f"{prose(rng, 60, 50000)} {pair(40 + 3 * i)} {prose(rng, 60, 50000)}") for i in range(12)]
+    out = by_id(substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert out[0].removed_words == 0
+    for i in range(1, 12):
+        assert out[i].text.count("over again") <= 24 and out[i].removed_words <= 2 * (40 + 3 * i)
+
+
 def test_substring_dedup_behind_partial_earlier_quotes(spark):
     rng = random.Random(22)
     rows = []

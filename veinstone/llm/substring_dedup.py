@@ -61,25 +61,22 @@ WHOLE = 1 << 40
 def minima(grams: np.ndarray, at: np.ndarray, gap: int = GAP, width: int = WIDTH) -> np.ndarray:
     """Places of the (first) least of every ``gap`` neighbouring shingles; ``at`` has the words where texts begin and end.
 
-    Of equal shingles in a row, as of a word said over and over, only every ``gap``-th counts.
+    Where a text says a few words over and over, its least shingle comes back at every turn, and would meet another
+    such text on as many diagonals; of equal ones that are at most half of ``gap`` apart only one in each ``gap`` counts.
     """
     low = np.uint64((1 << max(1, len(grams).bit_length())) - 1)
-    place = np.arange(len(grams), dtype=np.uint64)
-    key = (grams & ~low) | place
-    again = np.flatnonzero(grams[1:] == grams[:-1]) + 1
-    if len(again):
-        first = np.arange(len(grams))
-        first[again] = 0
-        nth = np.arange(len(grams)) - np.maximum.accumulate(first)
-        more = nth % gap != 0
-        key[more] = ~low | place[more]
-    least = least_of(key, gap)
+    least = least_of((grams & ~low) | np.arange(len(grams), dtype=np.uint64), gap)
     ends = np.maximum(at[:-1], at[1:] - (gap + width - 2))  # after the last place where a paragraph begins
     inside = np.zeros(len(grams) + 1, np.int32)
     np.add.at(inside, np.minimum(at[:-1], len(grams)), 1)
     np.add.at(inside, np.minimum(ends, len(grams)), -1)
     chosen = (least[np.cumsum(inside)[: len(least)] > 0] & low).astype(np.int64)
-    return chosen[np.flatnonzero(np.diff(chosen, prepend=-1))]
+    chosen = chosen[np.flatnonzero(np.diff(chosen, prepend=-1))]
+    if not len(chosen):
+        return chosen
+    new = np.append(True, (grams[chosen[1:]] != grams[chosen[:-1]]) | (np.diff(chosen) > gap // 2))
+    turn = (chosen - chosen[np.flatnonzero(new)[np.cumsum(new) - 1]]) // gap
+    return chosen[new | np.append(True, turn[1:] != turn[:-1])]
 
 
 def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
