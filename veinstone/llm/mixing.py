@@ -8,7 +8,8 @@ its words, where the last block is cut.
 
 Results for odd input: a null, empty or blank text has size 0 and is never taken; null is a source of its own, the
 last; equal rows are separate documents (their shares are equal or follow each other in the shuffle); without
-documents or words nothing is taken; extra columns are not read. A null id sorts as the text "null". A source whose
+documents or words nothing is taken; extra columns are not read. Rows are shuffled by id and text, so that many rows of
+one id, or without one, are spread like others; a null id counts as the text "null". A source whose
 target is less than a block may get no slot, or one.
 """
 
@@ -30,7 +31,7 @@ BUCKET_ROWS = 8192
 
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     words = F.size(F.filter(F.split(F.col(text_col), SPACE), lambda w: w != ""))
-    shuffled = F.md5(F.concat(F.lit("mix-"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
+    shuffled = F.md5(F.concat(F.lit("mix-"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit("-"), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), F.col(source_col).alias("source"), F.when(F.col(text_col).isNull(), 0).otherwise(words).cast("long").alias("size"), shuffled.alias("h"))
 
 
@@ -135,7 +136,7 @@ def op5_low_discrepancy_mix(spark, sf_dir: str) -> DataFrame:
 SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         md5('mix-' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h FROM documents
+         md5('mix-' || coalesce(CAST(doc_id AS VARCHAR), 'null') || '-' || md5(coalesce(text, ''))) AS h FROM documents
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS k FROM d GROUP BY source
 ), w AS (SELECT source, source_size, 2.0::DOUBLE * source_size AS cap, CASE k WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END::DOUBLE AS weight FROM s),

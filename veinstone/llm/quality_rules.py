@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, released, staged
+from .common import SPACE, broadcast_if_small, released, staged
 
 COMMON_WORDS = 32
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -91,19 +91,21 @@ def words_of(d: DataFrame) -> DataFrame:
 def common_words(d: DataFrame, common: int = COMMON_WORDS) -> DataFrame:
     """(lang, word, place, share): the most common words of each language over all its documents, from place 0 on."""
     word = staged(words_of(d.select("lang", "text")).groupBy("lang", "word").agg(F.count("*").alias("n")), "language-words")
-    total = word.groupBy("lang").agg(F.sum("n").alias("words"))
+    total = staged(word.groupBy("lang").agg(F.sum("n").alias("words")), "language-totals")
     # The top of a language is the top of the tops of its shares, of which no task keeps more than the top rows.
     n = lambda *by: F.row_number().over(Window.partitionBy("lang", *by).orderBy(F.desc("n"), "word"))
     top = word.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(256))).withColumn("k", n("part")).where(F.col("k") <= common)
     top = top.withColumn("place", n() - 1).where(F.col("place") < common)
-    out = staged(top.join(F.broadcast(total), "lang").select("lang", "word", "place", (F.col("n") / F.col("words")).alias("share")), "common-words")
-    released(word)
+    out = staged(top.join(broadcast_if_small(total), "lang").select("lang", "word", "place", (F.col("n") / F.col("words")).alias("share")), "common-words")
+    released(word, total)
     return out
 
 
 def word_shares(d: DataFrame, common: DataFrame) -> DataFrame:
     """(id, digest, n): for every row with words, a map from places of its language's common words, -1 for all other words, to how often they occur."""
-    lists = F.broadcast(common.select(F.xxhash64("lang", "word").alias("key"), "place"))  # COMMON_WORDS rows a language
+    lists = common.select(F.xxhash64("lang", "word").alias("key"), "place")
+    lists.staged_rows = common.staged_rows  # COMMON_WORDS rows a language
+    lists = broadcast_if_small(lists)
     found = words_of(d).select("id", "digest", F.xxhash64("lang", "word").alias("key")).join(lists, "key", "left")
     counts = found.groupBy("id", "digest", F.coalesce("place", F.lit(-1)).alias("place")).agg(F.count("*").alias("n"))
     return counts.groupBy("id", "digest").agg(F.map_from_entries(F.collect_list(F.struct("place", "n"))).alias("n"))
@@ -129,7 +131,7 @@ def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     ref = common.groupBy("lang").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "share"))), lambda x: x["share"]).alias("q"))
     ref = ref.withColumn("q", with_rest("q"))
     refs = staged(totals.select("lang", class_shares().alias("class_ref")).join(ref, "lang", "left"), "language-references")
-    m = m.join(F.broadcast(refs), "lang", "left").join(n, F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left")
+    m = m.join(broadcast_if_small(refs, 100_000), "lang", "left").join(n, F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left")
     all_words = F.aggregate(F.map_values("n"), F.lit(0).cast("long"), lambda s, x: s + x)
     p = F.transform(F.sequence(F.lit(0), F.size("q") - 2), lambda k: F.coalesce(F.try_element_at("n", k), F.lit(0)) / F.col("all_words"))
     m = m.withColumn("all_words", all_words).withColumn("p", F.when(F.col("n").isNotNull() & (F.size("q") > 1), p)).withColumn("p", with_rest("p"))
