@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-# Legal forms (folded), words of no distinction, street types, social and booking hosts.
+# Legal forms (folded), words of no distinction, street types, social and booking hosts, words in addresses of policy pages.
 LEGAL_FORMS = (
     "uzdaroji akcine bendrove", "akcine bendrove", "mazoji bendrija", "individuali imone", "viesoji istaiga", "tikroji ukine bendrija", "komanditine ukine bendrija", "zemes ukio bendrove",
     "kooperatine bendrove", "zuvininkystes bendrove", "asociacija", "uab", "ab", "mb", "ii", "vsi", "tub", "kub", "zub", "ltd", "ou", "sia", "oy", "gmbh",
@@ -21,6 +21,7 @@ STREET_TYPES = {
 SKIP_HOSTS = (
     "facebook. instagram. treatwell. trea.tw trw.page.link fresha. booksy. linktr.ee wolt. bolt. tiktok. youtube. google. goo.gl grozionamai. salonized. rekvizitai. nevaziuoja. imones.lt manoremontas. wixsite. business.site g.page"
 ).split()
+POLICY_WORDS = ("privat", "privacy", "taisykl", "terms", "salyg", "sąlyg", "duomen")
 INACTIVE_STATUS, INACTIVE_FORMS, OWNER_FORMS = (5, 6, 7, 9, 26), (260, 270, 700, 760, 950), (960, 810)
 
 
@@ -70,3 +71,11 @@ class Thresholds:
     gap_ratio: float = 3.0
     capacity: int = 20
     strict: bool = False
+
+
+# Fixed values of the area search: results of one search, its least and most radius in metres, metres to a degree, results that a child cell is meant to have, most cells a side of a split.
+MOST_RESULTS, LEAST_RADIUS_M, MOST_RADIUS_M, METRES_PER_DEGREE, RESULTS_PER_CELL, MOST_FAN_OUT = 20, 75.0, 50_000.0, 111_320.0, 12, 6
+
+# Fixed values of the site walk: pages of one site, and what an address or label of a page with a company's details holds.
+MOST_PAGES = 4
+LINK_HINTS = ("kontakt", "contact", "rekvizit", "apie", "about", "privat", "privacy", "taisykl", "terms", "duomen", "slapuk", "cookie", "salyg", "sąlyg", "imone", "įmonė", "company")

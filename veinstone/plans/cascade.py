@@ -12,9 +12,14 @@ import re
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StringType
+from pyspark.sql.types import ArrayType, StringType
 
+from ..config import CATEGORIES
 from ..functions import textkeys as K
+from ..staging import staged
+from .likeness import name_likeness, token_set_ratio
+
+__all__ = ["candidate_table", "candidates", "company_names", "company_names_in", "decide", "entity_keys", "name_likeness", "resolve_names", "token_set_ratio", "word_counts"]
 
 #: A single word in the names of more entities is not distinctive; more entities or places at an address make it a hotspot.
 COMMON_WORD, MOST_ENTITIES, MOST_PLACES = 8, 5, 1
@@ -43,12 +48,17 @@ def word_counts(entities: DataFrame) -> DataFrame:
     return words.where("word <> ''").groupBy("word").agg(F.count("*").alias("df"))
 
 
-def candidates(places: DataFrame, entities: DataFrame, branches: DataFrame | None = None) -> DataFrame:
-    """(place_id, via, ja_kodas, matched_key, address_agrees, code_fits) for places (place_id, name, category, street, street_number)."""
+def place_keys(places: DataFrame) -> DataFrame:
+    """(place_id, category, address, via, kind, key) for places (place_id, name, category, street, street_number)."""
     p = places.select("place_id", "category", K.street_key(F.col("street"), F.col("street_number")).alias("address"), K.exact_key(F.col("name")).alias("exact"), K.name_variants(F.col("name")).alias("variants"))
     core = F.transform("variants", lambda k, i: F.struct(F.when(i == 0, "core_name").otherwise("name_part").alias("via"), F.lit("core").alias("kind"), k.alias("key")))
     own = F.array(F.struct(F.lit("exact_name").alias("via"), F.lit("exact").alias("kind"), F.col("exact").alias("key")), F.struct(F.lit("address").alias("via"), F.lit("address").alias("kind"), F.col("address").alias("key")))
-    keys = p.select("place_id", "category", "address", F.explode(F.concat(own, core)).alias("k")).select("place_id", "category", "address", "k.via", "k.kind", "k.key").where("key <> ''")
+    return p.select("place_id", "category", "address", F.explode(F.concat(own, core)).alias("k")).select("place_id", "category", "address", "k.via", "k.kind", "k.key").where("key <> ''")
+
+
+def candidates(places: DataFrame, entities: DataFrame, branches: DataFrame | None = None) -> DataFrame:
+    """(place_id, via, ja_kodas, matched_key, address_agrees, code_fits): every entity that a place meets by a key."""
+    keys = place_keys(places)
     about = entities.where("is_active").select("ja_kodas", "evrk_codes", F.when(K.in_city(F.col("registered_address")), K.registry_key(F.col("registered_address"))).alias("own_address"))
     found = keys.join(entity_keys(entities, branches), ["kind", "key"]).join(about, "ja_kodas")
     fits = F.exists(F.coalesce("evrk_codes", F.array().cast("array<string>")), lambda c: K.code_fits(F.col("category"), c))
@@ -64,24 +74,38 @@ def candidate_table(month: str, places: DataFrame, entities: DataFrame, branches
     return out.withColumn("evidence", F.to_json(F.struct("ja_kodas", "source", "matched_key", "address_agrees", "evrk_consistent", "vilnius_nexus", "name_similarity")))
 
 
+def key_counts(entities: DataFrame, branches: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """How many entities have each key, and the least of them: of all (kind, key, n, id), of those whose activity fits a category (kind, key, category, fit, fit_id), and of those at an address (kind, key, address, at, at_id).
+
+    They are counted before places meet them, so a key that very many entities and places share is one row each time.
+    """
+    about = entities.where("is_active").select("ja_kodas", "evrk_codes", F.when(K.in_city(F.col("registered_address")), K.registry_key(F.col("registered_address"))).alias("address"))
+    keyed = staged(entity_keys(entities, branches).join(about, "ja_kodas"), "entity-keys")
+    ids = F.count("*"), F.min("ja_kodas")
+    alone = lambda by, n, i: keyed.where(F.col(by[-1]).isNotNull()).groupBy(*by).agg(ids[0].alias(n), ids[1].alias(i))
+    codes = F.coalesce("evrk_codes", F.array().cast("array<string>"))
+    fits = F.filter(F.array(*[F.lit(c) for c in CATEGORIES]), lambda c: F.exists(codes, lambda code: K.code_fits(c, code)))
+    by_activity = keyed.select("kind", "key", "ja_kodas", F.explode(fits).alias("category")).groupBy("kind", "key", "category").agg(ids[0].alias("fit"), ids[1].alias("fit_id"))
+    return alone(("kind", "key"), "n", "id"), by_activity, alone(("kind", "key", "address"), "at", "at_id")
+
+
 def decide(places: DataFrame, entities: DataFrame, branches: DataFrame | None = None) -> DataFrame:
     """(place_id, status, ja_kodas, method, confidence, reason) for every place; the first rule that has candidates decides, for names."""
-    c = candidates(places, entities, branches)
-    one = lambda cond: F.min(F.when(cond, F.col("ja_kodas")))
-    n = lambda cond: F.count(F.when(cond, 1))
-    aggs = []
+    keys = staged(place_keys(places), "place-keys")
+    every, by_activity, by_address = key_counts(entities, branches)
+    met = keys.join(every, ["kind", "key"], "left").join(by_activity, ["kind", "key", "category"], "left").join(by_address, ["kind", "key", "address"], "left")
+    part = F.when(F.col("via") == "name_part", F.col("at"))
+    own = lambda via: F.max(F.when(F.col("via") == via, F.col("key")))
+    aggs = [own("core_name").alias("core"), own("address").alias("own_address"), F.max(part).alias("p_at_most"), F.max(F.when(part.isNotNull(), F.col("at_id"))).alias("p_addr_last")]
     for via, short in (("exact_name", "x"), ("core_name", "c"), ("name_part", "p"), ("address", "a")):
         here = F.col("via") == via
-        for name, cond in (("n", here), ("addr", here & F.col("address_agrees")), ("fit", here & F.col("code_fits"))):
-            aggs += [n(cond).alias(f"{short}_{name}"), one(cond).alias(f"{short}_{name}_id")]
-    counts = c.groupBy("place_id").agg(*aggs)
-    p = places.select("place_id", K.street_key(F.col("street"), F.col("street_number")).alias("address"), K.name_variants(F.col("name")).alias("variants"))
-    at_address = p.where("address IS NOT NULL").groupBy("address").agg(F.count("*").alias("at_address"))
-    p = p.join(at_address, "address", "left").withColumn("at_address", F.coalesce("at_address", F.lit(0)))
-    word = F.try_element_at("variants", F.lit(1))
-    p = p.withColumn("word", F.when(~F.contains(word, F.lit(" ")), word)).join(word_counts(entities), "word", "left")
-    p = p.withColumn("distinctive", (F.size("variants") > 0) & (F.col("word").isNull() | (F.coalesce("df", F.lit(0)) <= COMMON_WORD)))
-    d = p.join(counts, "place_id", "left").fillna(0, [f"{s}_{k}" for s in "xcpa" for k in ("n", "addr", "fit")])
+        for name, count, key in (("n", "n", "id"), ("addr", "at", "at_id"), ("fit", "fit", "fit_id")):
+            aggs += [F.sum(F.when(here, F.col(count))).alias(f"{short}_{name}"), F.min(F.when(here, F.col(key))).alias(f"{short}_{name}_id")]
+    d = places.select("place_id").join(met.groupBy("place_id").agg(*aggs), "place_id", "left")
+    at_address = keys.where("via = 'address'").groupBy(F.col("key").alias("own_address")).agg(F.count("*").alias("at_address"))
+    d = d.join(at_address, "own_address", "left").withColumn("word", F.when(~F.contains("core", F.lit(" ")), F.col("core"))).join(word_counts(entities), "word", "left")
+    d = d.withColumn("distinctive", F.col("core").isNotNull() & (F.col("word").isNull() | (F.coalesce("df", F.lit(0)) <= COMMON_WORD)))
+    d = d.fillna(0, ["at_address", *[f"{s}_{k}" for s in "xcpa" for k in ("n", "addr", "fit")]])
     g = F.col
     hotspot = (g("a_n") > MOST_ENTITIES) | (g("at_address") > MOST_PLACES)
     linked = lambda ja, method, confidence, reason: F.struct(F.lit("linked").alias("status"), g(ja).alias("ja_kodas"), F.lit(method).alias("method"), F.lit(confidence).alias("confidence"), F.lit(reason).alias("reason"))
@@ -97,12 +121,12 @@ def decide(places: DataFrame, entities: DataFrame, branches: DataFrame | None =
         .when((g("c_n") > 0) & ~g("distinctive"), none("ambiguous", "generic name, no address agreement"))
         .when((g("c_n") > 0) & (g("c_fit") == 1), linked("c_fit_id", "core_name+activity", "MEDIUM", "core name and activity"))
         .when(g("c_n") > 0, none("ambiguous", "several entities share the name"))
-        .when(g("p_addr") == 1, linked("p_addr_id", "name_part+address", "MEDIUM", "name part and address"))
+        .when((g("p_at_most") == 1) & (g("p_addr_id") == g("p_addr_last")), linked("p_addr_id", "name_part+address", "MEDIUM", "name part and address"))
         .when((g("a_fit") == 1) & ~hotspot, linked("a_fit_id", "address_only", "MEDIUM", "only fitting entity at the address"))
         .when((g("a_fit") > 0) & hotspot, none("ambiguous", "multi-tenant address"))
         .when(g("a_fit") > 1, none("ambiguous", "several fitting entities at the address"))
         .when(g("p_n") > 0, none("ambiguous", "name part without address"))
-        .when(F.size("variants") == 0, none("unmatched", "no distinctive name"))
+        .when(g("core").isNull(), none("unmatched", "no distinctive name"))
         .otherwise(none("unmatched", "no candidate entity"))
     )
     return d.select("place_id", choice.alias("d")).select("place_id", "d.*")
@@ -119,36 +143,6 @@ def resolve_names(names: DataFrame, entities: DataFrame) -> DataFrame:
     return best.where("b.hits = 1").select("name", "b.ja_kodas")
 
 
-def common_subsequence(a: str, b: str) -> int:
-    """Length of the longest common subsequence; the rows of the usual table are the bits of one number."""
-    where: dict[str, int] = {}
-    for i, ch in enumerate(a):
-        where[ch] = where.get(ch, 0) | 1 << i
-    row = full = (1 << len(a)) - 1
-    for ch in b:
-        hit = row & where.get(ch, 0)
-        row = (row + hit | row - hit) & full
-    return len(a) - row.bit_count()
-
-
-def token_set_ratio(a: str | None, b: str | None) -> float:
-    """Likeness (0 to 100) of two texts as sets of words: the best of common words and of each text's words with the rest, by longest common subsequence."""
-    x, y = set((a or "").split()), set((b or "").split())
-    if not x or not y:
-        return 0.0
-    both = " ".join(sorted(x & y))
-    if both and (x <= y or y <= x):
-        return 100.0
-    s, t = (" ".join(filter(None, [both, *sorted(z)])) for z in (x - y, y - x))
-    best = 200.0 * common_subsequence(s, t) / (len(s) + len(t))
-    return max(best, *((200.0 * len(both) / (len(both) + len(z)) for z in (s, t)) if both else (0.0,)))
-
-
-@F.pandas_udf(DoubleType())
-def name_likeness(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([round(token_set_ratio(x, y), 1) for x, y in zip(a, b, strict=True)], dtype=float)
-
-
 # Legal forms in running text, words that end a name after one, and quotation marks.
 FORMS = ("UAB", "MB", "IĮ", "VšĮ", "AB")
 NAME_ENDS = frozenset(("siūlo", "siulo", "ieško", "iesko", "darbo", "darbą", "darba", "kviečia", "vilnius", "vilniuje", "kaunas", "pasiūlymai", "pasiulymai", "skelbimai", "prieš"))

@@ -68,7 +68,7 @@ def _activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ACTIVITY = "ja_kodas n_places categories main_category reviews_total reviews_max_place weekly_open_hours_max any_self_service place_ids all_links_usable activity_fits weakest_confidence taxes_prev_year taxes_prev_year_2 taxes_has_tax_year_row taxes_last_reported_year taxes_last_reported taxes_ytd taxes_ytd_through_month has_vmi_record insured_avg_prev_year contributions_prev_year contribution_months_suppressed insured_avg_t12m insured_latest avg_wage_latest has_sodra_record revenue_latest revenue_fy revenue_is_stale multi_site chain new_entity entity_age_months tax_year".split()
-LEAD = "ja_kodas activity_quintile peer_level peer_n gap_taxes gap_payroll gap_revenue score n_signals hold_reason tier priority_rank".split()
+LEAD = "ja_kodas activity_quintile peer_level peer_n peer_reviews_per_year_lo peer_reviews_per_year_hi taxes_year taxes_from_earlier_year reviews_per_1k_taxes reviews_per_1k_revenue insured_per_100_reviews gap_taxes gap_payroll gap_revenue score n_signals hold_reason tier priority_rank".split()
 
 
 def model_entity_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,21 +140,24 @@ a AS (
          NOT multi_site AND has_vmi_record AND activity_fits AND n_places <= 3 AS eligible FROM act WHERE NOT any_self_service),
 f AS (SELECT main_category, quantile_cont(rpy, 0.6) AS f60, quantile_cont(rpy, 0.8) AS f80 FROM a GROUP BY main_category),
 b AS (SELECT a.*, ntile(5) OVER (PARTITION BY main_category ORDER BY rpy, ja_kodas) AS q, rpy >= CASE WHEN extreme THEN f80 ELSE f60 END AS busy FROM a JOIN f USING (main_category)),
-g AS (SELECT main_category AS mc, q AS mq, owner_operated AS mo, CASE WHEN grouping(owner_operated) = 0 THEN 3 WHEN grouping(q) = 0 THEN 2 ELSE 1 END AS lvl, count(*) AS n, median(dt) AS mt, median(dc) AS mk, median(insured_avg_prev_year) AS mh, median(revenue_latest) AS mr
+g AS (SELECT main_category AS mc, q AS mq, owner_operated AS mo, CASE WHEN grouping(owner_operated) = 0 THEN 3 WHEN grouping(q) = 0 THEN 2 ELSE 1 END AS lvl, count(*) AS n, min(rpy) AS lo, max(rpy) AS hi, median(dt) AS mt, median(dc) AS mk, median(insured_avg_prev_year) AS mh, median(revenue_latest) AS mr
       FROM b WHERE eligible GROUP BY GROUPING SETS ((main_category, q, owner_operated), (main_category, q), (main_category)) HAVING count(*) >= 8),
 p AS (SELECT * FROM b LEFT JOIN g ON mc = main_category AND (lvl = 1 OR mq = q) AND (lvl < 3 OR mo = owner_operated) QUALIFY row_number() OVER (PARTITION BY ja_kodas ORDER BY lvl DESC NULLS LAST) = 1),
 h AS (SELECT *, ln((mt + 1) / (dt + 1)) AS gt, CASE WHEN dc IS NOT NULL THEN ln((mk + 1) / (dc + 1)) ELSE ln((mh + 1) / (insured_avg_prev_year + 1)) END AS gp, ln((mr + 1) / (revenue_latest + 1)) AS gr FROM p),
 s AS (
-  SELECT *, (coalesce(gt, 0) * 0.5::DOUBLE + coalesce(gp, 0) * 0.3::DOUBLE + coalesce(gr, 0) * 0.2::DOUBLE) / nullif((gt IS NOT NULL)::INT * 0.5::DOUBLE + (gp IS NOT NULL)::INT * 0.3::DOUBLE + (gr IS NOT NULL)::INT * 0.2::DOUBLE, 0) AS score,
-         coalesce(dt < 500 OR revenue_latest < 5000, false)::INT + coalesce(NOT owner_operated AND weekly_open_hours_max / 40.0::DOUBLE > insured_avg_t12m + 1, false)::INT + coalesce(NOT vat_registered AND mr > 45000, false)::INT AS n_signals FROM h),
+  SELECT *, CASE WHEN taxes_has_tax_year_row THEN tax_year ELSE taxes_last_reported_year END AS taxes_year, (coalesce(gt, 0) * 0.5::DOUBLE + coalesce(gp, 0) * 0.3::DOUBLE + coalesce(gr, 0) * 0.2::DOUBLE) / nullif((gt IS NOT NULL)::INT * 0.5::DOUBLE + (gp IS NOT NULL)::INT * 0.3::DOUBLE + (gr IS NOT NULL)::INT * 0.2::DOUBLE, 0) AS score,
+         CASE WHEN lvl IS NOT NULL THEN coalesce(dt < 500 OR revenue_latest < 5000, false)::INT + coalesce(NOT owner_operated AND weekly_open_hours_max / 40.0::DOUBLE > insured_avg_t12m + 1, false)::INT + coalesce(NOT vat_registered AND mr > 45000, false)::INT END AS n_signals FROM h),
 w AS (
-  SELECT *, CASE WHEN new_entity THEN 'entity younger than 12 months' WHEN NOT has_vmi_record THEN 'no tax record' WHEN score IS NULL THEN 'too few comparable peers' WHEN reviews_total < CASE WHEN extreme THEN 75 ELSE 30 END THEN 'too few reviews for the rating profile'
+  SELECT *, CASE WHEN lvl IS NULL THEN 'too few comparable peers' WHEN new_entity THEN 'entity younger than 12 months' WHEN NOT has_vmi_record THEN 'no tax record' WHEN score IS NULL THEN 'too few comparable peers' WHEN reviews_total < CASE WHEN extreme THEN 75 ELSE 30 END THEN 'too few reviews for the rating profile'
                  WHEN NOT busy THEN 'not visibly busy vs category' WHEN gt < ln(3.0::DOUBLE) THEN 'taxes in line with peers' WHEN NOT all_links_usable THEN 'link to legal entity not verified enough' WHEN n_signals < 1 + extreme::INT THEN 'no corroborating signal' END AS hold_reason FROM s),
 t AS (SELECT *, CASE WHEN hold_reason IS NULL THEN 'A' WHEN hold_reason IN ('entity younger than 12 months', 'no tax record', 'too few comparable peers') THEN 'D' WHEN hold_reason LIKE 'link%' OR hold_reason LIKE 'no corr%' THEN 'B' ELSE 'C' END AS raw FROM w)
-SELECT ja_kodas, CAST(q AS INT) AS activity_quintile, CAST(lvl AS INT) AS peer_level, n AS peer_n, round(gt, 4) AS gap_taxes, round(gp, 4) AS gap_payroll, round(gr, 4) AS gap_revenue, round(score, 4) AS score, CAST(n_signals AS INT) AS n_signals, hold_reason,
+SELECT ja_kodas, CAST(q AS INT) AS activity_quintile, CAST(lvl AS INT) AS peer_level, n AS peer_n, round(lo) AS peer_reviews_per_year_lo, round(hi) AS peer_reviews_per_year_hi, taxes_year, taxes_year < tax_year AS taxes_from_earlier_year,
+       round(rpy / (greatest(coalesce(dt, 500), 500) / 1000), 4) AS reviews_per_1k_taxes, round(rpy / (greatest(coalesce(revenue_latest, 5000), 5000) / 1000), 4) AS reviews_per_1k_revenue, round(100.0::DOUBLE * insured_avg_prev_year / nullif(rpy, 0), 4) AS insured_per_100_reviews, round(gt, 4) AS gap_taxes, round(gp, 4) AS gap_payroll, round(gr, 4) AS gap_revenue, round(score, 4) AS score, CAST(n_signals AS INT) AS n_signals, hold_reason,
        CASE WHEN raw = 'A' THEN CASE WHEN row_number() OVER (PARTITION BY raw ORDER BY score DESC NULLS LAST, ja_kodas) <= 20 THEN 'A_priority' ELSE 'B_watchlist' END WHEN raw = 'B' THEN 'B_watchlist' WHEN raw = 'C' THEN 'C_not_flagged' ELSE 'D_insufficient_evidence' END AS tier,
        rank() OVER (ORDER BY CASE raw WHEN 'A' THEN 0 WHEN 'B' THEN 1 ELSE 2 END, score DESC NULLS LAST) AS priority_rank FROM t"""
 
+_LEADS_CTE = _LEADS_SQL.rpartition("\nSELECT ja_kodas")[0]
+
 _HOST = "nullif(regexp_replace(lower(regexp_extract({0}, '^[A-Za-z]+://([^/?#]*)', 1)), '^www[.]', ''), '')"
 
 _VALIDATION_SQL = f"""WITH {_with("places", "entities", "links", "candidates", "agreement", "audits")},

@@ -8,16 +8,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import Thresholds
+from ..config import POLICY_WORDS, Thresholds
 from ..functions import textkeys as K
-from .ranks import ntile, positions
+from ..staging import broadcast_if_small, staged
+from .likeness import likely, profile
+from .ranks import level_medians, ntile, percentiles, positions
 
 BRAND = ("trademark", "job_ads")
-POLICY_PAGE = "privat|privacy|taisykl|terms|salyg|sąlyg|duomen"
 
 
 def _flag(condition: Column) -> Column:
@@ -71,7 +71,7 @@ def validated_links(month: str, links: DataFrame, places: DataFrame, entities: D
     kinds, fallback = families(F.col("method")), F.col("stage") == "fallback"
     only = lambda kind: _flag((F.size(kinds) == 1) & (kinds[0] == kind))
     status = (
-        F.when((F.col("stage") == "override") | _flag(F.col("audit_verdict") == "correct") & ~_flag(F.col("audit_verdict") == "wrong"), "confirmed_by_audit")
+        F.when((F.col("stage") == "override") | _flag(F.col("audit_verdict") == "correct"), "confirmed_by_audit")
         .when(F.col("audit_verdict") == "wrong", "rejected_by_audit")
         .when(confirming > 0, "confirmed")
         .when(conflicting > 0, "conflict")
@@ -105,7 +105,7 @@ def evidence(month: str, vat: DataFrame, website: DataFrame | None = None, serp:
     """
     parts = []
     if website is not None:
-        w = website.where((F.col("run_month") == month) & F.col("code").isNotNull()).withColumn("policy", _flag(F.lower("page_url").rlike(POLICY_PAGE)))
+        w = website.where((F.col("run_month") == month) & F.col("code").isNotNull()).withColumn("policy", _flag(F.lower("page_url").rlike("|".join(POLICY_WORDS))))
         w = w.withColumn("any_policy", F.bool_or("policy").over(Window.partitionBy("place_id"))).where("policy OR NOT any_policy")
         known = vat.where("vat_code IS NOT NULL").select(F.ltrim("vat_code", F.lit("LT")).alias("code"), F.col("ja_kodas").alias("vat_ja")).distinct()
         w = w.select("place_id", "code_type", "code").join(known, "code", "left")
@@ -122,24 +122,28 @@ def evidence(month: str, vat: DataFrame, website: DataFrame | None = None, serp:
     return reduce(DataFrame.unionByName, parts).distinct()
 
 
-def premises_evidence(places: DataFrame, premises: DataFrame, likeness, category: str = "nightlife") -> DataFrame:
-    """(place_id, source, raw, ja_kodas) from food premises: at the same address under a like name or alone there, or within four house numbers under a very like name.
+def premises_evidence(places: DataFrame, premises: DataFrame, likeness=None, category: str = "nightlife") -> DataFrame:
+    """(place_id, source, raw, ja_kodas) from food premises: at the same address under a like name or alone there, or within four house numbers of another number of the street under a very like name.
 
-    Only premises of the same street meet a place; ``likeness`` compares two name keys (0 to 100).
+    Only premises of the same street meet a place. Names are compared (0 to 100, ``likeness`` of two name keys) only
+    where their profiles say that they can be as like as that.
     """
-    parts = lambda key: (F.substring_index(key, "|", 1), F.expr(f"try_cast(regexp_extract({key}, '([0-9]+)[a-z]?$', 1) AS int)"))
-    m = premises.where("ja_kodas IS NOT NULL").select("ja_kodas", K.name_key(F.col("trade_name")).alias("trade"), K.registry_key(F.col("address")).alias("m_key")).where("m_key IS NOT NULL")
+    number = lambda key: F.substring_index(key, "|", -1)
+    house = lambda key: F.expr(f"try_cast(regexp_extract(substring_index({key}, '|', -1), '^([0-9]+)', 1) AS int)")
+    m = premises.where("ja_kodas IS NOT NULL").select("ja_kodas", K.name_key(F.col("trade_name")).alias("trade_key"), K.registry_key(F.col("address")).alias("m_key")).where("m_key IS NOT NULL")
     alone = m.groupBy("m_key").agg((F.count("*") == 1).alias("alone"))
-    m = m.join(alone, "m_key").select("ja_kodas", "trade", "m_key", "alone", parts("m_key")[0].alias("street_name"), parts("m_key")[1].alias("m_number"))
-    p = places.where(F.col("category") == category).select("place_id", K.name_key(F.col("name")).alias("own"), K.street_key(F.col("street"), F.col("street_number")).alias("p_key")).where("p_key IS NOT NULL")
-    p = p.select("place_id", "own", "p_key", parts("p_key")[0].alias("street_name"), parts("p_key")[1].alias("p_number"))
+    m = m.join(alone, "m_key").select("ja_kodas", "trade_key", profile(F.col("trade_key")).alias("trade"), "m_key", "alone", F.substring_index("m_key", "|", 1).alias("street_name"), house("m_key").alias("m_number"))
+    p = places.where(F.col("category") == category).select("place_id", K.name_key(F.col("name")).alias("own_key"), K.street_key(F.col("street"), F.col("street_number")).alias("p_key")).where("p_key IS NOT NULL")
+    p = p.select("place_id", "own_key", profile(F.col("own_key")).alias("own"), "p_key", F.substring_index("p_key", "|", 1).alias("street_name"), house("p_key").alias("p_number"))
     # A band of four numbers is at most two blocks of eight: premises go to their own block and its neighbours.
     m = m.withColumn("block", F.explode(F.array(*[F.floor(F.col("m_number") / 8) + i for i in (-1, 0, 1)])))
     met = p.withColumn("block", F.floor(F.col("p_number") / 8)).join(m, ["street_name", "block"]).where(F.abs(F.col("p_number") - F.col("m_number")) <= 4)
-    met = met.withColumn("like", likeness(F.col("own"), F.col("trade")))
     same = F.col("p_key") == F.col("m_key")
-    near = ~same & (F.col("like") >= 90) & (F.col("own") != "")
-    return met.where(same & (F.col("alone") | (F.col("like") >= 80)) | near).select("place_id", F.lit("vmvt").alias("source"), F.concat(F.lit("c:"), F.col("ja_kodas").cast("string")).alias("raw"), "ja_kodas").distinct()
+    other_number = number("p_key") != number("m_key")  # an equal number of another kind of street is another building
+    one = met.where(same & F.col("alone"))
+    like = likely(met.where(same & ~F.col("alone") | other_number), "own", "trade", F.when(same, 80.0).otherwise(90.0), likeness)
+    row = ("place_id", F.lit("vmvt").alias("source"), F.concat(F.lit("c:"), F.col("ja_kodas").cast("string")).alias("raw"), "ja_kodas")
+    return one.select(*row).union(like.select(*row)).distinct()
 
 
 def source_verdicts(linked: DataFrame, found: DataFrame, entities: DataFrame) -> DataFrame:
@@ -150,21 +154,24 @@ def source_verdicts(linked: DataFrame, found: DataFrame, entities: DataFrame) ->
     return of.where("names").select("place_id", "source", F.when(F.col("agrees"), "confirms").otherwise("conflicts").alias("verdict"), "evidence")
 
 
-def fallback_links(open_places: DataFrame, found: DataFrame, entities: DataFrame, primary: DataFrame, likeness) -> DataFrame:
+def fallback_links(open_places: DataFrame, found: DataFrame, entities: DataFrame, primary: DataFrame, likeness=None) -> DataFrame:
     """(place_id, status, ja_kodas, method, confidence, reason) for places (place_id, name, category, street, street_number) that the primary rules leave open.
 
     An active entity named by a source counts if its activity or its address fits, its name is like (60 or more), or it
     was a primary candidate, which is a source of its own. It wins alone, or with strictly more sources than any other.
     """
-    active = entities.where("is_active").select("ja_kodas", "legal_name", "evrk_codes", F.when(K.in_city(F.col("registered_address")), K.registry_key(F.col("registered_address"))).alias("own_address"))
-    support = found.join(active, "ja_kodas").groupBy("place_id", "ja_kodas", "legal_name", "evrk_codes", "own_address").agg(F.collect_set("source").alias("sources"))
-    c = support.join(open_places, "place_id").join(primary.select("place_id", "ja_kodas").distinct().withColumn("was_primary", F.lit(True)), ["place_id", "ja_kodas"], "left")
+    active = entities.where("is_active").select("ja_kodas", K.name_key(F.col("legal_name")).alias("legal_key"), "evrk_codes", F.when(K.in_city(F.col("registered_address")), K.registry_key(F.col("registered_address"))).alias("own_address"))
+    support = found.join(active, "ja_kodas").groupBy("place_id", "ja_kodas", "legal_key", "evrk_codes", "own_address").agg(F.collect_set("source").alias("sources"))
+    support = support.withColumn("legal", profile(F.col("legal_key")))
+    opened = open_places.select("place_id", "category", "street", "street_number", K.name_key(F.col("name")).alias("own_key")).withColumn("own", profile(F.col("own_key")))
+    c = support.join(opened, "place_id").join(primary.select("place_id", "ja_kodas").distinct().withColumn("was_primary", F.lit(True)), ["place_id", "ja_kodas"], "left")
     fits = F.exists(F.coalesce("evrk_codes", F.array().cast("array<string>")), lambda code: K.code_fits(F.col("category"), code))
     at_address = F.col("own_address") == K.street_key(F.col("street"), F.col("street_number"))
-    c = c.withColumn("fits", _flag(fits) | _flag(at_address) | _flag(F.col("was_primary")) | (likeness(K.name_key(F.col("name")), K.name_key(F.col("legal_name"))) >= 60)).where("fits")
+    c = staged(c.withColumn("fits", _flag(fits) | _flag(at_address) | _flag(F.col("was_primary"))), "corroboration")
+    c = c.where("fits").unionByName(likely(c.where("NOT fits"), "own", "legal", 60, likeness).drop("likeness"))
     c = c.withColumn("sources", F.when(F.col("was_primary"), F.array_append("sources", "primary_candidate")).otherwise(F.col("sources"))).withColumn("n", F.size("sources"))
-    best = c.groupBy("place_id").agg(F.max("n").alias("top"))
-    first = c.join(best, "place_id").where("n = top").groupBy("place_id").agg(F.count("*").alias("ties"), F.min("ja_kodas").alias("ja_kodas"), F.min(F.array_join(F.sort_array("sources"), "+")).alias("of"))
+    c = c.withColumn("top", F.max("n").over(Window.partitionBy("place_id")))  # as many as the entities that evidence names for a place
+    first = c.where("n = top").groupBy("place_id").agg(F.count("*").alias("ties"), F.min("ja_kodas").alias("ja_kodas"), F.min(F.array_join(F.sort_array("sources"), "+")).alias("of"))
     won = first.where("ties = 1")
     return won.select("place_id", F.lit("linked").alias("status"), "ja_kodas", F.concat(F.lit("fallback:"), "of").alias("method"), F.lit("MEDIUM").alias("confidence"), F.lit("independent code evidence").alias("reason"))
 
@@ -183,6 +190,7 @@ def entity_activity(month: str, linked: DataFrame, entities: DataFrame, taxes: D
         F.bool_or("self_service").alias("any_self_service"), listed("place_id").alias("place_ids"), listed("name").alias("place_names"), F.bool_and("usable").alias("all_links_usable"), F.bool_or("activity_fits").alias("activity_fits"),
         F.max("confidence").alias("weakest_confidence"), F.sort_array(F.collect_set("method")).alias("link_methods"), F.sort_array(F.collect_set("validation_status")).alias("validation_statuses"),
     )
+    fetched = lambda table, name: F.max("fetch_id").alias(name) if "fetch_id" in table.columns else F.lit(None).cast("string").alias(name)
     here = shown.select("ja_kodas")
     now, last_month = taxes.agg(F.max("year")).scalar(), payroll.agg(F.max("month")).scalar()
     before, ago = F.col("year") < now, lambda n: F.col("year") == now - n
@@ -190,7 +198,7 @@ def entity_activity(month: str, linked: DataFrame, entities: DataFrame, taxes: D
     tax = taxes.join(here, "ja_kodas", "left_semi").groupBy("ja_kodas").agg(
         paid(ago(1)).alias("taxes_prev_year"), paid(ago(2)).alias("taxes_prev_year_2"), F.bool_or(ago(1)).alias("taxes_has_tax_year_row"), paid(before, "year").alias("taxes_last_reported_year"),
         F.max_by("taxes_paid", F.when(before & F.col("taxes_paid").isNotNull(), F.struct("year", "taxes_paid"))).alias("taxes_last_reported"), paid(ago(0)).alias("taxes_ytd"), paid(ago(0), "through_month").alias("taxes_ytd_through_month"),
-        F.max("updated_on").alias("taxes_updated_on"), F.lit(True).alias("has_vmi_record"),
+        F.max("updated_on").alias("taxes_updated_on"), F.lit(True).alias("has_vmi_record"), fetched(taxes, "vmi_fetch_id"),
     )
     last_year, lately = F.year("month") == now - 1, F.col("month") > F.add_months(last_month, -12)
     total = lambda cond, c: F.sum(F.when(cond, F.col(c)))
@@ -198,10 +206,11 @@ def entity_activity(month: str, linked: DataFrame, entities: DataFrame, taxes: D
         (total(last_year, "num_insured") / 12.0).alias("insured_avg_prev_year"), total(last_year, "contributions").alias("contributions_prev_year"),
         F.count_if(last_year & F.col("contributions").isNull() & (F.col("num_insured") > 0)).alias("contribution_months_suppressed"), (total(lately, "num_insured") / 12.0).alias("insured_avg_t12m"),
         total(lately, "contributions").alias("contributions_t12m"), F.max_by("num_insured", F.when(F.col("num_insured").isNotNull(), F.col("month"))).alias("insured_latest"), F.max("month").alias("sodra_latest_month"),
-        F.max_by("avg_wage", F.when(F.col("avg_wage").isNotNull(), F.col("month"))).alias("avg_wage_latest"), F.lit(True).alias("has_sodra_record"),
+        F.max_by("avg_wage", F.when(F.col("avg_wage").isNotNull(), F.col("month"))).alias("avg_wage_latest"), F.lit(True).alias("has_sodra_record"), fetched(payroll, "sodra_fetch_id"),
     )
     # Of several statements for a year the largest counts.
-    sold = revenue.where("revenue IS NOT NULL").join(here, "ja_kodas", "left_semi").groupBy("ja_kodas").agg(F.max_by("revenue", F.struct("fiscal_year", "revenue")).alias("revenue_latest"), F.max("fiscal_year").alias("revenue_fy"))
+    sold = revenue.where("revenue IS NOT NULL").join(here, "ja_kodas", "left_semi").groupBy("ja_kodas").agg(F.max_by("revenue", F.struct("fiscal_year", "revenue")).alias("revenue_latest"), F.max("fiscal_year").alias("revenue_fy"), fetched(revenue, "revenue_fetch_id"))
+    entities = entities.withColumnRenamed("fetch_id", "jar_fetch_id") if "fetch_id" in entities.columns else entities.withColumn("jar_fetch_id", F.lit(None).cast("string"))
     start = F.to_date(F.lit(f"{month}-01"))
     d = shown.join(entities, "ja_kodas").join(tax, "ja_kodas", "left").join(pay, "ja_kodas", "left").join(sold, "ja_kodas", "left")
     known = {c: F.coalesce(c, F.lit(0)) for c in ("insured_avg_prev_year", "contribution_months_suppressed", "insured_avg_t12m", "insured_latest")} | {c: _flag(F.col(c)) for c in ("taxes_has_tax_year_row", "has_vmi_record", "has_sodra_record")}
@@ -220,14 +229,15 @@ DIMENSIONS = ("taxes", "contributions", "headcount", "revenue")
 
 
 def with_peers(d: DataFrame, t: Thresholds) -> DataFrame:
-    """Rows with the medians of the narrowest group of comparable entities (category, fifth and form; category and fifth; category) that has enough members."""
-    peers = d.where("peer_eligible")
-    levels = [["main_category", "activity_quintile", "form_class"], ["main_category", "activity_quintile"], ["main_category"]]
+    """Rows with the medians of the narrowest group of comparable entities (category, fifth and form; category and fifth; category) that has enough members, as ``peer``; null without one."""
+    levels = [("main_category", "activity_quintile", "form_class"), ("main_category", "activity_quintile"), ("main_category",)]
+    ends = (F.min("reviews_per_year").alias("lo"), F.max("reviews_per_year").alias("hi"))
+    groups = staged(level_medians(d.where("peer_eligible"), levels, {x: f"d_{x}" for x in DIMENSIONS}, *ends, least=t.min_peers), "peers")
+    fields = F.struct(F.col("lvl").alias("level"), "n", *DIMENSIONS, "lo", "hi")
     for k, keys in enumerate(levels):
-        lvl = len(levels) - k
-        m = peers.groupBy(keys).agg(F.count("*").alias("n"), *[F.median(f"d_{x}").alias(x) for x in DIMENSIONS], F.min("reviews_per_year").alias("lo"), F.max("reviews_per_year").alias("hi")).where(F.col("n") >= t.min_peers)
-        fields = ["n", *DIMENSIONS, "lo", "hi"]
-        d = d.join(F.broadcast(m.select(*keys, F.struct(F.lit(lvl).alias("level"), *fields).alias(f"_m{lvl}"))), keys, "left")  # a row for each category, fifth and form at most
+        m = groups.where(F.col("lvl") == len(levels) - k).select(*keys, fields.alias(f"_m{len(levels) - k}"))
+        m.staged_rows = groups.staged_rows
+        d = d.join(broadcast_if_small(m), list(keys), "left")
     return d.withColumn("peer", F.coalesce("_m3", "_m2", "_m1")).drop("_m3", "_m2", "_m1")
 
 
@@ -253,12 +263,11 @@ def scored_leads(activity: DataFrame, thresholds: Thresholds | None = None) -> D
         }
     )
     d = d.withColumn("enough_reviews", c("reviews_total") >= t.min_reviews * F.when(_flag(c("rating_extreme")), t.extreme_factor).otherwise(1.0))
-    floors = d.groupBy("main_category").agg(F.percentile("reviews_per_year", F.lit(t.busy)).alias("_busy"), F.percentile("reviews_per_year", F.lit(t.busy_extreme)).alias("_busy_extreme"))
-    d = d.join(F.broadcast(floors), "main_category").withColumn("busy_floor", F.when(_flag(c("rating_extreme")), c("_busy_extreme")).otherwise(c("_busy"))).drop("_busy", "_busy_extreme")
-    d = d.withColumn("visibly_busy", c("reviews_per_year") >= c("busy_floor"))
-    d = d.persist(StorageLevel.MEMORY_AND_DISK)  # one row for each entity, read several times for its positions
-    d = positions(d, "reviews_per_year", within=("main_category",), ties=("ja_kodas",)).withColumn("activity_quintile", ntile(c("row_number"), c("group_rows"), 5).cast("int")).drop("row_number", "rank", "group_rows")
-    d = with_peers(d, t)
+    d = positions(staged(d, "activity"), "reviews_per_year", within=("main_category",), ties=("ja_kodas",)).where("main_category IS NOT NULL")
+    floors = staged(percentiles(d, "reviews_per_year", ("main_category",), {"_busy": t.busy, "_busy_extreme": t.busy_extreme}), "floors")
+    d = d.withColumn("activity_quintile", ntile(c("row_number"), c("group_rows"), 5).cast("int")).drop("row_number", "rank", "group_rows")
+    d = d.join(broadcast_if_small(floors), "main_category").withColumn("busy_floor", F.when(_flag(c("rating_extreme")), c("_busy_extreme")).otherwise(c("_busy"))).drop("_busy", "_busy_extreme")
+    d = with_peers(d.withColumn("visibly_busy", c("reviews_per_year") >= c("busy_floor")), t)
     peer = lambda x: c(f"peer.{x}")
     d = d.withColumns(
         {
@@ -266,6 +275,13 @@ def scored_leads(activity: DataFrame, thresholds: Thresholds | None = None) -> D
             "gap_payroll": F.when(c("d_contributions").isNotNull(), gap(peer("contributions"), c("d_contributions"))).otherwise(gap(peer("headcount"), c("d_headcount"))),
         }
     )
+    per_1k = lambda declared, floor: c("reviews_per_year") / (F.greatest(F.coalesce(c(declared), F.lit(floor)), F.lit(floor)) / 1000)
+    d = d.withColumns(
+        {
+            "taxes_year": F.when(c("taxes_has_tax_year_row"), c("tax_year")).otherwise(c("taxes_last_reported_year")), "peer_reviews_per_year_lo": F.round(peer("lo")), "peer_reviews_per_year_hi": F.round(peer("hi")),
+            "reviews_per_1k_taxes": per_1k("d_taxes", t.near_zero_tax), "reviews_per_1k_revenue": per_1k("d_revenue", t.near_zero_revenue), "insured_per_100_reviews": F.try_divide(100.0 * c("d_headcount"), c("reviews_per_year")),
+        }
+    ).withColumn("taxes_from_earlier_year", c("taxes_year") < c("tax_year"))
     weights = {"gap_taxes": 0.5, "gap_payroll": 0.3, "gap_revenue": 0.2}
     score = F.try_divide(sum(F.coalesce(c(g) * w, F.lit(0.0)) for g, w in weights.items()), sum(F.when(c(g).isNotNull(), w).otherwise(0.0) for g, w in weights.items()))
     full_time = c("weekly_open_hours_max") / 40.0
@@ -274,12 +290,14 @@ def scored_leads(activity: DataFrame, thresholds: Thresholds | None = None) -> D
         "sig_staffing_floor": _flag(~c("owner_operated") & (full_time > c("insured_avg_t12m") + 1)),
         "sig_vat_gap": ~_flag(c("vat_registered")) & _flag(peer("revenue") > t.vat_revenue),
     }
-    d = d.withColumns({"score": score, **signals}).withColumn("n_signals", sum(c(s).cast("int") for s in signals))
+    known = c("peer").isNotNull()  # what nobody compares with says nothing
+    d = d.withColumns({"score": score, **{name: F.when(known, s) for name, s in signals.items()}}).withColumn("n_signals", sum(c(s).cast("int") for s in signals))
     large_gap = c("gap_taxes") >= F.log(F.lit(t.gap_ratio))
     large_gap = _flag(large_gap) if t.strict else F.coalesce(large_gap, F.lit(True))  # without a known gap nothing is in line
     enough_signals = c("n_signals") >= F.when(_flag(c("rating_extreme")), 2).otherwise(1)
     hold = (
-        F.when(c("new_entity"), "entity younger than 12 months")
+        F.when(~known, "too few comparable peers")
+        .when(c("new_entity"), "entity younger than 12 months")
         .when(~c("has_vmi_record"), "no tax record (absence is not proof of zero)")
         .when(c("score").isNull(), "too few comparable peers")
         .when(~c("enough_reviews"), "too few reviews for the rating profile")
@@ -294,13 +312,12 @@ def scored_leads(activity: DataFrame, thresholds: Thresholds | None = None) -> D
         .when(_flag(c("all_links_usable")) & enough_signals, "A_priority")
         .otherwise("B_watchlist")
     )
-    d = d.withColumns({"hold_reason": hold, "tier_raw": tier})
+    d = staged(d.withColumns({"hold_reason": hold, "tier_raw": tier}), "scored")
     top = d.where("tier_raw = 'A_priority'").orderBy(F.desc_nulls_last("score"), "ja_kodas").limit(t.capacity).select("ja_kodas", F.lit(True).alias("_top"))
     d = d.join(F.broadcast(top), "ja_kodas", "left").withColumn("_late", (c("tier_raw") == "A_priority") & c("_top").isNull())
     d = d.withColumn("tier", F.when(c("_late"), "B_watchlist").otherwise(c("tier_raw")))
     if t.strict:
         d = d.withColumn("hold_reason", F.when(c("_late"), "beyond the month's capacity").otherwise(c("hold_reason")))
     d = d.withColumn("_bucket", F.when(c("tier_raw") == "A_priority", 0).when(c("tier_raw") == "B_watchlist", 1).otherwise(2))
-    d = d.persist(StorageLevel.MEMORY_AND_DISK)
     d = positions(d, "score", after=("_bucket",), ties=("ja_kodas",), descending=True).withColumnRenamed("rank", "priority_rank")
     return d.drop("_top", "_late", "_bucket", "row_number", "group_rows", "tier_raw")

@@ -1,4 +1,4 @@
-"""Queries that run as DataFrame code: Unicode folding, name likeness, codes in page text, capped tiers and ranks."""
+"""Queries that run as DataFrame code: Unicode folding, name likeness, codes in page text, and all that needs quintiles, medians, percentiles or ranks."""
 
 from __future__ import annotations
 
@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import textkeys as K
+from ..staging import broadcast_if_small, staged
 from .cascade import name_likeness
 from .dialect import spark_sql
-from .ranks import positions
-from .scoring import TIERED
+from .ranks import level_medians, medians, ntile, percentiles, positions
+from .scoring import BASE
 
 
 def fold_text(spark, sf_dir: str) -> DataFrame:
@@ -33,9 +34,70 @@ def html_code_extraction(spark, sf_dir: str) -> DataFrame:
     return pages.select("page_id", F.explode(K.company_codes(signed)).alias("c")).select("page_id", "c.*")
 
 
+def scored(spark, sf_dir: str) -> DataFrame:
+    """Customers with their quintile of activity in their category, and their gap to the median of what its members declare."""
+    base = staged(spark.sql(spark_sql(f"WITH {BASE} SELECT * FROM base", sf_dir)), "base")
+    r = positions(base, "activity", within=("category",), ties=("c_custkey",)).withColumn("quintile", ntile(F.col("row_number"), F.col("group_rows"), 5).cast("int")).drop("row_number", "rank", "group_rows")
+    peers = staged(medians(r, "declared", ("category", "quintile"), "m"), "peers")
+    ratio = (F.col("m") + 1) / (F.col("declared") + 1)
+    return r.join(broadcast_if_small(peers), ["category", "quintile"], "left").withColumn("gap", F.when(ratio > 0, F.round(F.log(ratio), 6))).drop("m")
+
+
+def peer_gap_topk(spark, sf_dir: str) -> DataFrame:
+    return scored(spark, sf_dir).select("c_custkey", "category", "quintile", "activity", "declared", "gap").orderBy(F.desc_nulls_last("gap"), "c_custkey").limit(20)
+
+
+def activity_ntile(spark, sf_dir: str) -> DataFrame:
+    return scored(spark, sf_dir).select("c_custkey", "category", "quintile")
+
+
+def hold_reason_case(spark, sf_dir: str) -> DataFrame:
+    gap = F.col("gap")
+    reason = (
+        F.when(F.col("declared").isNull(), "no declared figure").when(F.col("quintile") == 1, "not busy").when(gap.isNull(), "no gap").when(gap < -0.5, "declares more than peers")
+        .when(gap < 0.1, "like peers").when(F.col("c_nationkey").isin(1, 2), "out of scope")
+    )
+    return scored(spark, sf_dir).select("c_custkey", reason.alias("hold_reason"))
+
+
+def unscored_anti_join(spark, sf_dir: str) -> DataFrame:
+    s = scored(spark, sf_dir).where("gap IS NOT NULL").select("c_custkey", F.when(F.col("gap") > 0.2, "A").otherwise("B").alias("tier"), F.lit(None).cast("string").alias("reason"), "gap")
+    rest = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey").join(s, "c_custkey", "left_anti")
+    return rest.select("c_custkey", F.lit("D").alias("tier"), F.lit("too few comparable peers").alias("reason"), F.lit(None).cast("double").alias("gap")).union(s)
+
+
+def busy_quantile_flag(spark, sf_dir: str) -> DataFrame:
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice")
+    ranked = positions(orders.where("o_totalprice IS NOT NULL"), "o_totalprice", within=("o_orderpriority",), ties=("o_orderkey",))
+    q = staged(percentiles(ranked, "o_totalprice", ("o_orderpriority",), {"p60": 0.6, "p80": 0.8}), "busy").select("o_orderpriority", F.round("p60", 4).alias("p60"), F.round("p80", 4).alias("p80"))
+    return orders.join(broadcast_if_small(q), "o_orderpriority").select("o_orderkey", "p60", "p80", (F.col("o_totalprice") >= F.when(F.col("o_orderstatus") == "P", F.col("p80")).otherwise(F.col("p60"))).alias("busy"))
+
+
+def _customers(spark, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_mktsegment", "c_nationkey", (F.col("c_custkey") % 3).alias("form"), "c_acctbal")
+
+
+LEVELS = [("c_mktsegment", "c_nationkey", "form"), ("c_mktsegment", "c_nationkey"), ("c_mktsegment",)]
+
+
+def peer_medians_grouping_sets(spark, sf_dir: str) -> DataFrame:
+    return level_medians(_customers(spark, sf_dir), LEVELS, {"med": "c_acctbal"}).select("c_mktsegment", "c_nationkey", "form", "lvl", "n", F.round("med", 4).alias("med"))
+
+
+def peer_level_fallback(spark, sf_dir: str) -> DataFrame:
+    d, groups = _customers(spark, sf_dir), staged(level_medians(_customers(spark, sf_dir), LEVELS, {"m": "c_acctbal"}, least=8), "levels")
+    for k, keys in zip((3, 2, 1), LEVELS, strict=True):
+        m = groups.where(F.col("lvl") == k).select(*keys, F.struct("lvl", "m").alias(f"m{k}"))
+        m.staged_rows = groups.staged_rows
+        d = d.join(broadcast_if_small(m), list(keys), "left")
+    return d.withColumn("m", F.coalesce("m3", "m2", "m1")).select("c_custkey", F.col("m.lvl").alias("peer_level"), F.round("m.m", 4).alias("peer_median"))
+
+
 def _tiered(spark, sf_dir: str, capacity: int = 20) -> DataFrame:
     """Tiers, of which A is capped at its top rows by gap; ties go to the lower key."""
-    t = spark.sql(spark_sql(f"WITH {TIERED} SELECT * FROM tiered", sf_dir))
+    gap = F.col("gap")
+    t = scored(spark, sf_dir).withColumn("tier_raw", F.when(F.col("declared").isNull(), "D").when(F.col("quintile") <= 2, "C").when(gap > 0.2, "A").otherwise("B"))
+    t = staged(t, "tiers")
     top = t.where("tier_raw = 'A'").orderBy(F.desc_nulls_last("gap"), "c_custkey").limit(capacity).select("c_custkey", F.lit(True).alias("top"))
     t = t.join(F.broadcast(top), "c_custkey", "left").withColumn("tier", F.when((F.col("tier_raw") == "A") & F.col("top").isNull(), "B").otherwise(F.col("tier_raw")))
     return t.withColumn("bucket", F.when(F.col("tier") == "A", 0).when(F.col("tier") == "B", 1).when(F.col("tier") == "C", 2).otherwise(3))
@@ -49,7 +111,16 @@ def priority_rank(spark, sf_dir: str) -> DataFrame:
     return positions(_tiered(spark, sf_dir), "gap", after=("bucket",), descending=True).select("c_custkey", "tier", F.col("rank").cast("int").alias("priority_rank"))
 
 
-QUERIES = {f.__name__: f for f in (fold_text, token_set_similarity, html_code_extraction, tier_case_capped, priority_rank)}
+def category_summary(spark, sf_dir: str) -> DataFrame:
+    t = _tiered(spark, sf_dir)
+    pct = F.round(F.try_divide(100.0 * F.count_if(F.col("declared").isNotNull()), F.count("*")), 4)
+    out = level_medians(t, [("category",)], {"median_activity": "activity", "median_gap": "gap"}, F.count_if(F.col("tier") == "A").alias("n_a"), pct.alias("pct_declared"))
+    return out.select("category", "n", "n_a", "pct_declared", F.round("median_activity", 4).alias("median_activity"), F.round("median_gap", 6).alias("median_gap"))
+
+
+QUERIES = {f.__name__: f for f in (
+    fold_text, token_set_similarity, html_code_extraction, peer_gap_topk, activity_ntile, hold_reason_case, unscored_anti_join, busy_quantile_flag, peer_medians_grouping_sets, peer_level_fallback, tier_case_capped, priority_rank, category_summary,
+)}
 ORACLES = {
     "html_code_extraction": r"""
         SELECT page_id, 'company' AS code_type, lpad(CAST(page_id AS VARCHAR), 9, '0') AS code,

@@ -41,17 +41,22 @@ def _measured(checks: list[tuple]) -> str:
 
 _ROWS = _measured(_CHECKS)
 
+#: Customers as points on a map; some share a place.
+POINTS = """SELECT c_custkey AS id, CASE WHEN c_custkey % 40 = 7 THEN 54.61[[::DOUBLE||D]] + (c_custkey % 80) / 1000.0[[::DOUBLE||D]] ELSE 54.5[[::DOUBLE||D]] + (c_acctbal + 1000) / 11000 * 0.3[[::DOUBLE||D]] END AS lat,
+        CASE WHEN c_custkey % 40 = 7 THEN 25.1[[::DOUBLE||D]] ELSE 24.9[[::DOUBLE||D]] + (c_custkey * 7919 % 10007) / 10007.0[[::DOUBLE||D]] * 0.6[[::DOUBLE||D]] END AS lng FROM $customer"""
+
 TEMPLATES = {
     "dq_suite": f"""
         WITH c AS ({_ROWS})
         SELECT check_name, severity, CASE op WHEN '>=' THEN observed_value >= threshold WHEN '<=' THEN observed_value <= threshold ELSE observed_value = threshold END AS passed,
                CASE WHEN observed_value IS NULL THEN 'n/a' WHEN unit = '%' THEN [[format('{{:,.1f}}', observed_value)||format_number(observed_value, 1)]] || ' %' ELSE [[format('{{:,}}', CAST(round(observed_value) AS BIGINT))||format_number(round(observed_value), 0)]] || ' ' || CASE WHEN round(observed_value) = 1 THEN [[rtrim(unit, 's')||trim(TRAILING 's' FROM unit)]] ELSE unit END END AS observed,
                CASE op WHEN '>=' THEN 'at least ' WHEN '<=' THEN 'at most ' ELSE 'exactly ' END || [[format('{{:,}}', CAST(threshold AS BIGINT))||format_number(threshold, 0)]] || ' ' || unit AS expected FROM c""",
-    "haversine_nearest": """
-        WITH n AS (SELECT n_nationkey, 54.5[[::DOUBLE||D]] + n_nationkey * 0.01[[::DOUBLE||D]] AS lat, 24.9[[::DOUBLE||D]] + (n_nationkey * 7 % 25) * 0.02[[::DOUBLE||D]] AS lng FROM $nation),
-        d AS (SELECT a.n_nationkey, b.n_nationkey AS other, 2 * 6371000[[::DOUBLE||D]] * asin(sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lng - a.lng) / 2), 2))) AS metres FROM n a JOIN n b ON a.n_nationkey <> b.n_nationkey),
-        r AS (SELECT *, row_number() OVER (PARTITION BY n_nationkey ORDER BY metres, other) AS rn FROM d)
-        SELECT n_nationkey, other AS nearest, round(metres, 2) AS metres FROM r WHERE rn = 1""",
+    # Runs as a DataFrame on Spark (plans/engine_queries.py): here all pairs, for comparison.
+    "haversine_nearest": f"""
+        WITH n AS ({POINTS}),
+        d AS (SELECT a.id, b.id AS other, 2.0::DOUBLE * 6371000.0::DOUBLE * asin(sqrt(pow(sin((radians(b.lat) - radians(a.lat)) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lng - a.lng) / 2), 2))) AS metres FROM n a JOIN n b ON a.id <> b.id),
+        r AS (SELECT id, min({{'metres': metres, 'other': other}}) AS m FROM d GROUP BY id)
+        SELECT id, m.other AS nearest, round(m.metres, 2) AS metres FROM r""",
     "filter_builder_contains": """
         SELECT c_custkey, c_name, c_mktsegment FROM $customer WHERE lower(CAST(c_mktsegment AS [[VARCHAR||STRING]])) LIKE '%build%' AND c_acctbal >= 100 AND c_nationkey IN (1, 3, 5, 7) ORDER BY c_custkey LIMIT 200""",
     "timestamp_format": """

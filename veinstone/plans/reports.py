@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.sinks import markdown
+from .ranks import level_medians
 
 # Documented address formats of the map and of the public register.
 MAP_URL, REGISTER_URL = "https://www.google.com/maps/search/?api=1&query=place&query_place_id=", "https://www.registrucentras.lt/jar/p/dok.php?kod="
@@ -109,3 +110,46 @@ def lead_history(leads: DataFrame) -> DataFrame:
         F.when(first, "new_in_universe").when(differs("tier"), "tier_changed").otherwise("unchanged_tier").alias("change_type"),
         F.when(first, None).when(differs("link_methods"), "other links").when(differs("d_taxes"), "other declared figures").when(differs("reviews_total"), "other visible activity").otherwise("no input changed").alias("change_reason"),
     )
+
+
+# ---- views over the models ------------------------------------------------------------------------------------------
+
+
+def place_registry(places: DataFrame, links: DataFrame, entities: DataFrame, leads: DataFrame) -> DataFrame:
+    """One row for every listed place of every month, with its link, company, and the tier and score of the company's lead."""
+    p = places.select(
+        "run_month", "place_id", "name", "category", F.col("formatted_address").alias("address"), F.col("user_rating_count").alias("reviews"), "rating", "phone", "website",
+        F.coalesce("maps_uri", maps_url(F.col("place_id"))).alias("google_maps"), "in_scope",
+    )
+    out = p.join(links.select("run_month", "place_id", F.col("status").alias("link_status"), F.col("method").alias("link_method"), "ja_kodas"), ["run_month", "place_id"], "left")
+    return out.join(entities.select("ja_kodas", "legal_name"), "ja_kodas", "left").join(leads.select("run_month", "ja_kodas", "tier", "score"), ["run_month", "ja_kodas"], "left")
+
+
+def category_summary(leads: DataFrame) -> DataFrame:
+    """Scored entities, tiers, and medians of declared taxes and visible activity, of every month and category."""
+    tier = F.col("tier")
+    flagged, scored = F.count_if(tier.isin("A_priority", "B_watchlist")), F.count_if(tier != "D_insufficient_evidence")
+    counts = (F.count_if(tier == "A_priority").alias("priority_a"), F.count_if(tier == "B_watchlist").alias("watchlist"), _share(flagged, scored).alias("pct_flagged"))
+    out = level_medians(leads, [("run_month", "main_category")], {"median_taxes_paid": "d_taxes", "median_reviews_per_year": "reviews_per_year"}, *counts)
+    return out.drop("lvl").withColumnRenamed("n", "scored_entities")
+
+
+def lead_detail(ja_kodas: int, leads: DataFrame, places: DataFrame, links: DataFrame, candidates: DataFrame, agreement: DataFrame) -> dict[str, DataFrame]:
+    """What an analyst opens of one lead, by title: its months with reasons, its places with their links, what the rules considered for these, and what sources say."""
+    own = leads.where(F.col("ja_kodas") == ja_kodas)
+    linked = links.where((F.col("ja_kodas") == ja_kodas) & (F.col("status") == "linked"))
+    here = linked.select("run_month", "place_id")
+    at = places.select("run_month", "place_id", "name", "category", "street", "street_number", "rating", "user_rating_count", "website")
+    return {
+        "Months": reasons(own).orderBy(F.desc("run_month")),
+        "Places": linked.join(at, ["run_month", "place_id"]).withColumn("google_maps", maps_url(F.col("place_id"))).orderBy(F.desc("run_month"), F.desc_nulls_last("user_rating_count"), "place_id"),
+        "Considered": candidates.join(here, ["run_month", "place_id"], "left_semi").orderBy(F.desc("run_month"), "place_id", F.desc_nulls_last("name_similarity"), "ja_kodas"),
+        "Sources": agreement.join(here, ["run_month", "place_id"], "left_semi").orderBy(F.desc("run_month"), "place_id", "source"),
+    }
+
+
+def quality_view(checks: DataFrame, fetches: DataFrame, month: str) -> dict[str, DataFrame]:
+    """The month's checks, failed ones and errors first, and the last fetch of every source with its rows."""
+    c = checks.where(F.col("run_month") == month)
+    last = fetches.groupBy("source").agg(F.max_by(F.struct("fetched_at", "fetch_id", "row_count"), F.struct("fetched_at", "fetch_id")).alias("f")).select("source", "f.*")
+    return {"Checks": c.orderBy(F.coalesce("passed", F.lit(False)), "severity", "check_name"), "Sources": last.orderBy("source")}

@@ -1,19 +1,25 @@
-"""Peer comparison: thresholds, quintiles, hierarchical medians, gaps, signals, tiers and ranks."""
+"""Peer comparison: thresholds, quintiles, hierarchical medians, gaps, signals, tiers and ranks.
+
+What needs quintiles, medians, percentiles or ranks runs as DataFrame code on Spark (plans/programmatic.py), where no
+task holds a whole group; here is its SQL for DuckDB.
+"""
 
 #: Gap of an entity's declared figure to its peers' median; shared by the queries that rank and tier.
-_SCORED = """
+BASE = """
   visible AS (SELECT o_custkey, sum(o_totalprice) / greatest(1.0[[::DOUBLE||D]], least(7.0[[::DOUBLE||D]], [[date_diff('day', min(CAST(o_orderdate AS DATE)), DATE '2001-09-01')||datediff(DATE '2001-09-01', min(CAST(o_orderdate AS DATE)))]] / 365.25[[::DOUBLE||D]])) AS activity FROM $orders GROUP BY o_custkey),
   last AS (SELECT max(CAST(year(l_shipdate) AS INT)) - 1 AS y FROM $lineitem),
   declared AS (SELECT o_custkey, sum(l_extendedprice * (1 - l_discount) * l_tax) AS declared FROM $lineitem JOIN $orders ON l_orderkey = o_orderkey CROSS JOIN last WHERE CAST(year(l_shipdate) AS INT) = y GROUP BY o_custkey),
-  base AS (SELECT c_custkey, c_mktsegment AS category, c_nationkey, round(activity, 4) AS activity, round(declared, 4) AS declared FROM $customer JOIN visible v ON v.o_custkey = c_custkey LEFT JOIN declared d ON d.o_custkey = c_custkey),
+  base AS (SELECT c_custkey, c_mktsegment AS category, c_nationkey, round(activity, 4) AS activity, round(declared, 4) AS declared FROM $customer JOIN visible v ON v.o_custkey = c_custkey LEFT JOIN declared d ON d.o_custkey = c_custkey)"""
+
+_SCORED = BASE + """,
   ranked AS (SELECT *, CAST(ntile(5) OVER (PARTITION BY category ORDER BY activity, c_custkey) AS INT) AS quintile FROM base),
   peers AS (SELECT category, quintile, median(declared) AS m FROM ranked GROUP BY category, quintile),
   scored AS (SELECT r.*, CASE WHEN (m + 1) / (declared + 1) > 0 THEN round(ln((m + 1) / (declared + 1)), 6) END AS gap FROM ranked r JOIN peers p ON r.category = p.category AND r.quintile = p.quintile)"""
 
-TIERED = _SCORED + """,
+_TIERED = _SCORED + """,
   tiered AS (SELECT *, CASE WHEN declared IS NULL THEN 'D' WHEN quintile <= 2 THEN 'C' WHEN gap > 0.2 THEN 'A' ELSE 'B' END AS tier_raw FROM scored)"""
 
-_CAPPED = TIERED + """,
+_CAPPED = _TIERED + """,
   capped AS (SELECT *, CASE WHEN tier_raw = 'A' AND row_number() OVER (PARTITION BY tier_raw ORDER BY gap DESC NULLS LAST, c_custkey) > 20 THEN 'B' ELSE tier_raw END AS tier FROM tiered)"""
 
 TEMPLATES = {
@@ -42,7 +48,6 @@ TEMPLATES = {
         SELECT o_orderkey, CAST(o_totalprice < 50000 AS INT) + CAST(o_orderstatus = 'F' AS INT) + CAST(o_orderpriority LIKE '1%' AS INT) AS n_signals FROM $orders""",
     "hold_reason_case": f"""WITH {_SCORED}
         SELECT c_custkey, CASE WHEN declared IS NULL THEN 'no declared figure' WHEN quintile = 1 THEN 'not busy' WHEN gap IS NULL THEN 'no gap' WHEN gap < -0.5 THEN 'declares more than peers' WHEN gap < 0.1 THEN 'like peers' WHEN c_nationkey IN (1, 2) THEN 'out of scope' END AS hold_reason FROM scored""",
-    # This one and the next run as DataFrames on Spark (plans/programmatic.py), which need no window over all rows.
     "tier_case_capped": f"WITH {_CAPPED} SELECT c_custkey, tier_raw, tier, CASE tier WHEN 'A' THEN 0 WHEN 'B' THEN 1 WHEN 'C' THEN 2 ELSE 3 END AS bucket FROM capped",
     "priority_rank": f"""WITH {_CAPPED}
         SELECT c_custkey, tier, CAST(rank() OVER (ORDER BY CASE tier WHEN 'A' THEN 0 WHEN 'B' THEN 1 WHEN 'C' THEN 2 ELSE 3 END, gap DESC NULLS LAST) AS INT) AS priority_rank FROM capped""",
