@@ -81,9 +81,10 @@ TEMPLATES = {
         SELECT p_partkey, p_type, [[len(list_filter(['STANDARD', 'PROMO', 'SMALL'], lambda x: starts_with(p_type, x))) > 0||exists(array('STANDARD', 'PROMO', 'SMALL'), x -> startswith(p_type, x))]] AS matches,
                CASE WHEN p_type LIKE 'STANDARD%' THEN 'hair' WHEN p_type LIKE 'PROMO%' THEN 'nightlife' WHEN p_type LIKE 'ECONOMY%' THEN 'auto' END AS category FROM $part""",
     "scope_reason_case": """
+        WITH n AS (SELECT count(*) AS parts FROM $part), o AS (SELECT *, o_orderkey % parts AS partkey FROM $orders CROSS JOIN n)
         SELECT o_orderkey, coalesce(CASE WHEN o_orderpriority = '5-LOW' THEN 'no category' WHEN o_custkey % 5 = 0 THEN 'outside the city' WHEN o_orderstatus = 'P' THEN 'not operational' WHEN NOT [[regexp_matches(lower(p_name), '[[:alpha:]]{3}')||lower(p_name) RLIKE '\\\\p{Alpha}{3}']] THEN 'address only' END, '') AS out_of_scope_reason,
                [[regexp_matches(strip_accents(lower(p_name)), '(self|auto|red)')||translate(lower(p_name), 'ąčęėįšųūž', 'aceeisuuz') RLIKE '(self|auto|red)']] AS self_service, TRY_CAST(substr(o_orderpriority, 1, 1) AS INT) AS rank
-        FROM $orders JOIN $part ON p_partkey = o_orderkey % 50 + 1""",
+        FROM o JOIN $part ON p_partkey = partkey""",
     "domain_and_url_parts": """
         SELECT page_id, lower(regexp_extract(url, '^([a-z]+)://', 1)) AS scheme, lower(regexp_extract(url, '://([^/?#]+)', 1)) AS host, regexp_extract(url, '://[^/]+(/[^?#]*)', 1) AS path, regexp_extract(url, '[?]([^#]*)', 1) AS query,
                [[len(list_filter(['facebook', 'booking', 'cheap'], lambda m: contains(url, m))) > 0||exists(array('facebook', 'booking', 'cheap'), m -> contains(url, m))]] AS skip FROM $pages""",

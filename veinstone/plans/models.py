@@ -101,7 +101,7 @@ def validated_links(month: str, links: DataFrame, places: DataFrame, entities: D
 def evidence(month: str, vat: DataFrame, website: DataFrame | None = None, serp: DataFrame | None = None, brand: DataFrame | None = None) -> DataFrame:
     """(place_id, source, raw, ja_kodas): what the sources that there are say; ja_kodas is null for a VAT code of nobody.
 
-    ``vat``: the taxpayer register (vat_code, ja_kodas). Codes of a place's policy pages count alone where there are any.
+    ``vat``: the taxpayer register (vat_code, ja_kodas); a code that several entities have names each of them. Codes of a place's policy pages count alone where there are any.
     """
     parts = []
     if website is not None:
