@@ -143,6 +143,10 @@ def test_fingerprints_follow_generalised_jaccard(docs, rows, empty):
         if a or b:
             true.append(sum((a & b).values()) / sum((a | b).values()))
             found.append(got[r[0]].near_edited)
+        b = Counter(WORDS.findall(after))
+        if a or b:
+            true.append(sum((a & b).values()) / sum((a | b).values()))
+            found.append(got[r[0]].near_next)
     errors = [a - b for a, b in zip(true, found, strict=True)]
     assert abs(sum(errors)) / len(true) < 0.04 and (sum(e * e for e in errors) / len(errors)) ** 0.5 < 0.097 and max(map(abs, errors)) < 4 * 0.08
     assert got[100].fingerprint == got[101].fingerprint == got[0].fingerprint and got[101].near_next == 1.0
@@ -402,6 +406,46 @@ def test_templates_of_a_section_of_a_large_host(spark):
     assert all(re.sub("<[^>]*>", "", quoted) in out[400 + i].text for i in range(30))  # inside articles only: no template
 
 
+def test_all_articles_of_a_page_count():
+    m = html_extraction.main_text
+    two = "<article><h2>A</h2><p>first story</p></article><article><p>second</p><article class='comment'><p>no</p></article></article>"
+    assert m(f"<body><nav>menu</nav><div>{two}</div><div class='related'><article><p>teaser</p></article></div><article class='comment'>no</article><footer>f</footer></body>") == "A\nfirst story\nsecond"
+    assert m(f"<body><header>site</header><main><p>intro</p>{two}</main><aside><article>side</article></aside></body>") == "intro\nA\nfirst story\nsecond"
+    assert m("<body><main><p>around</p><article><p>one</p></article></main></body>") == "one"
+    began = time.perf_counter()
+    m("<article>" * 200_000 + "x")
+    m("<main>" + "<article>x</article>" * 100_000)
+    assert time.perf_counter() - began < 20
+
+
+def test_templates_by_brute_force(spark):
+    rng = random.Random(16)
+    parts = [f"<div class='c{k}'><p>{prose(rng, 3, 50)}</p></div>" for k in range(12)]
+    pages = []
+    for i in range(150):
+        picked = "".join(rng.choice(parts) for _ in range(3))
+        pages.append((i, (f"http://h{i % 2}.example/{i}", "http://small.example/", None)[0 if i < 120 else 1 if i < 140 else 2], f"<body>{picked}<article><p>{prose(rng, 20)}</p>{rng.choice(parts)}</article></body>", "z", 1, "q", ["g"]))
+    pages += [(200, "http://h0.example/x", pages[0][2], "z", 1, "q", ["g"]), (200, "http://h0.example/x", pages[0][2], "z", 1, "q", ["g"]), (201, "http://h1.example/", None, None, None, None, None), (202, "http://h1.example/", "", "z", 2, "", [])]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string, host string, page int, id string, gone array<string>").repartition(3)
+    by_host = {}
+    for _, url, html, *_ in pages:
+        by_host.setdefault(re.match("http://([^/]*)", url)[1] if url else "", set()).add(html or "")
+    expected = {}
+    for host, own in by_host.items():
+        counts, outside = Counter(), Counter()
+        for html in own:
+            for h, out in (html_extraction.hashes_of(html) if html else {}).items():
+                counts[h] += 1
+                outside[h] += out
+        n = len(own)
+        expected[host] = {h for h, c in counts.items() if c >= 5 and (outside[h] >= max(5, min(20, -(-n // 10))) or 2 * c >= n)}
+    got = html_extraction.extract(df).collect()
+    assert len(got) == len(pages) and any(expected.values())
+    want = Counter((i, url, html_extraction.main_text(html, expected[re.match("http://([^/]*)", url)[1] if url else ""])) for i, url, html, *_ in pages)
+    assert Counter((r.page_id, r.url, r.text) for r in got) == want and all(r.n_chars == len(r.text) for r in got)
+    assert html_extraction.extract(df.limit(0)).collect() == []
+
+
 def test_toxicity_finds_planted_words(spark):
     rng = random.Random(9)
     docs = [(i, prose(rng, 60, 300) + (" vile rotten vile " + prose(rng, 20, 300) if i % 5 == 0 else "")) for i in range(300)]

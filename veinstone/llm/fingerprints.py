@@ -66,6 +66,19 @@ def sampled(units: DataFrame, key: list[str]) -> DataFrame:
     return rows.groupBy(*key, "block").agg(*least).select(*key, "block", F.array(*[F.coalesce(F.col(f"m{i}"), F.lit(0)).bitwiseAND(0xFFFFFFFF) for i in range(WIDTH)]).alias("m"))
 
 
+def numbers(values: list[int]) -> Column:
+    """A list as one constant, however long it is."""
+    return F.split(F.lit(",".join(map(str, values)) or "0"), ",").cast("array<bigint>")
+
+
+def lower_bound(cuts: Column, n: int, value: Column) -> Column:
+    """How many of ``n`` sorted cuts are below a value, by halving: the expression does not grow with them."""
+    ends = lambda lo, hi: F.struct(lo.alias("lo"), hi.alias("hi"))
+    middle = lambda a: F.shiftright(a["lo"] + a["hi"], 1)
+    step = lambda a, _: F.when(a["lo"] >= a["hi"], a).when(value <= F.get(cuts, middle(a)), ends(a["lo"], middle(a))).otherwise(ends(middle(a) + 1, a["hi"]))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(n.bit_length())), ends(F.lit(0), F.lit(n)), step, lambda a: a["lo"])
+
+
 def followed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents in ranges of descending ids: (range, place, ghost, id, text, next); ghosts are the first documents of the ranges that follow."""
     spark = docs.sparkSession
@@ -77,22 +90,17 @@ def followed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     cuts = sorted(often)
     # An id that is several cuts is that of very many rows: as many ranges of hashes hold it.
     first = list(accumulate((1 + (often[c] if often[c] > 1 else 0) for c in cuts), initial=0))
+    slices = [often[c] if often[c] > 1 else 0 for c in cuts] + [0]
     unit = F.col("tie") / float(1 << 64) + 0.5
-
-    def place(low: int, high: int) -> Column:
-        if low < high:
-            mid = (low + high) // 2
-            return F.when(F.col("k") <= cuts[mid], place(low, mid)).otherwise(place(mid + 1, high))
-        if low == len(cuts) or often[cuts[low]] < 2:
-            return F.lit(first[low])
-        slices = often[cuts[low]]
-        return F.when(F.col("k") == cuts[low], first[low] + 1 + F.least(F.floor(unit * slices), F.lit(slices - 1)).cast("int")).otherwise(first[low])
-
-    d = d.withColumn("range", place(0, len(cuts)))
+    at = lower_bound(numbers(cuts), len(cuts), F.col("k"))
+    many = F.get(numbers(slices), F.col("at"))
+    inside = (many > 0) & (F.col("k") == F.get(numbers(cuts), F.col("at")))
+    place = F.get(numbers(first), F.col("at")) + F.when(inside, 1 + F.least(F.floor(unit * many), many - 1)).otherwise(0)
+    d = d.withColumn("at", at).withColumn("range", place.cast("int")).drop("at")
     heads = {r["range"]: r["h"] for r in d.groupBy("range").agg(F.max(F.struct("k", "tie")).alias("h")).collect()}  # two numbers for each range
     used = sorted(heads)
     before = {r: used[(i + 1) % len(used)] for i, r in enumerate(used)}  # ids descend: the range before has higher ids
-    look = lambda value: F.element_at(F.array(*[F.lit(value(r) if r in heads else LOWEST).cast("long") for r in range(first[-1] + 1)]), F.col("range") + 1)
+    look = lambda value: F.get(numbers([value(r) if r in heads else LOWEST for r in range(first[-1] + 1)]), F.col("range"))
     real, ghost = F.struct(F.col("range").cast("long").alias("range"), F.lit(0).alias("ghost")), F.struct(look(before.get).alias("range"), F.lit(1).alias("ghost"))
     is_head = (F.col("k") == look(lambda r: heads[r]["k"])) & (F.col("tie") == look(lambda r: heads[r]["tie"]))
     d = d.withColumn("to", F.explode(F.when(is_head, F.array(real, ghost)).otherwise(F.array(real))))

@@ -4,7 +4,8 @@ A first pass hashes the element subtrees of every page in two ways: with their t
 class, id, role and place in the page, and the kinds of its children, however many). Spark counts on how many distinct
 pages of its host each occurs, and on how many of them outside the main part. A second pass deletes the subtrees that
 recur on the host, then those whose tag or role says that they are no text, and joins the blocks that are left of the
-main part: the article, else the main element, else the part that holds most of the page's text outside links.
+main part: the article or articles, else the main element, else the part that holds most of the page's text outside
+links.
 
 Structure alone only tells menus, adverts and the like, which are named or full of links, and only outside the main
 part: in it, paragraphs are alike on all pages. Inside the main part a subtree that recurs with its text is deleted if
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, staged
+from .common import broadcast_if_small, released, staged
 from .shingles import kept, sliced
 
 #: A subtree is a template when it is on at least so many distinct pages of its host, outside the article on ENOUGH of
@@ -195,32 +196,50 @@ def is_no_text(tag: str, attrs: str, inside: bool) -> bool:
     return tag in CONTAINERS and not WORDS.isdisjoint(re.split(r"[^a-z]+", re.sub(r"(side|nav|top)-?bar", r"\1bar", names)))
 
 
-def main_part(nodes: list[Node]) -> Node:
-    """The largest article, else the largest main element, else, from the body on, the part that holds most of the text outside links."""
+def main_parts(nodes: list[Node]) -> list[Node]:
+    """The article, or all articles that are no comments and in no other one (the main element instead if it holds all of several); without one the largest main element, else, from the body on, the part that holds most of the text outside links."""
     gone: set[int] = set()
     for node in nodes:
         if id(node.parent) in gone or remembered(is_no_text, node.tag, node.attrs, False):
             gone.add(id(node))
-    for tag in ("article", "main", "body", "#"):
-        if found := [x for x in nodes if x.tag == tag and x.size and id(x) not in gone]:
+    there = lambda tag: [x for x in nodes if x.tag == tag and x.size and id(x) not in gone]
+    if articles := there("article"):
+        every, within = {id(x) for x in articles}, set()
+        for node in nodes:
+            if id(node.parent) in within or id(node.parent) in every:
+                within.add(id(node))
+        articles = [x for x in articles if id(x) not in within]
+        if len(articles) > 1:
+            held = dict.fromkeys(map(id, articles), 1)  # how many articles an element holds
+            for node in reversed(nodes):
+                if node.parent and id(node) in held:
+                    held[id(node.parent)] = held.get(id(node.parent), 0) + held[id(node)]
+            if mains := [x for x in there("main") if held.get(id(x)) == len(articles)]:
+                return mains[:1]
+        return articles
+    for tag in ("main", "body", "#"):
+        if found := there(tag):
             best = max(found, key=lambda x: x.size)
             break
     else:
-        return nodes[0]
-    while best.tag not in ("article", "main"):
+        return [nodes[0]]
+    while best.tag != "main":
         text = [x for x in best.parts if isinstance(x, Node) and id(x) not in gone and (x.size - x.links) * 10 >= 7 * (best.size - best.links) > 0 and x.tag in CONTAINERS | {"html", "body", "center"}]
         if not text:
             break
         best = text[0]
-    return best
-
-
-def around(nodes: list[Node], best: Node) -> set[int]:
-    """Identities of the elements that neither hold the main part nor are in it; of a page whose main part is all of it, none."""
-    holds, inner = set(), {id(best)}
-    up = best
-    while up := up.parent:
-        holds.add(id(up))
+    return [best]
+
+
+def around(nodes: list[Node], parts: list[Node]) -> set[int]:
+    """Identities of the elements that neither hold a main part nor are in one; of a page whose main part is all of it, none."""
+    holds: set[int] = set()
+    for part in parts:
+        up = part.parent
+        while up and id(up) not in holds:
+            holds.add(id(up))
+            up = up.parent
+    inner = {id(part) for part in parts}
     for node in nodes:
         if id(node.parent) in inner:
             inner.add(id(node))
@@ -245,11 +264,12 @@ def main_text(page: str | None, recurring: frozenset[int] | set[int] = frozenset
         return ""
     nodes = parsed(page)
     measure(nodes)
-    best = main_part(nodes)
-    out = around(nodes, best)
+    parts = main_parts(nodes)
+    out = around(nodes, parts)
     place = places(nodes, out)
-    article = best.tag in ("article", "main")
-    top = best if lists and article else next((x for x in nodes if x.tag == "body"), nodes[0])
+    article = parts[0].tag in ("article", "main")
+    size = sum(x.size for x in parts)
+    tops = parts if lists and article else [next((x for x in nodes if x.tag == "body"), nodes[0])]
     blocks: list[str] = []
     open_block: list[str] = []
 
@@ -261,11 +281,11 @@ def main_text(page: str | None, recurring: frozenset[int] | set[int] = frozenset
 
     def gone(node: Node) -> bool:
         outside = id(node) in out
-        if place.get(id(node)) in recurring or node.hash in recurring and node.size * 2 < best.size and (node.tag in CONTAINERS or outside or not article):
+        if place.get(id(node)) in recurring or node.hash in recurring and node.size * 2 < size and (node.tag in CONTAINERS or outside or not article):
             return True
         return lists and (remembered(is_no_text, node.tag, node.attrs, article and not outside) or node.tag == "header" and not article) or node.tag in RAW or node.tag == "head"
 
-    stack = [(iter(top.parts), top)]
+    stack = [(iter(top.parts), top) for top in reversed(tops)]
     while stack:
         part = next(stack[-1][0], None)
         if part is None:
@@ -289,9 +309,9 @@ def hashes_of(page: str) -> dict[int, int]:
     """For every hash of a block with text, and of a place around the main part: whether it stands outside the main part."""
     nodes = parsed(page)
     measure(nodes)
-    best = main_part(nodes)
-    out = around(nodes, best)
-    if best.tag not in ("article", "main"):  # any block may be a template where nothing says what the text is
+    parts = main_parts(nodes)
+    out = around(nodes, parts)
+    if parts[0].tag not in ("article", "main"):  # any block may be a template where nothing says what the text is
         out_text = {id(x) for x in nodes}
     else:
         out_text = out
@@ -303,50 +323,45 @@ def hashes_of(page: str) -> dict[int, int]:
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hashes of a page, those inside the main part and those around it."""
     for batch in sliced(batches, text="html"):
-        hosts, hashes, out, pages = [], [], [], []
-        for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-            one = {0: 0} | (hashes_of(page) if page else {})  # 0 counts the page itself
-            hosts += [host] * len(one)
-            hashes += one
-            out += one.values()
-            pages += [digest(page or "")] * len(one)
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(pages, pa.int64()), pa.array(out, pa.int32())], names=["host", "hash", "page", "outside"])
+        found = [hashes_of(page) if page else {} for page in batch.column("html").to_pylist()]
+        sides = [pa.array([[h for h, out in f.items() if out == side] for f in found], pa.list_(pa.int64())) for side in (0, 1)]
+        yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("page"), *sides], names=["host", "page", "inside", "outside"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches, text="html"):
-        known: dict[str, frozenset[int]] = {}
-        texts = []
-        for k, (host, page) in enumerate(zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True)):
-            if host not in known:
-                known[host] = frozenset(batch.column("gone")[k].as_py() or ())
-            texts.append(main_text(page, known[host]))
+        gone = [frozenset(x or ()) for x in batch.column("gone").to_pylist()]
+        texts = [main_text(page, g) for page, g in zip(batch.column("html").to_pylist(), gone, strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
 def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """One row per host (host, gone): the hashes of its recurring subtrees.
+    """(host, page, gone): for every page (host, page, html; page is a hash of the html) that has some, the hashes of its subtrees that are templates of its host; equal pages are one.
 
-    Each of them is on ``min_pages`` distinct pages at least, and on a host of many pages on ``ENOUGH``, so there are
-    at most 1 / ENOUGH times as many as the host's pages have elements.
+    A page's own hashes meet those of its host's templates by (host, hash), so that no row has more than a page's.
     """
-    rows = pages.select("host", "html").mapInArrow(_subtrees, "host string, hash long, page long, outside int")
-    distinct = rows.groupBy("host", "hash", "page").agg(F.max("outside").alias("outside"))  # equal pages count once
-    count = distinct.groupBy("host", "hash").agg(F.count("*").alias("n"), F.sum("outside").alias("around"))
-    count = staged(count.where(F.col("n") >= min_pages), "subtrees")
-    whole = count.where("hash = 0").select("host", F.col("n").alias("pages"))
+    own = pages.select("host", "page", "html").mapInArrow(_subtrees, "host string, page long, inside array<long>, outside array<long>")
+    own = staged(own.dropDuplicates(["host", "page"]), "subtrees")
+    whole = staged(own.groupBy("host").agg(F.count("*").alias("pages")), "hosts")
+    each = F.concat(F.transform("inside", lambda h: F.struct(h.alias("hash"), F.lit(0).alias("outside"))), F.transform("outside", lambda h: F.struct(h.alias("hash"), F.lit(1).alias("outside"))))
+    rows = own.select("host", "page", F.explode(each).alias("e")).select("host", "page", "e.hash", "e.outside")
+    count = rows.groupBy("host", "hash").agg(F.count("*").alias("n"), F.sum("outside").alias("around")).where(F.col("n") >= min_pages)
     enough = F.greatest(F.lit(min_pages), F.least(F.lit(ENOUGH), F.ceil(SMALL_SHARE * F.col("pages"))))
-    often = count.where("hash <> 0").join(broadcast_if_small(whole), "host").where((F.col("around") >= enough) | (F.col("n") >= min_share * F.col("pages")))
-    return often.groupBy("host").agg(F.collect_list("hash").alias("gone"))
+    often = staged(count.join(broadcast_if_small(whole), "host").where((F.col("around") >= enough) | (F.col("n") >= min_share * F.col("pages"))).select("host", "hash"), "templates")
+    out = rows.join(broadcast_if_small(often), ["host", "hash"]).groupBy("host", "page").agg(F.collect_list("hash").alias("gone"))
+    out = staged(out, "templates-of-pages")
+    released(own, whole, often)
+    return out
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) for every row of ``pages``."""
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1))
-    p = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host.alias("host"))
-    gone = broadcast_if_small(staged(templates(p), "templates"), 100_000)
-    return p.join(gone, "host", "left").select("id", "url", "host", "html", "gone").mapInArrow(_texts, f"page_id {dict(p.dtypes)['id']}, url string, text string, n_chars long")
+    p = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host.alias("host"), F.xxhash64(html_col).alias("page"))
+    p = p.join(broadcast_if_small(templates(p), 20_000), ["host", "page"], "left")  # at most the hashes of so many pages
+    return p.select("id", "url", "host", "html", "gone").mapInArrow(_texts, f"page_id {dict(p.dtypes)['id']}, url string, text string, n_chars long")
 
 
 def op8_site_template_removal(spark, sf_dir: str) -> DataFrame:
