@@ -246,21 +246,27 @@ def with_listed(some: DataFrame, listed: DataFrame) -> DataFrame:
     return some.join(listed.hint("shuffle_hash"), "id")
 
 
-def islands(spans: DataFrame) -> DataFrame:
-    """Spans (doc, start, end, ...) with ``island``, the number of the stretch of touching spans that each is in; a document's spans are no more than its words.
+def islands(spans: DataFrame, *by: str) -> DataFrame:
+    """Spans (doc, start, end, ...) with ``island``, the number of the stretch of touching spans of a document, and of the same ``by``, that each is in; a document's spans are no more than its words.
 
-    Spans that an earlier or longer one of the document holds are gone: what they cover is covered.
+    Spans that an earlier or longer one among these holds are gone: what they cover is covered.
     """
-    by_start = Window.partitionBy("doc").orderBy("start", F.desc("end"))
+    by_start = Window.partitionBy("doc", *by).orderBy("start", F.desc("end"))
     before = F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     island = F.sum(F.when(F.col("start") <= F.col("before"), 0).otherwise(1)).over(by_start)
     return spans.withColumn("before", before).where("before IS NULL OR end > before").withColumn("island", island).drop("before")
 
 
-def merged(spans: DataFrame, least: int) -> DataFrame:
-    """(id, spans): spans (doc, start, end) of every document, joined where they touch; only those of ``least`` words or more."""
-    s = islands(spans.select("doc", "start", "end").distinct())
-    s = s.groupBy("doc", "island").agg(F.min("start").alias("start"), F.max("end").alias("end")).where(F.col("end") - F.col("start") >= least)
+def long_repeats(found: DataFrame, least: int) -> DataFrame:
+    """The rows of ``found`` that are part of ``least`` words or more which one document holds on one diagonal; short pieces from here and there are no repeat together."""
+    f = islands(found.withColumn("diagonal", F.col("pos") - F.col("hub_pos")), "hub", "diagonal")
+    whole = Window.partitionBy("doc", "hub", "diagonal", "island")
+    return f.withColumn("long", F.max("end").over(whole) - F.min("start").over(whole)).where(F.col("long") >= least).drop("diagonal", "island", "long")
+
+
+def merged(spans: DataFrame) -> DataFrame:
+    """(id, spans): spans (doc, start, end) of every document, joined where they touch."""
+    s = islands(spans.select("doc", "start", "end").distinct()).groupBy("doc", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     return s.groupBy(F.col("doc").alias("id")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
 
@@ -324,7 +330,7 @@ def followed_up(some: DataFrame, met: DataFrame, found: DataFrame) -> DataFrame:
     A passage of ``MIN_WORDS`` words around a paragraph has ``HALF`` more on one side at least: only paragraphs that
     share that much with another document have all their passages compared.
     """
-    spans = staged(merged(found, MIN_WORDS), "settled")
+    spans = staged(merged(long_repeats(found, MIN_WORDS)), "settled")
     inside = F.exists("spans", lambda s: (s["start"] <= F.col("pos")) & (F.col("pos") + WIDTH <= s["end"]))
     of = met.join(spans.withColumnRenamed("id", "doc"), "doc", "left").select("bucket", "doc", "pos", "hub", F.coalesce(inside, F.lit(False)).alias("settled"))
     of = staged(of, "paragraphs")
@@ -370,9 +376,7 @@ def repeats(docs: DataFrame, copied: DataFrame, min_words: int = MIN_WORDS) -> D
     star = star_repeats(some, met)
     more = followed_up(some, met, star)
     found = star.unionByName(more)
-    whole = Window.partitionBy("doc", "island")
-    found = islands(found).withColumn("long", F.max("end").over(whole) - F.min("start").over(whole)).where(F.col("long") >= min_words)
-    found = staged(found.drop("island", "long"), "found")  # what is part of no repeat of min_words links nothing
+    found = staged(islands(long_repeats(found, min_words)).drop("island"), "found")  # what is part of no repeat of min_words links nothing
     released(met, star, more)
     of = clusters(found)
     out = found.withColumn("id", F.struct("doc", "pos")).join(broadcast_if_small(of, FEW), "id").where(F.col("component.doc") < F.col("doc")).select("doc", "start", "end", "component")
@@ -388,7 +392,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     copied = copies(some)
     found = repeats(some, copied, min_words)
     whole_text = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(WHOLE).cast("long").alias("end")))
-    spans = merged(found, min_words).unionByName(copied.select("id", whole_text.alias("spans")))  # a copy has no paragraphs, so no other spans
+    spans = merged(found).unionByName(copied.select("id", whole_text.alias("spans")))  # a copy has no paragraphs, so no other spans
     spans = staged(spans.withColumnRenamed("spans", "removed"), "spans")
     released(found, copied)
     few = broadcast_if_small(spans, FEW)
