@@ -360,7 +360,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """(page_id, url, text, n_chars) for every row of ``pages``."""
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1))
     p = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host.alias("host"), F.xxhash64(html_col).alias("page"))
-    p = p.join(templates(p), ["host", "page"], "left")  # by shuffle, whatever the number of pages, unless Spark finds the hashes few
+    p = p.join(templates(p).hint("merge"), ["host", "page"], "left")  # the same plan for few pages and for many
     return p.select("id", "url", "host", "html", "gone").mapInArrow(_texts, f"page_id {dict(p.dtypes)['id']}, url string, text string, n_chars long")
 
 
