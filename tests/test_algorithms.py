@@ -148,6 +148,20 @@ def test_bound_of_likeness_loses_no_pair(spark):
     assert share < 0.6
 
 
+def test_alike_names_of_large_blocks_meet_in_parts(spark, monkeypatch):
+    rng = random.Random(6)
+    monkeypatch.setattr(likeness, "PART", 16)
+    word = lambda most=7: "".join(rng.choice("abcd") for _ in range(rng.randrange(1, most)))
+    names = sorted({" ".join(word() for _ in range(rng.randrange(1, 5))) for _ in range(70)} | {"", "x", "é ū", "a b", "b a", "a b c", "a" * 64, "a" * 65, "x " * 40 + "yy", word(70) + " " + word(60)})
+    df = spark.createDataFrame([(b, n) for b in ("one", "two", None) for n in names] * 2, "b string, name string")
+    out = likeness.similar_names(df, "name", ["b"], 70)
+    assert out.rdd.getNumPartitions() > 10  # one task held all pairs before
+    pairs = {(a, b): round(likeness.token_set_ratio(a, b), 1) for a, b in itertools.combinations(names, 2)}
+    pairs = {p: x for p, x in pairs.items() if x >= 70}
+    rows = out.collect()
+    assert {(r.b, r.name, r.other): r.likeness for r in rows} == {(b, *p): x for b in ("one", "two") for p, x in pairs.items()} and len(rows) == 2 * len(pairs)
+
+
 def site(spark, pages, **options):
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
     return {(r.site, r.turn): (r.url, r.page_id, r.depth) for r in sites.walk(df, **options).collect()}
