@@ -74,3 +74,40 @@ def test_copies_of_a_name_are_one_class(spark, tmp_path):
     assert {(r.p_partkey, r.other, r.likeness) for r in out if r.kind == "member"} == {(i, first[b, n], 100.0 if n else 0.0) for i, n, b in rows}
     assert {(r.p_partkey, r.other, r.likeness) for r in out if r.kind == "pair"} == {(first[b, "red bolt"], first[b, "red ring"], round(cascade.token_set_ratio("red bolt", "red ring"), 1)) for b in ("B1", "B2")}
     assert len(out) == len(rows) + 2
+
+
+def test_subset_match_of_copies(spark, tmp_path):
+    import duckdb
+
+    from veinstone import staging
+    from veinstone.plans import catalog
+
+    names = ["red bolt", "red red", "red", "bolt red ring", "blue ring", "", None]
+    rows = [(i, names[i % 7], ["SMALL", "SMALL BRASS", "LARGE", None][i % 4], i % 2 + 1) for i in range(700)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_type string, p_size int").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    before = staging.staged_now()
+    out = catalog.QUERIES["array_subset_match"](spark, str(tmp_path))
+    classes = [spark.read.parquet(path).count() for path in staging.staged_now() - before if "veinstone-classes-" in path]
+    assert classes == [15]  # 450 parts meet as 15 classes
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet' WHERE p_name IS NOT NULL")
+    assert sorted(map(tuple, out.collect())) == sorted(con.execute(catalog.ORACLES["array_subset_match"]).fetchall())
+
+
+def test_long_keys_of_one_split_are_made_by_all_tasks(spark, tmp_path):
+    import pathlib
+
+    from veinstone import staging
+    from veinstone.plans import models
+
+    def files(before, name):
+        return [len(list(pathlib.Path(path.removeprefix("file:")).glob("*.parquet"))) for path in staging.staged_now() - before if f"veinstone-{name}-" in path]
+
+    at = lambda name, rows, schema: spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}") or spark.read.parquet(f"{tmp_path}/{name}")
+    places = at("places", [(f"p{i}", f"Lapė{i} baras", "nightlife", "Upės g.", str(i)) for i in range(200)], "place_id string, name string, category string, street string, street_number string")
+    premises = at("premises", [(i, f"Lapė{i}", f"Upės g. {i}, Vilnius") for i in range(200)], "ja_kodas long, trade_name string, address string")
+    entities = at("entities", [(i, f"UAB Lapė{i}", f"Vilnius, Upės g. {i}", ["56.30"], True, True) for i in range(200)], "ja_kodas long, legal_name string, registered_address string, evrk_codes array<string>, nexus boolean, is_active boolean")
+    before = staging.staged_now()
+    assert {(r.place_id, r.ja_kodas) for r in models.premises_evidence(places, premises).collect()} >= {(f"p{i}", i) for i in range(200)}
+    assert {r.status for r in cascade.decide(places, entities).collect()} == {"linked"}
+    assert files(before, "premises-keys")[0] > 1 and all(n > 1 for n in files(before, "place-keys")) and len(files(before, "place-keys")) == 2

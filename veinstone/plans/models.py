@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import POLICY_WORDS, Thresholds
 from ..functions import textkeys as K
-from ..staging import broadcast_if_small, staged
+from ..staging import broadcast_if_small, spread, staged
 from .likeness import likely, profile
 from .ranks import level_medians, ntile, percentiles, positions
 
@@ -130,10 +130,13 @@ def premises_evidence(places: DataFrame, premises: DataFrame, likeness=None, cat
     """
     number = lambda key: F.substring_index(key, "|", -1)
     house = lambda key: F.expr(f"try_cast(regexp_extract(substring_index({key}, '|', -1), '^([0-9]+)', 1) AS int)")
-    m = premises.where("ja_kodas IS NOT NULL").select("ja_kodas", K.name_key(F.col("trade_name")).alias("trade_key"), K.registry_key(F.col("address")).alias("m_key")).where("m_key IS NOT NULL")
+    # Keys are long work per row: they are made once, before anything filters or joins by them, and by all tasks.
+    m = spread(premises.where("ja_kodas IS NOT NULL").select("ja_kodas", "trade_name", "address"))
+    m = staged(m.select("ja_kodas", K.name_key(F.col("trade_name")).alias("trade_key"), K.registry_key(F.col("address")).alias("m_key")), "premises-keys").where("m_key IS NOT NULL")
     alone = m.groupBy("m_key").agg((F.count("*") == 1).alias("alone"))
     m = m.join(alone, "m_key").select("ja_kodas", "trade_key", profile(F.col("trade_key")).alias("trade"), "m_key", "alone", F.substring_index("m_key", "|", 1).alias("street_name"), house("m_key").alias("m_number"))
-    p = places.where(F.col("category") == category).select("place_id", K.name_key(F.col("name")).alias("own_key"), K.street_key(F.col("street"), F.col("street_number")).alias("p_key")).where("p_key IS NOT NULL")
+    p = spread(places.where(F.col("category") == category).select("place_id", "name", "street", "street_number"))
+    p = staged(p.select("place_id", K.name_key(F.col("name")).alias("own_key"), K.street_key(F.col("street"), F.col("street_number")).alias("p_key")), "place-keys").where("p_key IS NOT NULL")
     p = p.select("place_id", "own_key", profile(F.col("own_key")).alias("own"), "p_key", F.substring_index("p_key", "|", 1).alias("street_name"), house("p_key").alias("p_number"))
     # A band of four numbers is at most two blocks of eight: premises go to their own block and its neighbours.
     m = m.withColumn("block", F.explode(F.array(*[F.floor(F.col("m_number") / 8) + i for i in (-1, 0, 1)])))
@@ -160,15 +163,17 @@ def fallback_links(open_places: DataFrame, found: DataFrame, entities: DataFrame
     An active entity named by a source counts if its activity or its address fits, its name is like (60 or more), or it
     was a primary candidate, which is a source of its own. It wins alone, or with strictly more sources than any other.
     """
-    active = entities.where("is_active").select("ja_kodas", K.name_key(F.col("legal_name")).alias("legal_key"), "evrk_codes", F.when(K.in_city(F.col("registered_address")), K.registry_key(F.col("registered_address"))).alias("own_address"))
+    active = spread(entities.where("is_active").select("ja_kodas", "legal_name", "evrk_codes", "registered_address"))
+    active = staged(active.select("ja_kodas", K.name_key(F.col("legal_name")).alias("legal_key"), "evrk_codes", F.when(K.in_city(F.col("registered_address")), K.registry_key(F.col("registered_address"))).alias("own_address")), "entity-keys")
     support = found.join(active, "ja_kodas").groupBy("place_id", "ja_kodas", "legal_key", "evrk_codes", "own_address").agg(F.collect_set("source").alias("sources"))
-    support = support.withColumn("legal", profile(F.col("legal_key")))
-    opened = open_places.select("place_id", "category", "street", "street_number", K.name_key(F.col("name")).alias("own_key")).withColumn("own", profile(F.col("own_key")))
+    opened = spread(open_places.select("place_id", "name", "category", "street", "street_number"))
+    opened = staged(opened.select("place_id", "category", K.street_key(F.col("street"), F.col("street_number")).alias("place_address"), K.name_key(F.col("name")).alias("own_key")), "open-places")
     c = support.join(opened, "place_id").join(primary.select("place_id", "ja_kodas").distinct().withColumn("was_primary", F.lit(True)), ["place_id", "ja_kodas"], "left")
     fits = F.exists(F.coalesce("evrk_codes", F.array().cast("array<string>")), lambda code: K.code_fits(F.col("category"), code))
-    at_address = F.col("own_address") == K.street_key(F.col("street"), F.col("street_number"))
+    at_address = F.col("own_address") == F.col("place_address")
     c = staged(c.withColumn("fits", _flag(fits) | _flag(at_address) | _flag(F.col("was_primary"))), "corroboration")
-    c = c.where("fits").unionByName(likely(c.where("NOT fits"), "own", "legal", 60, likeness).drop("likeness"))
+    unlike = c.where("NOT fits").withColumns({"own": profile(F.col("own_key")), "legal": profile(F.col("legal_key"))})
+    c = c.where("fits").unionByName(likely(unlike, "own", "legal", 60, likeness).drop("likeness", "own", "legal"))
     c = c.withColumn("sources", F.when(F.col("was_primary"), F.array_append("sources", "primary_candidate")).otherwise(F.col("sources"))).withColumn("n", F.size("sources"))
     c = c.withColumn("top", F.max("n").over(Window.partitionBy("place_id")))  # as many as the entities that evidence names for a place
     first = c.where("n = top").groupBy("place_id").agg(F.count("*").alias("ties"), F.min("ja_kodas").alias("ja_kodas"), F.min(F.array_join(F.sort_array("sources"), "+")).alias("of"))

@@ -43,6 +43,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over as many tasks as a shuffle has: for work that is long per row, on tables that are few splits of a file. Adaptive execution, which goes by bytes, does not join these tasks again."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+
+
 def released(*tables: DataFrame) -> None:
     """Delete staged tables that no later job reads."""
     _delete([t.staged_at for t in tables])
