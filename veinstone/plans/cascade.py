@@ -16,7 +16,7 @@ from pyspark.sql.types import ArrayType, StringType
 
 from ..config import CATEGORIES
 from ..functions import textkeys as K
-from ..staging import staged
+from ..staging import spread, staged
 from .likeness import name_likeness, token_set_ratio
 
 __all__ = ["candidate_table", "candidates", "company_names", "company_names_in", "decide", "entity_keys", "name_likeness", "resolve_names", "token_set_ratio", "word_counts"]
@@ -91,7 +91,10 @@ def key_counts(entities: DataFrame, branches: DataFrame | None = None) -> tuple[
 
 def decide(places: DataFrame, entities: DataFrame, branches: DataFrame | None = None) -> DataFrame:
     """(place_id, status, ja_kodas, method, confidence, reason) for every place; the first rule that has candidates decides, for names."""
-    keys = staged(place_keys(places), "place-keys")
+    # Keys are long work per row, and a register may be one split of a file: all tasks make them.
+    columns = ["ja_kodas", "legal_name", "registered_address", "evrk_codes", "nexus", "is_active"]
+    entities = staged(spread(entities.where("is_active").select(*columns)), "entities")
+    keys = staged(place_keys(spread(places.select("place_id", "name", "category", "street", "street_number"))), "place-keys")
     every, by_activity, by_address = key_counts(entities, branches)
     met = keys.join(every, ["kind", "key"], "left").join(by_activity, ["kind", "key", "category"], "left").join(by_address, ["kind", "key", "address"], "left")
     part = F.when(F.col("via") == "name_part", F.col("at"))
