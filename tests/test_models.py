@@ -156,3 +156,14 @@ def test_positions_equal_windows(spark):
         assert all(r.rank == first[r.v] and r.group_rows == len(order) for r in out if r.g == g)
     tile = spark.range(1, 14).select(ranks.ntile(F.col("id"), F.lit(13), 5).alias("t")).collect()
     assert [r.t for r in tile] == [1, 1, 1, 2, 2, 2, 3, 3, 3, 4, 4, 5, 5]
+
+
+def test_leads_move_no_lists_and_join_line_items_once(spark):
+    from veinstone import staging
+    from veinstone.plans import model_queries
+
+    before = staging.staged_now()
+    model_queries.model_leads(spark, "/root/testdata/sf0.001")
+    made = {path.rpartition("/")[2].split("-")[1]: path for path in staging.staged_now() - before}
+    assert {"lines", "taxes", "payroll"} <= made.keys()
+    assert not any(kind.startswith("array") for name in ("activity", "scored") for _, kind in spark.read.parquet(made[name]).dtypes)

@@ -258,15 +258,11 @@ SELECT a.*, CASE WHEN y.t IS NULL THEN 'added' WHEN x.t <> y.t THEN 'changed' EN
 # ---- views over the models --------------------------------------------------------------------------------------------
 
 
-def _leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.scored_leads(model_queries._activity(spark, sf_dir))
-
-
 def model_place_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every place with its link, company and lead."""
     r = lambda name: model_queries.relation(spark, sf_dir, name)
     places = r("places").withColumns({"formatted_address": F.concat_ws(" ", "street", "street_number"), "phone": F.lit(None).cast("string"), "maps_uri": F.when(F.col("rating") > 4, F.concat(F.lit("maps/"), "place_id"))})
-    out = reports.place_registry(places, r("links"), r("entities"), _leads(spark, sf_dir).select("run_month", "ja_kodas", "tier", "score"))
+    out = reports.place_registry(places, r("links"), r("entities"), model_queries._leads(spark, sf_dir).select("run_month", "ja_kodas", "tier", "score"))
     return out.withColumn("score", F.round("score", 4)).drop("phone")
 
 
@@ -277,7 +273,7 @@ FROM places p LEFT JOIN links l ON l.run_month = p.run_month AND l.place_id = p.
 
 
 def model_category_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = reports.category_summary(_leads(spark, sf_dir))
+    out = reports.category_summary(model_queries._leads(spark, sf_dir))
     return out.withColumns({c: F.round(c, 4) for c in ("median_taxes_paid", "median_reviews_per_year")})
 
 

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..staging import staged
 from . import cascade, models
 from .dialect import duck, spark_sql
 from .sweep import area_cells
@@ -63,8 +64,22 @@ def _linked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places.withColumns({"usable": F.col("o_orderstatus") != "P", "activity_fits": F.col("user_rating_count") % 3 != 0, "confidence": F.when(F.col("rating") > 3, "HIGH").otherwise("MEDIUM"), "method": F.lit("exact_name"), "validation_status": F.lit("confirmed")})
 
 
+_LINES = "$lineitem JOIN $orders ON l_orderkey = o_orderkey"
+
+
+def _declared(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Taxes, payroll and revenue: their line items meet the orders once for all three."""
+    columns = "o_custkey, o_orderkey, l_shipdate, l_linestatus, l_returnflag, l_quantity, l_extendedprice, l_linenumber"
+    lines = staged(spark.sql(spark_sql(f"SELECT {columns} FROM {_LINES}", sf_dir)), "lines")
+    return [spark.sql(spark_sql(RELATIONS[r].replace(_LINES, f"parquet.`{lines.staged_at}`"), sf_dir)) for r in ("taxes", "payroll", "revenue")]
+
+
 def _activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.entity_activity(MONTH, _linked(spark, sf_dir), *[relation(spark, sf_dir, r) for r in ("entities", "taxes", "payroll", "revenue")])
+    return models.entity_activity(MONTH, _linked(spark, sf_dir), relation(spark, sf_dir, "entities"), *_declared(spark, sf_dir))
+
+
+def _leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return models.scored_leads(_activity(spark, sf_dir).select(models.SCORED))
 
 
 ACTIVITY = "ja_kodas n_places categories main_category reviews_total reviews_max_place weekly_open_hours_max any_self_service place_ids all_links_usable activity_fits weakest_confidence taxes_prev_year taxes_prev_year_2 taxes_has_tax_year_row taxes_last_reported_year taxes_last_reported taxes_ytd taxes_ytd_through_month has_vmi_record insured_avg_prev_year contributions_prev_year contribution_months_suppressed insured_avg_t12m insured_latest avg_wage_latest has_sodra_record revenue_latest revenue_fy revenue_is_stale multi_site chain new_entity entity_age_months tax_year".split()
@@ -76,7 +91,7 @@ def model_entity_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    leads = models.scored_leads(_activity(spark, sf_dir)).withColumns({"peer_level": F.col("peer.level"), "peer_n": F.col("peer.n"), "hold_reason": F.regexp_replace("hold_reason", r" \(.*", "")})
+    leads = _leads(spark, sf_dir).withColumns({"peer_level": F.col("peer.level"), "peer_n": F.col("peer.n"), "hold_reason": F.regexp_replace("hold_reason", r" \(.*", "")})
     return _rounded(leads.select(LEAD), 4)
 
 

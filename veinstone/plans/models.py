@@ -197,6 +197,7 @@ def entity_activity(month: str, linked: DataFrame, entities: DataFrame, taxes: D
     )
     fetched = lambda table, name: F.max("fetch_id").alias(name) if "fetch_id" in table.columns else F.lit(None).cast("string").alias(name)
     here = shown.select("ja_kodas")
+    taxes, payroll = staged(taxes, "taxes"), staged(payroll, "payroll")  # read for their last dates, then by entity
     now, last_month = taxes.agg(F.max("year")).scalar(), payroll.agg(F.max("month")).scalar()
     before, ago = F.col("year") < now, lambda n: F.col("year") == now - n
     paid = lambda cond, c="taxes_paid": F.max(F.when(cond, F.col(c)))
@@ -252,6 +253,10 @@ def gap(peers: Column, own: Column) -> Column:
     return F.when(ratio > 0, F.log(ratio))
 
 
+#: What the score reads of ``entity_activity``: who needs no more of it selects these before, so that lists of places are neither made nor moved.
+SCORED = "run_month ja_kodas n_places main_category reviews_total rating_weighted weekly_open_hours_max any_self_service all_links_usable activity_fits owner_operated vat_registered registered_on multi_site new_entity tax_year has_vmi_record taxes_prev_year taxes_has_tax_year_row taxes_last_reported_year taxes_last_reported has_sodra_record insured_avg_prev_year contributions_prev_year contribution_months_suppressed insured_avg_t12m revenue_latest".split()
+
+
 def scored_leads(activity: DataFrame, thresholds: Thresholds | None = None) -> DataFrame:
     """Every entity of a month's activity (self-service excluded) with its peers, gaps, score, signals, hold reason, tier and rank."""
     t = thresholds or Thresholds()
