@@ -111,6 +111,26 @@ def test_queries_equal_their_sql(spark, name):
     assert clean(df.select(cols).collect()) == clean(con.execute(f"SELECT {', '.join(cols)} FROM ({catalog.ORACLES[name]})").fetchall())
 
 
+def test_halves_are_rounded_and_ranked_as_in_sql(spark, tmp_path):
+    """Each pair of customers has one line item each, of 0.09595 and 0.0959 and the like: the first is a half, so the ranks tell how it is rounded."""
+    import duckdb
+
+    halves = [(10.1, 0.05, 0.0959), (11.5, 0.07, 0.107), (11.95, 0.1, 0.1076), (14.35, 0.1, 0.1291), (13.7, 0.05, 0.1301), (16.45, 0.1, 0.148), (17.15, 0.1, 0.1543), (17.5, 0.01, 0.1732)]
+    items = [item for price, discount, rounded in halves for item in ((price, discount), (rounded * 100, 0.0))]
+    at = lambda day: f"TIMESTAMP '{day}'"
+    union = lambda rows: " UNION ALL ".join(f"SELECT {r}" for r in rows)
+    n = range(len(items))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE customer AS " + union([f"{k}::BIGINT AS c_custkey, 1 AS c_nationkey, 'BUILDING' AS c_mktsegment" for k in n]))
+    con.execute("CREATE TABLE orders AS " + union([f"{k}::BIGINT AS o_orderkey, {k}::BIGINT AS o_custkey, {1000.0 + k}::DOUBLE AS o_totalprice, {at('1996-01-01')} AS o_orderdate" for k in n]))
+    lines = [f"{k}::BIGINT AS l_orderkey, {p}::DOUBLE AS l_extendedprice, {d}::DOUBLE AS l_discount, 0.01::DOUBLE AS l_tax, {at('2000-05-01')} AS l_shipdate" for k, (p, d) in enumerate(items)]
+    con.execute("CREATE TABLE lineitem AS " + union([*lines, f"0, 1000.0, 0.0, 0.01, {at('2001-05-01')}"]))
+    for t in ("customer", "orders", "lineitem"):
+        con.execute(f"COPY {t} TO '{tmp_path}/{t}.parquet' (FORMAT parquet)")
+    ours = sorted(tuple(r) for r in catalog.QUERIES["priority_rank"](spark, str(tmp_path)).select("c_custkey", "tier", "priority_rank").collect())
+    assert ours == sorted(con.execute(f"SELECT c_custkey, tier, priority_rank FROM ({catalog.ORACLES['priority_rank']})").fetchall())
+
+
 def test_flagship_prunes_columns_and_filters_early(spark):
     plan = catalog.QUERIES["busiest_unlinked_topk"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan and "l_comment" not in plan

@@ -4,12 +4,18 @@ What needs quintiles, medians, percentiles or ranks runs as DataFrame code on Sp
 task holds a whole group; here is its SQL for DuckDB.
 """
 
+
+def _rounded(x: str, digits: int) -> str:
+    """Spark rounds the shortest decimal that stands for a double, DuckDB the double times a power of ten; as halves go apart in these, and ranks with them, Spark is told to do the latter."""
+    return f"[[round({x}, {digits})||round({x} * 1e{digits}) / 1e{digits}]]"
+
+
 #: Gap of an entity's declared figure to its peers' median; shared by the queries that rank and tier.
-BASE = """
+BASE = f"""
   visible AS (SELECT o_custkey, sum(o_totalprice) / greatest(1.0[[::DOUBLE||D]], least(7.0[[::DOUBLE||D]], [[date_diff('day', min(CAST(o_orderdate AS DATE)), DATE '2001-09-01')||datediff(DATE '2001-09-01', min(CAST(o_orderdate AS DATE)))]] / 365.25[[::DOUBLE||D]])) AS activity FROM $orders GROUP BY o_custkey),
   last AS (SELECT max(CAST(year(l_shipdate) AS INT)) - 1 AS y FROM $lineitem),
   declared AS (SELECT o_custkey, sum(l_extendedprice * (1 - l_discount) * l_tax) AS declared FROM $lineitem JOIN $orders ON l_orderkey = o_orderkey CROSS JOIN last WHERE CAST(year(l_shipdate) AS INT) = y GROUP BY o_custkey),
-  base AS (SELECT c_custkey, c_mktsegment AS category, c_nationkey, round(activity, 4) AS activity, round(declared, 4) AS declared FROM $customer JOIN visible v ON v.o_custkey = c_custkey LEFT JOIN declared d ON d.o_custkey = c_custkey)"""
+  base AS (SELECT c_custkey, c_mktsegment AS category, c_nationkey, {_rounded('activity', 4)} AS activity, {_rounded('declared', 4)} AS declared FROM $customer JOIN visible v ON v.o_custkey = c_custkey LEFT JOIN declared d ON d.o_custkey = c_custkey)"""
 
 _SCORED = BASE + """,
   ranked AS (SELECT *, CAST(ntile(5) OVER (PARTITION BY category ORDER BY activity, c_custkey) AS INT) AS quintile FROM base),
