@@ -167,3 +167,30 @@ def test_leads_move_no_lists_and_join_line_items_once(spark):
     made = {path.rpartition("/")[2].split("-")[1]: path for path in staging.staged_now() - before}
     assert {"lines", "taxes", "payroll"} <= made.keys()
     assert not any(kind.startswith("array") for name in ("activity", "scored") for _, kind in spark.read.parquet(made[name]).dtypes)
+
+
+def test_verdicts_are_dealt_by_counted_rows(spark, monkeypatch):
+    import re
+
+    from veinstone import staging
+    from veinstone.plans import model_queries
+
+    folder = "/root/testdata/sf0.001"
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    usual = rows(model_queries.model_source_verdicts(spark, folder))
+    monkeypatch.setattr(staging, "TASK_ROWS", 1000)
+    df = model_queries.model_source_verdicts(spark, folder)
+    assert rows(df) == usual and usual
+    items = spark.read.parquet(f"{folder}/lineitem.parquet").count()
+    dealt = re.findall(r"hashpartitioning\((\w+)#\d+L?, (\d+)\), REPARTITION_BY_NUM", df._jdf.queryExecution().executedPlan().toString())
+    assert {name for name, _ in dealt} == {"place_id", "code", "key"} and {int(n) for _, n in dealt} == {-(-2 * items // 1000)}
+    made = [path for path in staging.staged_now() if "veinstone-named" in path]
+    assert made and staging.dealt(spark.range(2500), 2500, "id").rdd.getNumPartitions() == 4 == staging.dealt(spark.range(9500).repartition(4), 3500, "id").rdd.getNumPartitions()
+
+
+def test_codes_of_nobody_are_evidence(spark):
+    vat = spark.createDataFrame([("LT300", 3)], "vat_code string, ja_kodas long")
+    website = spark.createDataFrame([(M, "p1", "vat", "999", "http://x/"), (M, "p1", "company", "3", "http://x/"), (M, "3", "vat", "998", "http://x/")], "run_month string, place_id string, code_type string, code string, page_url string")
+    entities, linked = spark.createDataFrame([(3, True)], "ja_kodas long, is_active boolean"), spark.createDataFrame([("p1", 3), ("3", 3)], "place_id string, ja_kodas long")
+    got = models.source_verdicts(linked, models.evidence(M, vat, website), entities).collect()
+    assert [(r.place_id, r.verdict, r.evidence) for r in got] == [("p1", "confirms", "c:3,v:999")]

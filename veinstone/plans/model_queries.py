@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..staging import staged
+from ..staging import dealt, staged
 from . import cascade, models
 from .dialect import duck, spark_sql
 from .sweep import area_cells
@@ -71,7 +71,23 @@ def _declared(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Taxes, payroll and revenue: their line items meet the orders once for all three."""
     columns = "o_custkey, o_orderkey, l_shipdate, l_linestatus, l_returnflag, l_quantity, l_extendedprice, l_linenumber"
     lines = staged(spark.sql(spark_sql(f"SELECT {columns} FROM {_LINES}", sf_dir)), "lines")
-    return [spark.sql(spark_sql(RELATIONS[r].replace(_LINES, f"parquet.`{lines.staged_at}`"), sf_dir)) for r in ("taxes", "payroll", "revenue")]
+    return _over(lines, sf_dir, "taxes", "payroll", "revenue")
+
+
+def _over(lines: DataFrame, sf_dir: str, *names: str) -> list[DataFrame]:
+    """Relations read from staged line items with their orders; none has more rows than these."""
+    out = [lines.sparkSession.sql(spark_sql(RELATIONS[r].replace(_LINES, f"parquet.`{lines.staged_at}`"), sf_dir)) for r in names]
+    for df in out:
+        df.staged_rows = lines.staged_rows
+    return out
+
+
+def _named(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Codes on websites and in search results: line items, dealt by counted rows, meet the orders once for both."""
+    items, orders = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("lineitem", "orders"))
+    items = dealt(items.select("l_orderkey", "l_linestatus", "l_returnflag", "l_quantity", "l_linenumber"), items.count(), "l_orderkey")
+    lines = items.join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return _over(staged(lines, "named"), sf_dir, "website", "serp")
 
 
 def _activity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +117,8 @@ def model_link_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_source_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = models.evidence(MONTH, relation(spark, sf_dir, "vat"), website=relation(spark, sf_dir, "website"), serp=relation(spark, sf_dir, "serp"))
+    website, serp = _named(spark, sf_dir)
+    found = models.evidence(MONTH, relation(spark, sf_dir, "vat"), website=website, serp=serp)
     return models.source_verdicts(relation(spark, sf_dir, "places").where("in_scope"), found, relation(spark, sf_dir, "entities"))
 
 

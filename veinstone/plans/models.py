@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import POLICY_WORDS, Thresholds
 from ..functions import textkeys as K
-from ..staging import broadcast_if_small, spread, staged
+from ..staging import broadcast_if_small, counted, dealt, spread, staged
 from .likeness import likely, profile
 from .ranks import level_medians, ntile, percentiles, positions
 
@@ -103,12 +103,13 @@ def evidence(month: str, vat: DataFrame, website: DataFrame | None = None, serp:
 
     ``vat``: the taxpayer register (vat_code, ja_kodas); a code that several entities have names each of them. Codes of a place's policy pages count alone where there are any.
     """
-    parts = []
+    parts, rows = [], sum(counted(t) for t in (website, serp, brand) if t is not None)
     if website is not None:
-        w = website.where((F.col("run_month") == month) & F.col("code").isNotNull()).withColumn("policy", _flag(F.lower("page_url").rlike("|".join(POLICY_WORDS))))
+        w = website.where((F.col("run_month") == month) & F.col("code").isNotNull())
+        w = dealt(w, rows, "place_id").withColumn("policy", _flag(F.lower("page_url").rlike("|".join(POLICY_WORDS))))
         w = w.withColumn("any_policy", F.bool_or("policy").over(Window.partitionBy("place_id"))).where("policy OR NOT any_policy")
         known = vat.where("vat_code IS NOT NULL").select(F.ltrim("vat_code", F.lit("LT")).alias("code"), F.col("ja_kodas").alias("vat_ja")).distinct()
-        w = w.select("place_id", "code_type", "code").join(known, "code", "left")
+        w = dealt(w.select("place_id", "code_type", "code"), rows, "code").join(known, "code", "left")
         company = F.col("code_type") == "company"
         parts.append(w.select("place_id", F.lit("website").alias("source"), F.concat(F.when(company, "c:").otherwise("v:"), "code").alias("raw"), F.when(company, F.expr("try_cast(code AS bigint)")).otherwise(F.col("vat_ja")).alias("ja_kodas")))
     if serp is not None:
@@ -119,7 +120,9 @@ def evidence(month: str, vat: DataFrame, website: DataFrame | None = None, serp:
         parts.append(b.select("place_id", "source", F.concat(F.lit("c:"), F.col("ja_kodas").cast("string")).alias("raw"), F.col("ja_kodas").cast("long").alias("ja_kodas")))
     if not parts:
         return vat.sparkSession.createDataFrame([], "place_id string, source string, raw string, ja_kodas long")
-    return reduce(DataFrame.unionByName, parts).distinct()
+    out = dealt(reduce(DataFrame.unionByName, parts), rows, "place_id").distinct()
+    out.staged_rows = rows
+    return out
 
 
 def premises_evidence(places: DataFrame, premises: DataFrame, likeness=None, category: str = "nightlife") -> DataFrame:
@@ -151,8 +154,11 @@ def premises_evidence(places: DataFrame, premises: DataFrame, likeness=None, cat
 
 def source_verdicts(linked: DataFrame, found: DataFrame, entities: DataFrame) -> DataFrame:
     """(place_id, source, verdict, evidence) for primary links: a source confirms the linked entity, or conflicts if it names only other active ones; else it says nothing."""
-    active = entities.where("is_active").select("ja_kodas", F.lit(True).alias("active"))
-    f = found.join(active, "ja_kodas", "left").join(linked.select("place_id", F.col("ja_kodas").alias("linked")), "place_id")
+    rows = vars(found).get("staged_rows", 0)  # unknown: as the session deals
+    key = F.coalesce(F.col("ja_kodas").cast("string"), F.concat(F.lit("?"), "place_id"))  # codes of nobody do not meet in one task
+    active = dealt(entities.where("is_active").select(F.col("ja_kodas").cast("string").alias("key"), F.lit(True).alias("active")), rows, "key")
+    f = dealt(found.withColumn("key", key), rows, "key").join(active, "key", "left").drop("key")
+    f = dealt(f, rows, "place_id").join(linked.select("place_id", F.col("ja_kodas").alias("linked")), "place_id")
     of = f.groupBy("place_id", "source").agg(F.bool_or(_flag(F.col("active") & (F.col("ja_kodas") == F.col("linked")))).alias("agrees"), F.bool_or(_flag(F.col("active"))).alias("names"), F.array_join(F.sort_array(F.collect_set("raw")), ",").alias("evidence"))
     return of.where("names").select("place_id", "source", F.when(F.col("agrees"), "confirms").otherwise("conflicts").alias("verdict"), "evidence")
 

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 #: A table of at most so many rows of a few numbers may be broadcast (some tens of MB).
 BROADCAST_ROWS = 500_000
 
+#: So many rows of a few numbers and short texts are sorted or grouped by one task (some 100 MB for each sort).
+TASK_ROWS = 1_000_000
+
 _staged: dict[str, SparkSession] = {}
 _local: list[str] = []
 
@@ -49,6 +52,20 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
 
 
+def counted(df: DataFrame) -> int:
+    """How many rows ``df`` has, or has at most where that was noted."""
+    return df.staged_rows if "staged_rows" in vars(df) else df.count()
+
+
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df``, of about ``rows`` rows, dealt by ``keys`` over so many tasks that each has about ``TASK_ROWS``, so that the memory of a task does not grow with the table; a join or grouping by ``keys`` keeps them.
+
+    Where the session's number of shuffle partitions is enough for that, ``df`` is left to adaptive execution.
+    """
+    tasks = -(-rows // TASK_ROWS)
+    return df.repartition(tasks, *keys) if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def released(*tables: DataFrame) -> None:
     """Delete staged tables that no later job reads."""
     _delete([t.staged_at for t in tables])
